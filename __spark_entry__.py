@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activitymill.contract import PUSH
+from activitymill.contract import PUSH, TABLES
 from activitymill.functions.time import utc_wall_clock
 from activitymill.operators import checks, dims, facts, marts, profiles
 from activitymill.plans import daily
@@ -215,7 +215,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_replaced": _day_replaced,
         "table_from_query": _table_from_query,
         "mart_view": _mart_view,
-        **{f"daily_{name}": _published(name) for name in daily.TABLES},
+        **{f"daily_{name}": _published(name) for name in TABLES},
     }
 
 

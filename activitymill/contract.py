@@ -22,25 +22,33 @@ TARGET_TYPES = (PUSH, PULL_REQUEST, ISSUES, WATCH)
 # An hourly landing file below this size is an error page, not data.
 MIN_HOUR_BYTES = 1024
 
-# Output tables and their columns, in order.
+# Output tables with their columns in order.
 TABLES = {
     "fact_events": (
-        "event_id", "event_type", "actor_id", "actor_login", "repo_id", "repo_name",
-        "org_id", "org_login", "action", "created_ts", "date_key",
+        "event_id STRING, event_type STRING, actor_id BIGINT, actor_login STRING, repo_id BIGINT, repo_name STRING, "
+        "org_id BIGINT, org_login STRING, action STRING, created_ts TIMESTAMP, date_key INT"
     ),
-    "fact_commits": ("event_id", "actor_id", "repo_id", "date_key", "commit_sha", "commit_message"),
-    "dim_actor": ("actor_id", "actor_login"),
-    "dim_repo": ("repo_id", "repo_name", "repo_owner"),
-    "dim_org": ("org_id", "org_login"),
-    "dim_time": ("date_key", "date", "year", "month", "day", "day_of_week"),
-    "events_by_type_per_day": ("date_key", "event_type", "event_count"),
-    "events_per_repo_per_day": ("date_key", "repo_id", "repo_name", "repo_owner", "event_type", "event_count"),
-    "pr_throughput": ("date_key", "action", "pr_count"),
-    "issue_activity": ("date_key", "action", "issue_count"),
-    "top_contributors": ("actor_id", "actor_login", "event_count"),
+    "fact_commits": (
+        "event_id STRING, actor_id BIGINT, repo_id BIGINT, date_key INT, commit_sha STRING, commit_message STRING"
+    ),
+    "dim_actor": "actor_id BIGINT, actor_login STRING",
+    "dim_repo": "repo_id BIGINT, repo_name STRING, repo_owner STRING",
+    "dim_org": "org_id BIGINT, org_login STRING",
+    "dim_time": "date_key INT, date DATE, year INT, month INT, day INT, day_of_week INT",
+    "events_by_type_per_day": "date_key INT, event_type STRING, event_count BIGINT",
+    "events_per_repo_per_day": (
+        "date_key INT, repo_id BIGINT, repo_name STRING, repo_owner STRING, event_type STRING, event_count BIGINT"
+    ),
+    "pr_throughput": "date_key INT, action STRING, pr_count BIGINT",
+    "issue_activity": "date_key INT, action STRING, issue_count BIGINT",
+    "top_contributors": "actor_id BIGINT, actor_login STRING, event_count BIGINT",
 }
 FACTS = ("fact_events", "fact_commits")
 DIMS = ("dim_actor", "dim_repo", "dim_org", "dim_time")
 MARTS = (
     "events_by_type_per_day", "events_per_repo_per_day", "pr_throughput", "issue_activity", "top_contributors",
 )
+
+
+def columns(table: str) -> list[str]:
+    return [column.split()[0] for column in TABLES[table].split(", ")]

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activitymill.contract import TABLES
 from activitymill.functions.names import repo_owner
 from activitymill.functions.time import key_date
 
@@ -24,9 +23,10 @@ def sightings(events: DataFrame, key: str, attributes: Sequence[str], by: Sequen
     ``events`` is fact_events, or earlier sightings to be merged.
     """
     merged = "last_seen" in events.columns
+    count = F.sum("event_count") if merged else F.count("*")
     return events.groupBy(*by, key, *attributes).agg(
         F.max("last_seen" if merged else "created_ts").alias("last_seen"),
-        (F.sum("event_count") if merged else F.count("*")).alias("event_count"),
+        count.alias("event_count"),
     )
 
 
@@ -65,4 +65,4 @@ def dim_time(events: DataFrame) -> DataFrame:
         F.month("date").alias("month"),
         F.dayofmonth("date").alias("day"),
         F.dayofweek("date").alias("day_of_week"),
-    ).select(*TABLES["dim_time"])
+    )

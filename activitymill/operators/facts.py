@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activitymill.contract import PUSH, TABLES, TARGET_TYPES
+from activitymill.contract import PUSH, TARGET_TYPES, columns
 from activitymill.functions.time import date_key, event_instant, utc_day
 
 
@@ -40,7 +40,7 @@ def fact_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "created_at",
         *keep,
     )
-    return _with_day(flat).select(*TABLES["fact_events"], *keep)
+    return _with_day(flat).select(*columns("fact_events"), *keep)
 
 
 def fact_commits(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activitymill.contract import ISSUES, PULL_REQUEST, TABLES
+from activitymill.contract import ISSUES, PULL_REQUEST, columns
 
 
 def _count(events: DataFrame) -> Column:
@@ -32,7 +32,7 @@ def events_per_repo_per_day(events: DataFrame, dim_repo: DataFrame) -> DataFrame
     """Events per day, repository and type, with the repository's name; an unknown repository has none."""
     names = dim_repo.select("repo_id", "repo_name", "repo_owner")
     counted = grouped_count(events, ["date_key", "repo_id", "event_type"])
-    return counted.join(names, "repo_id", "left").select(*TABLES["events_per_repo_per_day"])
+    return counted.join(names, "repo_id", "left").select(*columns("events_per_repo_per_day"))
 
 
 def pr_throughput(events: DataFrame) -> DataFrame:
@@ -49,5 +49,5 @@ def top_contributors(events: DataFrame, dim_actor: DataFrame) -> DataFrame:
     """Events per actor, with the login: all actors, unordered."""
     counted = grouped_count(events, ["actor_id"])
     return counted.join(dim_actor.select("actor_id", "actor_login"), "actor_id", "left").select(
-        *TABLES["top_contributors"]
+        *columns("top_contributors")
     )

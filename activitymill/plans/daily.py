@@ -2,35 +2,50 @@
 
 1. List the landed hours; missing hours and stubs are reported, and stop the run if all hours are required.
 2. Parse the hours once, and keep the records of the four types as Parquet in the working folder.
-3. Reduce the days to sightings, join them with the stored sightings of all other days, and build dimensions.
-4. Run the checks on the new facts and dimensions. If one fails, stop: nothing has been published.
+3. Reduce the new days to sightings (see ``operators.dims``) and merge them with what was known before.
+4. Run the checks on the new facts and the dimensions that follow. If one fails, stop: nothing was published.
 5. Publish facts and sightings of these days, then dimensions, then marts.
 
-Each step reads what an earlier one wrote, so losing executors costs a task and not the run. Everything stored
-per day is partitioned by the day it landed (``landed_day``): hourly files may hold events from the far side of
+Every step reads what an earlier one wrote, so losing executors costs tasks and not the run. What is stored per
+day is partitioned by the day it landed (``landed_day``): hourly files may hold events from the far side of
 midnight, so replacing by event day would wipe the neighbouring day. Facts are partitioned by ``date_key`` below
 that. Running a day again replaces exactly what it had put in.
 
-Dimensions and marts come from sightings, which are far fewer than events: publishing does not read old facts.
+Dimensions and marts come from sightings, so publishing a day never reads old facts. Beside the sightings per day
+there are merged ones over all days (``known_*``), so a new day is added to them without reading older days. A day
+that runs again is taken out by merging the other days afresh; so is everything after a run that broke off while
+publishing, which the ``runs`` table shows. One run at a time may publish to a warehouse.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from activitymill.contract import BAD_LINE, DIMS, MARTS, MIN_HOUR_BYTES, TABLES, TARGET_TYPES
+from activitymill.contract import (
+    BAD_LINE, DIMS, MIN_HOUR_BYTES, RAW_SCHEMA, TABLES, TARGET_TYPES, columns,
+)
 from activitymill.functions.time import day_key, parse_day
 from activitymill.operators import checks, dims, facts, marts
 from activitymill.plans.shared import shared_folder
 from activitymill.sources.landing import landing_manifest, scan_events
 from activitymill.sources.tables import (
-    balanced, create_view, read_if_exists, replace_days, write_table,
+    balanced, create_view, read_if_exists, replace_days, stored_partitions, write_table,
 )
 
-ACTORS, REPOS, ORGS, TYPES = "seen_actors", "seen_repos", "seen_orgs", "seen_types"
+STAGED = f"{RAW_SCHEMA}, {BAD_LINE} STRING, landed_day INT"
+RUNS = "run_id STRING, begun DOUBLE, finished BOOLEAN"
+# Sightings per landed day: key, attributes, and what else is counted apart.
+SIGHTED = {
+    "actors": ("actor_id", ["actor_login"], []),
+    "repos": ("repo_id", ["repo_name"], ["event_type"]),
+    "orgs": ("org_id", ["org_login"], []),
+}
 
 
 class LandingError(Exception):
@@ -66,39 +81,83 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """A published table in its public columns."""
-        return self.spark.read.parquet(self.path(name)).select(*TABLES[name])
+        schema = TABLES[name] + (", landed_day INT" if name.startswith("fact_") else "")
+        return self.spark.read.schema(schema).parquet(self.path(name)).select(*columns(name))
+
+    def stored(self, name: str, like: DataFrame) -> DataFrame | None:
+        return read_if_exists(self.spark, self.path(name), like)
+
+    def note(self, run_id: str, begun: float, finished: bool) -> None:
+        row = self.spark.createDataFrame([(run_id, begun, finished)], RUNS)
+        row.coalesce(1).write.mode("append").parquet(self.path("runs"))
+
+    def whole(self) -> bool:
+        """No run broke off while publishing since the last one that went through."""
+        runs = read_if_exists(self.spark, self.path("runs"), RUNS)
+        if runs is None:
+            return True
+        each = runs.groupBy("run_id").agg(F.max("begun").alias("begun"), F.max("finished").alias("finished"))
+        last = each.agg(
+            F.max(F.when(F.col("finished"), F.col("begun"))).alias("good"),
+            F.max(F.when(~F.col("finished"), F.col("begun"))).alias("broken"),
+        ).first()
+        return last.broken is None or (last.good is not None and last.good > last.broken)
 
 
 def day_sightings(events: DataFrame) -> dict[str, DataFrame]:
-    """What the dimensions and marts need to know of each day, from fact_events with ``landed_day``."""
-    by = ["landed_day", "date_key"]
-    return {
-        ACTORS: dims.sightings(events, "actor_id", ["actor_login"], by),
-        REPOS: dims.sightings(events, "repo_id", ["repo_name", "event_type"], by),
-        ORGS: dims.sightings(events.filter(F.col("org_id").isNotNull()), "org_id", ["org_login"], by),
-        TYPES: marts.grouped_count(events, [*by, "event_type", "action"]),
+    """What dimensions and marts need to know of each day, from fact_events with ``landed_day``."""
+    by = ["date_key", "landed_day"]
+    named = {
+        f"seen_{name}": dims.sightings(events.filter(F.col(key).isNotNull()) if name == "orgs" else events,
+                                       key, [*attributes, *apart], by)
+        for name, (key, attributes, apart) in SIGHTED.items()
     }
+    return named | {"seen_types": marts.grouped_count(events, ["event_type", "action", *by])}
+
 
+def known(house: Warehouse, name: str, seen: DataFrame, days: tuple[int, int], whole: bool) -> DataFrame:
+    """Sightings merged over all days, once the new days replace what was stored for them."""
+    key, attributes, _ = SIGHTED[name]
+    parts, stored = [seen], house.stored(f"seen_{name}", seen)
+    if stored is not None:
+        if whole and not stored_partitions(stored, days, ["landed_day"]):
+            parts.append(house.spark.read.parquet(house.path(f"known_{name}")))
+        else:
+            parts.append(stored.filter(~F.col("landed_day").between(*days)))
+    wanted = [key, *attributes, "last_seen", "event_count"]
+    return dims.sightings(reduce(DataFrame.unionByName, [p.select(*wanted) for p in parts]), key, attributes)
 
-def build_dims(seen: dict[str, DataFrame]) -> dict[str, DataFrame]:
+
+def build_dims(merged: dict[str, DataFrame], types: DataFrame) -> dict[str, DataFrame]:
     return {
-        "dim_actor": dims.dim_actor(seen[ACTORS]),
-        "dim_repo": dims.dim_repo(seen[REPOS]),
-        "dim_org": dims.dim_org(seen[ORGS]),
-        "dim_time": dims.dim_time(seen[TYPES]),
+        "dim_actor": dims.dim_actor(merged["actors"]),
+        "dim_repo": dims.dim_repo(merged["repos"]),
+        "dim_org": dims.dim_org(merged["orgs"]),
+        "dim_time": dims.dim_time(types),
     }
 
 
-def build_marts(seen: dict[str, DataFrame], dim_actor: DataFrame, dim_repo: DataFrame) -> dict[str, DataFrame]:
+def build_marts(house: Warehouse) -> dict[str, DataFrame]:
+    """The five marts from what is published."""
+    read = house.spark.read.parquet
+    types, repos, actors = (read(house.path(name)) for name in ("seen_types", "seen_repos", "known_actors"))
     return {
-        "events_by_type_per_day": marts.events_by_type_per_day(seen[TYPES]),
-        "events_per_repo_per_day": marts.events_per_repo_per_day(seen[REPOS], dim_repo),
-        "pr_throughput": marts.pr_throughput(seen[TYPES]),
-        "issue_activity": marts.issue_activity(seen[TYPES]),
-        "top_contributors": marts.top_contributors(seen[ACTORS], dim_actor),
+        "events_by_type_per_day": marts.events_by_type_per_day(types),
+        "events_per_repo_per_day": marts.events_per_repo_per_day(repos, house.table("dim_repo")),
+        "pr_throughput": marts.pr_throughput(types),
+        "issue_activity": marts.issue_activity(types),
+        "top_contributors": marts.top_contributors(actors, house.table("dim_actor")),
     }
 
 
+def stage(spark: SparkSession, paths: list[str], to: str) -> DataFrame:
+    """Parse landed hours once and keep the wanted types, and any line that does not fit the contract."""
+    scanned = scan_events(spark, paths, with_source=True)
+    kept = F.col("type").isin(*TARGET_TYPES) | F.col(BAD_LINE).isNotNull()
+    write_table(scanned.filter(kept), to, ["landed_day"])
+    return spark.read.schema(STAGED).parquet(to)
+
+
 def run_days(
     spark: SparkSession,
     first_day: str,
@@ -112,7 +171,8 @@ def run_days(
 ) -> RunReport:
     """Load the landed hours of the days, check them, and publish. Raises if a check fails.
 
-    ``marts_as="view"`` registers the marts in the session instead of storing them.
+    ``marts_as="view"`` registers the marts in the session instead of storing them: they then always show current
+    names, and no run rewrites the repository mart of all days.
     """
     first, last = parse_day(first_day), parse_day(last_day or first_day)
     days = (day_key(first), day_key(last))
@@ -130,51 +190,39 @@ def run_days(
     staged = stage(spark, landed, f"{work}/staged")
     run.bad_lines = staged.filter(F.col(BAD_LINE).isNotNull()).count()
     events = facts.fact_events(staged, keep=["landed_day"])
+    commits = facts.fact_commits(staged, keep=["landed_day"])
 
-    seen = {}
-    for name, df in day_sightings(events).items():
-        write_table(balanced(df, "landed_day"), f"{work}/{name}", ["landed_day"])
-        new, old = spark.read.parquet(f"{work}/{name}"), read_if_exists(spark, house.path(name))
-        if old is not None:
-            new = new.unionByName(old.filter(~F.col("landed_day").between(*days)))
-        seen[name] = new
+    def kept(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        write_table(df, f"{work}/{name}", partition_by)
+        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
 
-    candidates = {}
-    for name, df in build_dims(seen).items():
-        write_table(df, f"{work}/{name}")
-        candidates[name] = spark.read.parquet(f"{work}/{name}")
+    seen = {n: kept(balanced(df, "landed_day"), n, ("landed_day",)) for n, df in day_sightings(events).items()}
+    whole = house.whole()
+    merged = {n: kept(known(house, n, seen[f"seen_{n}"], days, whole), f"known_{n}") for n in SIGHTED}
+    types, stored_types = seen["seen_types"], house.stored("seen_types", seen["seen_types"])
+    if stored_types is not None:
+        types = types.unionByName(stored_types.filter(~F.col("landed_day").between(*days)))
+    built = build_dims(merged, types)
 
-    run.checks = checks.report({"fact_events": events, **candidates}).collect()  # one row per check
+    run.checks = checks.report({"fact_events": events, **built}).collect()  # one row per check
     failed = [r for r in run.checks if r.should_error]
     if failed:
         raise GateError(failed)
 
+    run_id, begun = uuid.uuid4().hex, time.time()
+    house.note(run_id, begun, finished=False)
+    for name in DIMS:  # dim_time still reads the stored types, so before those change
+        write_table(built[name], house.path(name))
+    for name, df in merged.items():
+        write_table(df, house.path(f"known_{name}"))
+    for name, df in seen.items():
+        replace_days(df, house.path(name), days)
     replace_days(events, house.path("fact_events"), days, "date_key")
-    replace_days(
-        facts.fact_commits(staged, keep=["landed_day"]), house.path("fact_commits"), days, "date_key"
-    )
-    for name in seen:
-        replace_days(balanced(spark.read.parquet(f"{work}/{name}"), "landed_day"), house.path(name), days)
-    for name in DIMS:
-        write_table(candidates[name], house.path(name))
-    publish_marts(house, marts_as)
-    return run
-
-
-def stage(spark: SparkSession, paths: list[str], to: str) -> DataFrame:
-    """Parse landed hours once and keep the wanted types, and any line that does not fit the contract."""
-    scanned = scan_events(spark, paths, with_source=True)
-    kept = F.col("type").isin(*TARGET_TYPES) | F.col(BAD_LINE).isNotNull()
-    write_table(scanned.filter(kept), to, ["landed_day"])
-    return spark.read.parquet(to)
-
-
-def publish_marts(house: Warehouse, marts_as: str = "table") -> None:
-    """Build the five marts from what is published and store them, or register them as views."""
-    seen = {name: house.spark.read.parquet(house.path(name)) for name in (ACTORS, REPOS, ORGS, TYPES)}
-    built = build_marts(seen, house.table("dim_actor"), house.table("dim_repo"))
-    for name in MARTS:
+    replace_days(commits, house.path("fact_commits"), days, "date_key")
+    for name, df in build_marts(house).items():
         if marts_as == "view":
-            create_view(built[name], name)
+            create_view(df, name)
         else:
-            write_table(built[name], house.path(name))
+            write_table(df, house.path(name))
+    house.note(run_id, begun, finished=True)
+    return run

@@ -39,11 +39,17 @@ def scan_events(spark: SparkSession, paths: str | Sequence[str], with_source: bo
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not with_source:
         return spark.read.schema(RAW_SCHEMA).json(paths)
-    return (
+    read = (
         spark.read.schema(f"{RAW_SCHEMA}, {BAD_LINE} STRING")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .json(paths)
-        .select("*", landed_day(F.col("_metadata.file_path")).alias("landed_day"))
+    )
+    # Spark only notices misfits in fields the query reads. This reads them all, so that a line is bad or not
+    # whatever else is asked; the text is made for bad lines only, and is never empty.
+    record = [c for c in read.columns if c != BAD_LINE]
+    bad_line = F.when(F.col(BAD_LINE).isNotNull() & (F.to_json(F.struct(*record)) != ""), F.col(BAD_LINE))
+    return read.select(
+        *record, bad_line.alias(BAD_LINE), landed_day(F.col("_metadata.file_path")).alias("landed_day")
     )
 
 
@@ -64,7 +70,9 @@ def landed_hours(spark: SparkSession, landing_dir: str, first_day: str, last_day
         F.regexp_extract(path, _TO_HOUR, 1).alias("path"),
         F.col("_metadata.file_size").alias("file_size"),
     )
-    return hours.groupBy("day", "hour").agg(F.max("path").alias("path"), F.sum("file_size").alias("bytes"))
+    # The hidden column holds the path as a URI.
+    plain_path = F.url_decode(F.replace(F.max("path"), F.lit("+"), F.lit("%2B")))
+    return hours.groupBy("day", "hour").agg(plain_path.alias("path"), F.sum("file_size").alias("bytes"))
 
 
 def expected_hours(spark: SparkSession, first_day: str, last_day: str | None = None) -> DataFrame:

@@ -52,32 +52,32 @@ def write_partitions(
     )
 
 
+def stored_partitions(stored: DataFrame, days: tuple[int, int], by: Sequence[str]) -> set[tuple]:
+    """Partitions holding rows of a span of landed days: one or two per day, so small enough for the driver."""
+    within = stored.filter(F.col("landed_day").between(*days))
+    return {tuple(row) for row in within.select(*by).distinct().collect()}
+
+
 def replace_days(df: DataFrame, path: str, days: tuple[int, int], sub_partition: str | None = None) -> None:
     """Replace everything stored for a span of landed days, which ``df`` must cover, and leave all other days.
 
     Dynamic overwrite keeps old partitions for which ``df`` has no rows any more; these are emptied here. There is
     normally none: it takes a day landed again with fewer distinct event days, or with no rows for this table.
     """
-    spark = df.sparkSession
     by = ["landed_day"] + ([sub_partition] if sub_partition else [])
-    stored = read_if_exists(spark, path)
-    stale = []
-    if stored is not None:
-        # One row per partition, so bounded by the number of days.
-        before = stored.filter(F.col("landed_day").between(*days)).select(*by).distinct()
-        # Null keys never match in an anti join, so compare as text.
-        same = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in by]
-        stale = before.select(*same).join(df.select(*same).distinct(), by, "left_anti").collect()
+    stored = read_if_exists(df.sparkSession, path, df)
+    before = stored_partitions(stored, days, by) if stored is not None else set()
+    stale = before - stored_partitions(df, days, by) if before else set()
     write_partitions(df, path, by)
-    for row in stale:
-        folder = "/".join(f"{c}={row[c] or '__HIVE_DEFAULT_PARTITION__'}" for c in by)
+    for values in stale:
+        folder = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(by, values))
         write_table(df.drop(*by).limit(0), f"{path}/{folder}")
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet at a path, or None if nothing was written there yet."""
+def read_if_exists(spark: SparkSession, path: str, like: DataFrame | str) -> DataFrame | None:
+    """Parquet at a path under a known schema, or None if nothing was written there yet."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(like if isinstance(like, str) else like.schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -1,0 +1,49 @@
+import gzip
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    """A session in a western time zone, so that anything leaning on the session's zone gives wrong days."""
+    root = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "America/Los_Angeles")
+        .config("spark.sql.warehouse.dir", str(root / "tables"))
+        .config("spark.checkpoint.dir", str(root / "shared"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def write_hour():
+    """Write lines as one hourly file, padded with lines of another type to the size of a valid one."""
+
+    def write(folder, hour_name, lines, valid=True):
+        folder.mkdir(parents=True, exist_ok=True)
+        text = "\n".join(lines) + "\n"
+        if valid:
+            noise = os.urandom(1024).hex()
+            text += '{"id":"0","type":"ForkEvent","noise":"%s"}\n' % noise
+        with gzip.open(folder / f"{hour_name}.json.gz", "wt") as f:
+            f.write(text)
+
+    return write
+
+
+def rows(df, *names):
+    """All rows as a sorted list of tuples."""
+    found = [tuple(r) for r in df.select(*(names or df.columns)).collect()]
+    return sorted(found, key=lambda r: tuple((v is not None, str(v)) for v in r))
