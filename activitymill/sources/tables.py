@@ -86,7 +86,7 @@ def read_if_exists(spark: SparkSession, path: str, like: DataFrame | str) -> Dat
 
 def create_table_as(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> None:
     """Create a catalog table from a query, replacing one of that name; below ``path`` if one is given."""
-    df.write.format(fmt).mode("overwrite").saveAsTable(name, path=path)
+    df.write.format(fmt).mode("overwrite").options(**({"path": path} if path else {})).saveAsTable(name)
 
 
 def create_view(df: DataFrame, name: str) -> None:

@@ -1,0 +1,187 @@
+"""The job from landed files to published marts."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from activitymill.contract import DIMS, MARTS, TABLES
+from activitymill.operators import dims, facts, marts
+from activitymill.plans import daily
+from activitymill.plans.daily import GateError, LandingError, Warehouse, run_days
+from activitymill.plans.shared import shared_folder
+from activitymill.sources.landing import scan_events
+from tests.conftest import rows
+from tests.test_contract import line
+
+DAY1, DAY2 = "2024-06-01", "2024-06-02"
+
+
+def hours_of(day, ids, actor=(1, "ann"), **more):
+    return [
+        line(f"{day}-{i}-push", "PushEvent", at=f"{day}T10:00:00Z", actor=actor, repo=(10, f"{actor[1]}/lib"),
+             commits=[("s", "m")] * i, **more) for i in ids
+    ] + [
+        line(f"{day}-pr", "PullRequestEvent", at=f"{day}T11:00:00Z", actor=(2, "bob"), repo=(20, "bob/app"),
+             org=(5, "org"), action="opened"),
+        line(f"{day}-issue", "IssuesEvent", at=f"{day}T12:00:00Z", actor=actor, repo=(20, "bob/app"), action="closed"),
+    ]
+
+
+@pytest.fixture
+def landing(tmp_path, write_hour):
+    write_hour(tmp_path / "in", f"{DAY1}-0", hours_of(DAY1, [1, 2]))
+    # The second day renames an actor, and holds one event from before midnight.
+    write_hour(tmp_path / "in", f"{DAY2}-0", hours_of(DAY2, [3], actor=(1, "ann2")) + [
+        line("stray", at=f"{DAY1}T23:59:59Z", actor=(3, "cat"), repo=(30, "cat/x")), '{"broken',
+    ])
+    return str(tmp_path / "in")
+
+
+def run(spark, landing, root, *days, **more):
+    return run_days(spark, *days, landing_dir=landing, warehouse=str(root), **more)
+
+
+def published(spark, root):
+    house = Warehouse(spark, str(root))
+    return {name: rows(house.table(name)) for name in TABLES}
+
+
+def from_scratch(spark, landing):
+    """The same tables straight from the landed files, by the plain builders."""
+    raw = scan_events(spark, f"{landing}/*.json.gz")
+    e = facts.fact_events(raw)
+    a, r = dims.dim_actor(e), dims.dim_repo(e)
+    made = {
+        "fact_events": e, "fact_commits": facts.fact_commits(raw), "dim_actor": a, "dim_repo": r,
+        "dim_org": dims.dim_org(e), "dim_time": dims.dim_time(e),
+        "events_by_type_per_day": marts.events_by_type_per_day(e),
+        "events_per_repo_per_day": marts.events_per_repo_per_day(e, r),
+        "pr_throughput": marts.pr_throughput(e), "issue_activity": marts.issue_activity(e),
+        "top_contributors": marts.top_contributors(e, a),
+    }
+    return {name: rows(df) for name, df in made.items()}
+
+
+def test_days_run_at_once_one_by_one_in_either_order_and_again(spark, landing, tmp_path):
+    want = from_scratch(spark, landing)
+    report = run(spark, landing, tmp_path / "at_once", DAY1, DAY2)
+    assert (report.hours, report.bad_lines, len(report.checks)) == ({"ok": 2, "stub": 0, "missing": 46}, 1, 11)
+    assert published(spark, tmp_path / "at_once") == want
+    for name, order in [("forward", [DAY1, DAY2]), ("backward", [DAY2, DAY1]), ("again", [DAY1, DAY2, DAY1, DAY2])]:
+        for day in order:
+            run(spark, landing, tmp_path / name, day)
+        assert published(spark, tmp_path / name) == want, name
+
+
+def test_a_corrected_day_leaves_no_trace_of_the_old_one(spark, landing, tmp_path, write_hour):
+    root = tmp_path / "house"
+    run(spark, landing, root, DAY1, DAY2)
+    write_hour(tmp_path / "in", f"{DAY2}-0", [  # no stray event, no organisation, no second name any more
+        line("late", "WatchEvent", at=f"{DAY2}T01:00:00Z", actor=(9, "eve"), repo=(90, "eve/y"), action="started"),
+    ])
+    run(spark, landing, root, DAY2)
+    got = published(spark, root)
+    assert got == from_scratch(spark, landing)
+    assert got["dim_actor"] == [(1, "ann"), (2, "bob"), (9, "eve")]
+
+
+def test_a_failed_check_publishes_nothing(spark, landing, tmp_path, write_hour):
+    root = tmp_path / "house"
+    run(spark, landing, root, DAY1)
+    before = published(spark, root)
+    write_hour(tmp_path / "in", f"{DAY2}-0", hours_of(DAY2, [1]) + [
+        line("n1", actor=(None, "x")), line("n2", actor=(None, "x")), line("n3", at="never"),
+    ])
+    with pytest.raises(GateError) as e:
+        run(spark, landing, root, DAY2)
+    assert {r.check_name: r.failures for r in e.value.failed} == {
+        "not_null_dim_actor_actor_id": 1, "not_null_fact_events_actor_id": 2, "not_null_dim_time_date_key": 1,
+    }
+    assert published(spark, root) == before
+
+
+def test_a_run_that_broke_off_is_made_good_by_any_later_one(spark, landing, tmp_path, write_hour, monkeypatch):
+    root = tmp_path / "house"
+    run(spark, landing, root, DAY1)
+
+    def fail(*_, **__):
+        raise RuntimeError("lost")
+
+    for broken in ("replace_days", "build_marts"):  # before and after the sightings are stored
+        with monkeypatch.context() as m:
+            m.setattr(daily, broken, fail)
+            with pytest.raises(RuntimeError):
+                run(spark, landing, root, DAY2)
+        assert not Warehouse(spark, str(root)).whole()
+    day3 = "2024-06-03"
+    write_hour(tmp_path / "in", f"{day3}-0", hours_of(day3, [1], actor=(4, "dan")))
+    run(spark, landing, root, day3)
+    assert Warehouse(spark, str(root)).whole()
+    assert published(spark, root) == from_scratch(spark, landing)
+
+
+def test_new_days_do_not_read_older_days(spark, landing, tmp_path, monkeypatch):
+    root = tmp_path / "house"
+    run(spark, landing, root, DAY1)
+    read = []
+    original = daily.known
+
+    def watch(house, name, seen, days, whole):
+        df = original(house, name, seen, days, whole)
+        read.append(set(df.inputFiles()))
+        return df
+
+    monkeypatch.setattr(daily, "known", watch)
+    run(spark, landing, root, DAY2)
+    files = {f for files in read for f in files}
+    assert not any("landed_day=20240601" in f for f in files) and any("known_actors" in f for f in files)
+    read.clear()
+    run(spark, landing, root, DAY2)
+    assert any("landed_day=20240601" in f for files in read for f in files)
+
+
+def test_missing_hours(spark, landing, tmp_path):
+    with pytest.raises(LandingError, match="'missing': 23"):
+        run(spark, landing, tmp_path / "house", DAY1, require_all_hours=True)
+    with pytest.raises(LandingError, match="'missing': 24"):
+        run(spark, landing, tmp_path / "house", "2024-07-01")
+    assert not (tmp_path / "house").exists()
+
+
+def test_stubs_are_not_read(spark, tmp_path, write_hour):
+    write_hour(tmp_path / "in", f"{DAY1}-0", hours_of(DAY1, [1]))
+    write_hour(tmp_path / "in", f"{DAY1}-1", [line("tiny")], valid=False)
+    report = run(spark, str(tmp_path / "in"), tmp_path / "house", DAY1)
+    assert report.hours == {"ok": 1, "stub": 1, "missing": 22}
+    assert Warehouse(spark, str(tmp_path / "house")).table("fact_events").filter("event_id = 'tiny'").count() == 0
+
+
+def test_a_day_without_kept_events(spark, landing, tmp_path, write_hour):
+    root = tmp_path / "house"
+    run(spark, landing, root, DAY1)
+    before = published(spark, root)
+    write_hour(tmp_path / "in", "2024-06-05-0", [line("f", "ForkEvent")])
+    run(spark, landing, root, "2024-06-05")
+    assert published(spark, root) == before
+
+
+def test_marts_as_views(spark, landing, tmp_path):
+    root = tmp_path / "house"
+    run(spark, landing, root, DAY1, DAY2, marts_as="view")
+    want = from_scratch(spark, landing)
+    assert {name: rows(spark.table(name)) for name in MARTS} == {name: want[name] for name in MARTS}
+    assert not any((root / name).exists() for name in MARTS)
+    assert all((root / name).exists() for name in DIMS)
+
+
+def test_facts_are_pruned_by_day(spark, landing, tmp_path):
+    root = tmp_path / "house"
+    run(spark, landing, root, DAY1, DAY2)
+    one_day = Warehouse(spark, str(root)).table("fact_events").filter(F.col("date_key") == 20240601)
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_key" in plan
+    assert rows(one_day.select("event_id"))[-1] == ("stray",)
+
+
+def test_shared_folder_follows_the_setting(spark):
+    assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert shared_folder(spark) != shared_folder(spark)
