@@ -1,9 +1,7 @@
-"""Dimensions: one row per key, taking the attributes seen last.
+"""Dimensions: one row per key, with the attributes seen last.
 
-A dimension is built in two steps. ``sightings`` reduces facts to one row per key and attribute values with the
-time they were last seen; grouping by the text and keeping only a time in the buffer lets Spark hash-aggregate
-before the shuffle, so a key holding a third of all rows leaves each task as one row. ``latest`` then picks the
-newest sighting per key. Sightings of separate days add up, so days can be replaced one by one.
+The pick is fixed: the latest time, and at equal times the greater text. Both steps here aggregate within each task
+before the shuffle, so a key holding a third of all rows leaves a task as one row.
 """
 
 from __future__ import annotations
@@ -20,7 +18,8 @@ from activitymill.functions.time import key_date
 def sightings(events: DataFrame, key: str, attributes: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row per (by, key, attributes) with the last time seen and the number of events.
 
-    ``events`` is fact_events, or earlier sightings to be merged.
+    ``events`` is fact_events, or earlier sightings to be merged. Sightings of separate days add up, and dimensions
+    and counts can be built from them as from the events themselves.
     """
     merged = "last_seen" in events.columns
     count = F.sum("event_count") if merged else F.count("*")
@@ -30,29 +29,26 @@ def sightings(events: DataFrame, key: str, attributes: Sequence[str], by: Sequen
     )
 
 
-def latest(seen: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """One row per key with the attributes seen last; equal times fall to the greater text. A null key stays."""
-    newest = F.max(F.struct("last_seen", *attributes)).alias("newest")
-    return seen.groupBy(key).agg(newest).select(key, *[F.col(f"newest.{a}").alias(a) for a in attributes])
-
-
-def _dimension(events: DataFrame, key: str, attribute: str) -> DataFrame:
-    return latest(sightings(events, key, [attribute]), key, [attribute])
+def latest(events: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """One row per key with the attributes seen last, from fact_events or sightings. A null key stays."""
+    seen = "last_seen" if "last_seen" in events.columns else "created_ts"
+    newest = F.max(F.struct(seen, *attributes)).alias("newest")
+    return events.groupBy(key).agg(newest).select(key, *[F.col(f"newest.{a}").alias(a) for a in attributes])
 
 
 def dim_actor(events: DataFrame) -> DataFrame:
     """Actors with their latest login, from fact_events or sightings."""
-    return _dimension(events, "actor_id", "actor_login")
+    return latest(events, "actor_id", ["actor_login"])
 
 
 def dim_org(events: DataFrame) -> DataFrame:
     """Organisations with their latest login; events without one are left out."""
-    return _dimension(events.filter(F.col("org_id").isNotNull()), "org_id", "org_login")
+    return latest(events.filter(F.col("org_id").isNotNull()), "org_id", ["org_login"])
 
 
 def dim_repo(events: DataFrame) -> DataFrame:
     """Repositories with their latest name and its owner part."""
-    return _dimension(events, "repo_id", "repo_name").withColumn("repo_owner", repo_owner(F.col("repo_name")))
+    return latest(events, "repo_id", ["repo_name"]).withColumn("repo_owner", repo_owner(F.col("repo_name")))
 
 
 def dim_time(events: DataFrame) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from activitymill.contract import PUSH, TARGET_TYPES, columns
@@ -16,18 +14,9 @@ def target_events(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("type").isin(*TARGET_TYPES))
 
 
-def _with_day(df: DataFrame) -> DataFrame:
-    # One column per step, so that the text is parsed once and not once per date part.
-    return (
-        df.withColumn("created_ts", event_instant(F.col("created_at")))
-        .withColumn("utc_day", utc_day(F.col("created_ts")))
-        .withColumn("date_key", date_key(F.col("utc_day")))
-    )
-
-
-def fact_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per event of a kept type. ``keep`` names raw columns to carry along."""
-    flat = target_events(raw).select(
+def flatten(raw: DataFrame, *more: str | Column) -> DataFrame:
+    """Raw records with their nested fields as columns, the parsed time and the day; ``more`` is carried along."""
+    flat = raw.select(
         F.col("id").alias("event_id"),
         F.col("type").alias("event_type"),
         F.col("actor.id").alias("actor_id"),
@@ -38,28 +27,34 @@ def fact_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.col("org.login").alias("org_login"),
         F.col("payload.action").alias("action"),
         "created_at",
-        *keep,
+        *more,
     )
-    return _with_day(flat).select(*columns("fact_events"), *keep)
+    # One column per step, so that the text is parsed once and not once per date part.
+    return (
+        flat.withColumn("created_ts", event_instant(F.col("created_at")))
+        .withColumn("utc_day", utc_day(F.col("created_ts")))
+        .withColumn("date_key", date_key(F.col("utc_day")))
+        .drop("created_at", "utc_day")
+    )
+
+
+def fact_events(raw: DataFrame) -> DataFrame:
+    """One row per event of a kept type."""
+    return flatten(target_events(raw)).select(*columns("fact_events"))
 
 
-def fact_commits(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def fact_commits(raw: DataFrame) -> DataFrame:
     """One row per commit of a push; a push without commits gives no row."""
-    pushes = raw.filter(F.col("type") == PUSH).select(
-        F.col("id").alias("event_id"),
-        F.col("actor.id").alias("actor_id"),
-        F.col("repo.id").alias("repo_id"),
-        "created_at",
-        F.col("payload.commits").alias("commits"),
-        *keep,
-    )
-    # The day is worked out per push, before the explode multiplies the rows.
-    commits = _with_day(pushes).select(
-        "event_id", "actor_id", "repo_id", "date_key", F.explode("commits").alias("commit"), *keep
-    )
+    pushes = flatten(raw.filter(F.col("type") == PUSH), F.col("payload.commits").alias("commits"))
+    return explode_commits(pushes)
+
+
+def explode_commits(pushes: DataFrame, *more: str) -> DataFrame:
+    """Commit rows from flat pushes that carry ``commits``; the day was worked out once per push."""
+    commits = pushes.select("event_id", "actor_id", "repo_id", "date_key", F.explode("commits").alias("commit"), *more)
     return commits.select(
         "event_id", "actor_id", "repo_id", "date_key",
         F.col("commit.sha").alias("commit_sha"),
         F.col("commit.message").alias("commit_message"),
-        *keep,
+        *more,
     )

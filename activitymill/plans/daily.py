@@ -1,9 +1,10 @@
 """The gated daily job, for one day or a span of days at once.
 
 1. List the landed hours; missing hours and stubs are reported, and stop the run if all hours are required.
-2. Parse the hours once, and keep the records of the four types as Parquet in the working folder.
-3. Reduce the new days to sightings (see ``operators.dims``) and merge them with what was known before.
-4. Run the checks on the new facts and the dimensions that follow. If one fails, stop: nothing was published.
+2. Parse the hours once, and keep the events of the four types, flat, as Parquet in the working folder.
+3. Reduce the new days to sightings (see ``operators.dims``), merge them with what was known before, and build
+   dimensions.
+4. Run the checks on the new facts and these dimensions. If one fails, stop: nothing was published.
 5. Publish facts and sightings of these days, then dimensions, then marts.
 
 Every step reads what an earlier one wrote, so losing executors costs tasks and not the run. What is stored per
@@ -21,14 +22,17 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from activitymill.contract import (
-    BAD_LINE, DIMS, MIN_HOUR_BYTES, RAW_SCHEMA, TABLES, TARGET_TYPES, columns,
+    BAD_LINE, MIN_HOUR_BYTES, PUSH, TABLES, TARGET_TYPES, columns,
 )
 from activitymill.functions.time import day_key, parse_day
 from activitymill.operators import checks, dims, facts, marts
@@ -38,7 +42,11 @@ from activitymill.sources.tables import (
     balanced, create_view, read_if_exists, replace_days, stored_partitions, write_table,
 )
 
-STAGED = f"{RAW_SCHEMA}, {BAD_LINE} STRING, landed_day INT"
+T = TypeVar("T")
+STAGED = (
+    f"{TABLES['fact_events']}, commits ARRAY<STRUCT<sha: STRING, message: STRING>>, "
+    f"{BAD_LINE} STRING, landed_day INT"
+)
 RUNS = "run_id STRING, begun DOUBLE, finished BOOLEAN"
 # Sightings per landed day: key, attributes, and what else is counted apart.
 SIGHTED = {
@@ -104,6 +112,12 @@ class Warehouse:
         return last.broken is None or (last.good is not None and last.good > last.broken)
 
 
+def at_once(jobs: Iterable[Callable[[], T]]) -> list[T]:
+    """Submit independent Spark jobs side by side, so that small tables do not queue behind each other."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
 def day_sightings(events: DataFrame) -> dict[str, DataFrame]:
     """What dimensions and marts need to know of each day, from fact_events with ``landed_day``."""
     by = ["date_key", "landed_day"]
@@ -151,10 +165,11 @@ def build_marts(house: Warehouse) -> dict[str, DataFrame]:
 
 
 def stage(spark: SparkSession, paths: list[str], to: str) -> DataFrame:
-    """Parse landed hours once and keep the wanted types, and any line that does not fit the contract."""
+    """Parse landed hours once; keep the wanted types, flat, and any line that does not fit the contract."""
     scanned = scan_events(spark, paths, with_source=True)
     kept = F.col("type").isin(*TARGET_TYPES) | F.col(BAD_LINE).isNotNull()
-    write_table(scanned.filter(kept), to, ["landed_day"])
+    flat = facts.flatten(scanned.filter(kept), F.col("payload.commits").alias("commits"), BAD_LINE, "landed_day")
+    write_table(flat, to, ["landed_day"])
     return spark.read.schema(STAGED).parquet(to)
 
 
@@ -189,20 +204,27 @@ def run_days(
 
     staged = stage(spark, landed, f"{work}/staged")
     run.bad_lines = staged.filter(F.col(BAD_LINE).isNotNull()).count()
-    events = facts.fact_events(staged, keep=["landed_day"])
-    commits = facts.fact_commits(staged, keep=["landed_day"])
+    events = staged.filter(F.col("event_type").isin(*TARGET_TYPES)).select(*columns("fact_events"), "landed_day")
+    commits = facts.explode_commits(staged.filter(F.col("event_type") == PUSH), "landed_day")
 
     def kept(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         write_table(df, f"{work}/{name}", partition_by)
         return spark.read.schema(df.schema).parquet(f"{work}/{name}")
 
-    seen = {n: kept(balanced(df, "landed_day"), n, ("landed_day",)) for n, df in day_sightings(events).items()}
-    whole = house.whole()
-    merged = {n: kept(known(house, n, seen[f"seen_{n}"], days, whole), f"known_{n}") for n in SIGHTED}
+    sightings, whole = day_sightings(events), house.whole()
+    if first < last:  # without this, each task would write a file per day
+        sightings = {name: balanced(df, "landed_day") for name, df in sightings.items()}
+    seen = dict(zip(sightings, at_once(
+        partial(kept, df, name, ("landed_day",)) for name, df in sightings.items()
+    )))
+    merged = dict(zip(SIGHTED, at_once(
+        partial(kept, known(house, name, seen[f"seen_{name}"], days, whole), f"known_{name}") for name in SIGHTED
+    )))
     types, stored_types = seen["seen_types"], house.stored("seen_types", seen["seen_types"])
     if stored_types is not None:
         types = types.unionByName(stored_types.filter(~F.col("landed_day").between(*days)))
-    built = build_dims(merged, types)
+    new_dims = build_dims(merged, types)
+    built = dict(zip(new_dims, at_once(partial(kept, df, name) for name, df in new_dims.items())))
 
     run.checks = checks.report({"fact_events": events, **built}).collect()  # one row per check
     failed = [r for r in run.checks if r.should_error]
@@ -211,18 +233,18 @@ def run_days(
 
     run_id, begun = uuid.uuid4().hex, time.time()
     house.note(run_id, begun, finished=False)
-    for name in DIMS:  # dim_time still reads the stored types, so before those change
-        write_table(built[name], house.path(name))
-    for name, df in merged.items():
-        write_table(df, house.path(f"known_{name}"))
-    for name, df in seen.items():
-        replace_days(df, house.path(name), days)
-    replace_days(events, house.path("fact_events"), days, "date_key")
-    replace_days(commits, house.path("fact_commits"), days, "date_key")
-    for name, df in build_marts(house).items():
-        if marts_as == "view":
+    replaced = built | {f"known_{name}": df for name, df in merged.items()}
+    at_once([
+        *[partial(write_table, df, house.path(name)) for name, df in replaced.items()],
+        partial(replace_days, events, house.path("fact_events"), days, "date_key"),
+        partial(replace_days, commits, house.path("fact_commits"), days, "date_key"),
+        *[partial(replace_days, df, house.path(name), days) for name, df in seen.items()],
+    ])
+    made = build_marts(house)
+    if marts_as == "view":
+        for name, df in made.items():
             create_view(df, name)
-        else:
-            write_table(df, house.path(name))
+    else:
+        at_once(partial(write_table, df, house.path(name)) for name, df in made.items())
     house.note(run_id, begun, finished=True)
     return run

@@ -1,0 +1,46 @@
+"""Every registered query against its SQL, on the smallest given tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+DATA = "/root/testdata/sf0.001"
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+pytestmark = pytest.mark.skipif(not os.path.exists(DATA), reason="the given tables are not here")
+TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE",
+        "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{DATA}/events.parquet'")
+    return con
+
+
+def test_every_query_but_the_unordered_preview_has_sql():
+    assert set(QUERIES) - set(SQL) == {"preview"}
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in SQL])
+def test_query_equals_sql(spark, db, name):
+    df, want = QUERIES[name](spark, DATA), db.sql(SQL[name])
+    assert {c: TYPE.get(t, t) for c, t in df.dtypes} == dict(zip(want.columns, map(str, want.types)))
+    columns = sorted(df.columns)
+    got = sorted(repr(tuple(r)) for r in df.select(*columns).collect())
+    assert got == sorted(repr(r) for r in want.project(", ".join(f'"{c}"' for c in columns)).fetchall())
+    assert got
+
+
+def test_preview(spark):
+    assert QUERIES["preview"](spark, DATA).count() == 10
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["date_key", "event_type", "event_count"]
+    assert df.count() == 120
