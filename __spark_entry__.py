@@ -110,7 +110,7 @@ def _ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "type", "created_at",
         F.col("actor.id").alias("actor_id"), F.col("repo.name").alias("repo_name"),
         F.col("org.login").alias("org_login"), F.col("payload.action").alias("action"),
-        F.size("payload.commits").alias("commit_count"),
+        F.array_size("payload.commits").alias("commit_count"),
     )
 
 
@@ -202,7 +202,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payload_completeness": _on_raw(profiles.payload_completeness),
         "pushes_with_commits": _on_raw(
             lambda r: r.filter((F.col("type") == PUSH) & F.col("payload.commits").isNotNull()).select(
-                F.col("id").alias("event_id"), F.size("payload.commits").alias("commit_count")
+                F.col("id").alias("event_id"), F.array_size("payload.commits").alias("commit_count")
             )
         ),
         "key_skew": _on_events(lambda e: profiles.key_skew(e, "actor_id")),

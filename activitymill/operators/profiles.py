@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from activitymill.contract import PUSH
+from activitymill.contract import PUSH, RAW_SCHEMA
 from activitymill.operators.facts import target_events
 
 
@@ -31,7 +32,7 @@ def grain(raw: DataFrame, fact_events: DataFrame) -> DataFrame:
 def fan_out(raw: DataFrame, fact_commits: DataFrame) -> DataFrame:
     """Pushes, the commits listed in them, and commit rows; the last two are equal."""
     pushes = raw.filter(F.col("type") == PUSH)
-    listed = F.coalesce(F.sum(F.when(F.col("payload.commits").isNotNull(), F.size("payload.commits"))), F.lit(0))
+    listed = F.coalesce(F.sum(F.array_size("payload.commits")), F.lit(0))
     row = _side_by_side(
         pushes=pushes.agg(F.count("*")),
         listed_commits=pushes.agg(listed),
@@ -65,7 +66,7 @@ def payload_completeness(raw: DataFrame) -> DataFrame:
     """Share of pushes that carry commits."""
     pushes = raw.filter(F.col("type") == PUSH)
     counts = pushes.agg(
-        F.count("*").alias("pushes"), F.count_if(F.size("payload.commits") > 0).alias("pushes_with_commits")
+        F.count("*").alias("pushes"), F.count_if(F.array_size("payload.commits") > 0).alias("pushes_with_commits")
     )
     return counts.withColumn("share", F.try_divide("pushes_with_commits", "pushes"))
 
@@ -77,6 +78,11 @@ def key_skew(df: DataFrame, key: str) -> DataFrame:
     return counts.withColumn("share", F.col("row_count") / total)
 
 
+def has_schema(df: DataFrame, ddl: str = RAW_SCHEMA) -> bool:
+    """Whether names, types and order are those of the contract, of raw records or of a table."""
+    return df.schema.simpleString() == StructType.fromDDL(ddl).simpleString()
+
+
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """Some n rows, in no order."""
     return df.limit(n)

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial, reduce
@@ -164,6 +164,16 @@ def build_marts(house: Warehouse) -> dict[str, DataFrame]:
     }
 
 
+def export(
+    house: Warehouse, fmt: str, options: Callable[[str], Mapping[str, str]], tables: Iterable[str] = tuple(TABLES)
+) -> None:
+    """Replace tables of another store by the published ones, through its connector.
+
+    ``options`` gives the connector's options for a table name.
+    """
+    at_once(partial(write_table, house.table(name), None, fmt=fmt, options=options(name)) for name in tables)
+
+
 def stage(spark: SparkSession, paths: list[str], to: str) -> DataFrame:
     """Parse landed hours once; keep the wanted types, flat, and any line that does not fit the contract."""
     scanned = scan_events(spark, paths, with_source=True)

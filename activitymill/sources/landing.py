@@ -7,7 +7,9 @@ name holding parts. A gzip file is read by one task, so parts are what lets a ve
 from __future__ import annotations
 
 from collections.abc import Sequence
+from os.path import commonprefix
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,12 @@ def day_glob(landing_dir: str, day: str) -> str:
 
 
 def landed_day(path: Column) -> Column:
-    """Day key in the name of an hour."""
-    return date_key(F.regexp_extract(path, _IN_PATH, 1).cast("date"))
+    """Day key in the name of an hour; null for a file of another name."""
+    return date_key(_day_in(path))
+
+
+def _day_in(path: Column) -> Column:
+    return F.regexp_extract(path, _IN_PATH, 1).try_cast("date")
 
 
 def scan_events(spark: SparkSession, paths: str | Sequence[str], with_source: bool = False) -> DataFrame:
@@ -56,14 +62,21 @@ def scan_events(spark: SparkSession, paths: str | Sequence[str], with_source: bo
 def landed_hours(spark: SparkSession, landing_dir: str, first_day: str, last_day: str | None = None) -> DataFrame:
     """Hours present in the folder: day, hour, path and bytes. Only names and sizes are read, never content."""
     first, last = parse_day(first_day), parse_day(last_day or first_day)
-    path, day = F.col("_metadata.file_path"), F.regexp_extract("_metadata.file_path", _IN_PATH, 1).cast("date")
-    # Filters on the hidden file columns drop other days' files before any task is made for them.
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(landing_dir)
-        .filter(path.rlike(_IN_PATH) & day.between(F.lit(first), F.lit(last)))
-    )
+    path = F.col("_metadata.file_path")
+    # What the names of all these days begin with, so that a run over one day does not list the files of years.
+    begins = commonprefix([first.isoformat(), last.isoformat()])
+    try:
+        listed = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .load(f"{landing_dir.rstrip('/')}/*{begins}*.json.gz")
+        )
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "day DATE, hour INT, path STRING, bytes BIGINT")
+    day = _day_in(path)
+    files = listed.filter(path.rlike(_IN_PATH) & day.between(F.lit(first), F.lit(last)))
     hours = files.select(
         day.alias("day"),
         F.regexp_extract(path, _IN_PATH, 2).cast("int").alias("hour"),

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from activitymill.contract import DIMS, MARTS, TABLES
+from activitymill.contract import DIMS, MARTS, TABLES, columns
 from activitymill.operators import dims, facts, marts
+from activitymill.operators.profiles import has_schema
 from activitymill.plans import daily
 from activitymill.plans.daily import GateError, LandingError, Warehouse, run_days
 from activitymill.plans.shared import shared_folder
@@ -173,6 +174,20 @@ def test_marts_as_views(spark, landing, tmp_path):
     assert all((root / name).exists() for name in DIMS)
 
 
+def test_export_through_a_connector(spark, landing, tmp_path):
+    root, other = tmp_path / "house", tmp_path / "other"
+    run(spark, landing, root, DAY1, DAY2)
+    daily.export(Warehouse(spark, str(root)), "orc", lambda name: {"path": str(other / name)})
+    want = from_scratch(spark, landing)
+    assert {name: rows(spark.read.orc(str(other / name)).select(*columns(name))) for name in TABLES} == want
+
+
+def test_published_tables_keep_their_schemas(spark, landing, tmp_path):
+    run(spark, landing, tmp_path, DAY1)
+    for name, ddl in TABLES.items():
+        assert has_schema(Warehouse(spark, str(tmp_path)).table(name), ddl), name
+
+
 def test_facts_are_pruned_by_day(spark, landing, tmp_path):
     root = tmp_path / "house"
     run(spark, landing, root, DAY1, DAY2)

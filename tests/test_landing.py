@@ -28,6 +28,8 @@ def test_manifest_lists_every_hour_once(spark, tmp_path):
     touch(tmp_path, f"{DAY}-24.json.gz", 5000)  # no such hour
     touch(tmp_path, "2024-06-03-5.json.gz", 5000)  # another day
     touch(tmp_path, f"{DAY}-4.json.gz.part", 5000)  # not finished
+    touch(tmp_path, f"copy-of-{DAY}-5.json.gz", 5000)  # another name
+    touch(tmp_path, "2024-06-99-5.json.gz", 5000)  # no such day
     touch(tmp_path, f"{DAY}-23.json.gz/part-0.gz", 700)  # an hour in parts
     touch(tmp_path, f"{DAY}-23.json.gz/part-1.gz", 700)
     manifest = landing.landing_manifest(spark, str(tmp_path), "20240602")
@@ -43,6 +45,12 @@ def test_manifest_spans_days(spark, tmp_path):
     assert [(str(r.day), r.hour) for r in manifest.filter("status = 'ok'").collect()] == [("2024-02-29", 7)]
 
 
+def test_nothing_landed_yet(spark, tmp_path):
+    manifest = landing.landing_manifest(spark, str(tmp_path), DAY)
+    assert rows(manifest.groupBy("status").count()) == [("missing", 24)]
+    assert landing.hours_to_fetch(spark, str(tmp_path), DAY).count() == 24
+
+
 def test_hours_to_fetch_shrink_as_hours_land(spark, tmp_path):
     touch(tmp_path, f"{DAY}-0.json.gz", 1025)
     touch(tmp_path, f"{DAY}-1.json.gz", 1024)  # not above the limit: fetched again
@@ -84,6 +92,11 @@ def test_bad_lines_are_kept_with_their_day(spark, tmp_path, write_hour):
     assert rows(profiles.line_health(scanned)) == [(20240602, 3, 1, 1), (20240603, 1, 1, 0)]
 
 
+def test_a_file_of_another_name_has_no_day(spark, tmp_path):
+    (tmp_path / "events.json").write_text('{"id":"1"}')
+    assert rows(landing.scan_events(spark, str(tmp_path), with_source=True), "id", "landed_day") == [("1", None)]
+
+
 def test_listing_reads_no_content_and_skips_other_days(spark, tmp_path):
     for day in range(1, 29):
         touch(tmp_path, f"2024-02-{day:02d}-0.json.gz", 2000)
