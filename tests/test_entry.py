@@ -36,6 +36,11 @@ def test_query_equals_sql(spark, db, name):
     assert got
 
 
+def test_counts_known_from_the_tables(spark):
+    assert QUERIES["fact_events"](spark, DATA).count() == 799
+    assert QUERIES["payload_completeness"](spark, DATA).first().pushes == 202
+
+
 def test_preview(spark):
     assert QUERIES["preview"](spark, DATA).count() == 10
 
