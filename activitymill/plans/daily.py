@@ -1,6 +1,7 @@
 """The gated daily job, for one day or a span of days at once.
 
-1. List the landed hours; missing hours and stubs are reported, and stop the run if all hours are required.
+1. List the landed hours; missing hours and stubs are reported, and stop the run if all hours are required or a day
+   has none.
 2. Parse the hours once, and keep the events of the four types, flat, as Parquet in the working folder.
 3. Reduce the new days to sightings (see ``operators.dims``), merge them with what was known before, and build
    dimensions.
@@ -209,8 +210,10 @@ def run_days(
     ).collect()
     run.hours = {status: sum(h.status == status for h in hours) for status in ("ok", "stub", "missing")}
     landed = [h.path for h in hours if h.status == "ok"]
-    if not landed or (require_all_hours and len(landed) < len(hours)):
-        raise LandingError(f"{run.first_day} to {run.last_day}: {run.hours}")
+    # A day with no hour at all would replace what is stored by nothing.
+    empty = sorted({str(h.day) for h in hours} - {str(h.day) for h in hours if h.status == "ok"})
+    if empty or (require_all_hours and len(landed) < len(hours)):
+        raise LandingError(f"{run.first_day} to {run.last_day}: {run.hours}, days without any hour: {empty}")
 
     staged = stage(spark, landed, f"{work}/staged")
     run.bad_lines = staged.filter(F.col(BAD_LINE).isNotNull()).count()

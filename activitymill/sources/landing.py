@@ -59,8 +59,8 @@ def scan_events(spark: SparkSession, paths: str | Sequence[str], with_source: bo
     )
 
 
-def landed_hours(spark: SparkSession, landing_dir: str, first_day: str, last_day: str | None = None) -> DataFrame:
-    """Hours present in the folder: day, hour, path and bytes. Only names and sizes are read, never content."""
+def hour_files(spark: SparkSession, landing_dir: str, first_day: str, last_day: str | None = None) -> DataFrame:
+    """Files of the days' hours: day, hour, path and size. Only names and sizes are read, never content."""
     first, last = parse_day(first_day), parse_day(last_day or first_day)
     path = F.col("_metadata.file_path")
     # What the names of all these days begin with, so that a run over one day does not list the files of years.
@@ -74,18 +74,26 @@ def landed_hours(spark: SparkSession, landing_dir: str, first_day: str, last_day
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "day DATE, hour INT, path STRING, bytes BIGINT")
+        return spark.createDataFrame([], "day DATE, hour INT, path STRING, size BIGINT")
+    # Filters on the hidden file columns drop other days' files before any task is made for them.
     day = _day_in(path)
-    files = listed.filter(path.rlike(_IN_PATH) & day.between(F.lit(first), F.lit(last)))
-    hours = files.select(
+    return listed.filter(path.rlike(_IN_PATH) & day.between(F.lit(first), F.lit(last))).select(
         day.alias("day"),
         F.regexp_extract(path, _IN_PATH, 2).cast("int").alias("hour"),
         F.regexp_extract(path, _TO_HOUR, 1).alias("path"),
-        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_size").alias("size"),
     )
+
+
+def landed_hours(spark: SparkSession, landing_dir: str, first_day: str, last_day: str | None = None) -> DataFrame:
+    """Hours present in the folder: day, hour, path and bytes."""
     # The hidden column holds the path as a URI.
     plain_path = F.url_decode(F.replace(F.max("path"), F.lit("+"), F.lit("%2B")))
-    return hours.groupBy("day", "hour").agg(plain_path.alias("path"), F.sum("file_size").alias("bytes"))
+    return (
+        hour_files(spark, landing_dir, first_day, last_day)
+        .groupBy("day", "hour")
+        .agg(plain_path.alias("path"), F.sum("size").alias("bytes"))
+    )
 
 
 def expected_hours(spark: SparkSession, first_day: str, last_day: str | None = None) -> DataFrame:

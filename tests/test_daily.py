@@ -145,6 +145,8 @@ def test_missing_hours(spark, landing, tmp_path):
         run(spark, landing, tmp_path / "house", DAY1, require_all_hours=True)
     with pytest.raises(LandingError, match="'missing': 24"):
         run(spark, landing, tmp_path / "house", "2024-07-01")
+    with pytest.raises(LandingError, match="without any hour: \\['2024-06-03'\\]"):
+        run(spark, landing, tmp_path / "house", DAY2, "2024-06-03")
     assert not (tmp_path / "house").exists()
 
 

@@ -100,8 +100,16 @@ def test_a_file_of_another_name_has_no_day(spark, tmp_path):
 def test_listing_reads_no_content_and_skips_other_days(spark, tmp_path):
     for day in range(1, 29):
         touch(tmp_path, f"2024-02-{day:02d}-0.json.gz", 2000)
-    hours = landing.landed_hours(spark, str(tmp_path), "2024-02-05")
-    plan = hours._jdf.queryExecution().executedPlan().toString()
-    assert "binaryFile" in plan and "content" not in plan.split("binaryFile")[0]
-    assert "ReadSchema: struct<>" in plan
-    assert hours.count() == 1
+    hours = landing.landed_hours(spark, str(tmp_path), "2024-02-09", "2024-02-11")
+    assert "ReadSchema: struct<>" in hours._jdf.queryExecution().executedPlan().toString()
+    assert hours.count() == 3
+    # Make every file a task of its own: those of other days get none.
+    sizes = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "1000"}
+    try:
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+        listed = landing.hour_files(spark, str(tmp_path), "2024-02-09", "2024-02-11")
+        assert listed.rdd.getNumPartitions() == 3
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
