@@ -147,11 +147,13 @@ def _day_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table_from_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = "pr_throughput_stored"
-    root = _once(spark, sf_dir, "ctas", lambda to: tables.write_table(marts.pr_throughput(_events(spark, sf_dir)), to))
-    stored = tables.read_table(spark, root, "parquet")
-    tables.create_table_as(stored, name, path=f"{root}-table")
-    return tables.read_table(spark, name)
+    def name(folder: str) -> str:
+        return f"pr_throughput_{folder.rsplit('-', 1)[-1]}"
+
+    def create(to: str) -> None:
+        tables.create_table_as(marts.pr_throughput(_events(spark, sf_dir)), name(to), path=to)
+
+    return tables.read_table(spark, name(_once(spark, sf_dir, "created", create)))
 
 
 def _mart_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,8 +313,8 @@ def oracle_sql() -> dict[str, str]:
         "events_by_type_per_day":
             "SELECT date_key, event_type, count(*) AS event_count FROM fact_events GROUP BY ALL",
         "events_per_repo_per_day":
-            "SELECT f.date_key, f.repo_id, r.repo_name, r.repo_owner, f.event_type, count(*) AS event_count "
-            "FROM fact_events f LEFT JOIN dim_repo r ON f.repo_id = r.repo_id GROUP BY ALL",
+            "SELECT date_key, repo_id, dim_repo.repo_name, repo_owner, event_type, count(*) AS event_count "
+            "FROM fact_events LEFT JOIN dim_repo USING (repo_id) GROUP BY ALL",
         "pr_throughput":
             "SELECT date_key, action, count(*) AS pr_count FROM fact_events "
             "WHERE event_type = 'PullRequestEvent' GROUP BY ALL",
@@ -320,8 +322,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT date_key, action, count(*) AS issue_count FROM fact_events "
             "WHERE event_type = 'IssuesEvent' GROUP BY ALL",
         "top_contributors":
-            "SELECT f.actor_id, a.actor_login, count(*) AS event_count "
-            "FROM fact_events f LEFT JOIN dim_actor a ON f.actor_id = a.actor_id GROUP BY ALL",
+            "SELECT actor_id, dim_actor.actor_login, count(*) AS event_count "
+            "FROM fact_events LEFT JOIN dim_actor USING (actor_id) GROUP BY ALL",
     }
     others = {
         "dq_duplicate_keys":
@@ -329,8 +331,8 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY actor_id HAVING count(*) > 1",
         "dq_null_rows": "SELECT * FROM broken_repo WHERE repo_id IS NULL",
         "dq_orphans":
-            "SELECT c.actor_id AS from_field FROM broken_fact c LEFT JOIN broken_actor p ON c.actor_id = p.actor_id "
-            "WHERE c.actor_id IS NOT NULL AND p.actor_id IS NULL",
+            "SELECT actor_id AS from_field FROM broken_fact WHERE actor_id IS NOT NULL "
+            "AND actor_id NOT IN (SELECT actor_id FROM broken_actor)",
         "grain_check":
             "SELECT (SELECT count(*) FROM raw WHERE event_type <> 'ForkEvent') AS raw_events, "
             "(SELECT count(*) FROM fact_events) AS fact_rows, true AS holds",

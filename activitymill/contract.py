@@ -12,6 +12,16 @@ RAW_SCHEMA = (
 )
 BAD_LINE = "bad_line"  # text of a line that does not fit the contract
 
+# Where the columns of an event, and of a commit within it, come from.
+EVENT_FIELDS = {
+    "event_id": "id", "event_type": "type",
+    "actor_id": "actor.id", "actor_login": "actor.login",
+    "repo_id": "repo.id", "repo_name": "repo.name",
+    "org_id": "org.id", "org_login": "org.login",
+    "action": "payload.action",
+}
+COMMIT_FIELDS = {"commit_sha": "commit.sha", "commit_message": "commit.message"}
+
 # The event types that are kept.
 PUSH = "PushEvent"
 PULL_REQUEST = "PullRequestEvent"

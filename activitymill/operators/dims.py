@@ -53,12 +53,8 @@ def dim_repo(events: DataFrame) -> DataFrame:
 
 def dim_time(events: DataFrame) -> DataFrame:
     """One row per day seen, at date grain. Every part follows from the key, so only the key is read."""
-    days = events.select("date_key").distinct().withColumn("date", key_date(F.col("date_key")))
-    return days.select(
-        "date_key",
-        "date",
-        F.year("date").alias("year"),
-        F.month("date").alias("month"),
-        F.dayofmonth("date").alias("day"),
-        F.dayofweek("date").alias("day_of_week"),
-    )
+    day = key_date(F.col("date_key"))
+    return events.select("date_key").distinct().withColumns({
+        "date": day, "year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day),
+        "day_of_week": F.dayofweek(day),  # Sunday is 1
+    })

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activitymill.contract import PUSH, TARGET_TYPES, columns
+from activitymill.contract import COMMIT_FIELDS, EVENT_FIELDS, PUSH, TARGET_TYPES, columns
 from activitymill.functions.time import date_key, event_instant, utc_day
 
 
@@ -16,19 +18,7 @@ def target_events(raw: DataFrame) -> DataFrame:
 
 def flatten(raw: DataFrame, *more: str | Column) -> DataFrame:
     """Raw records with their nested fields as columns, the parsed time and the day; ``more`` is carried along."""
-    flat = raw.select(
-        F.col("id").alias("event_id"),
-        F.col("type").alias("event_type"),
-        F.col("actor.id").alias("actor_id"),
-        F.col("actor.login").alias("actor_login"),
-        F.col("repo.id").alias("repo_id"),
-        F.col("repo.name").alias("repo_name"),
-        F.col("org.id").alias("org_id"),
-        F.col("org.login").alias("org_login"),
-        F.col("payload.action").alias("action"),
-        "created_at",
-        *more,
-    )
+    flat = raw.select(*_fields(EVENT_FIELDS), "created_at", *more)
     # One column per step, so that the text is parsed once and not once per date part.
     return (
         flat.withColumn("created_ts", event_instant(F.col("created_at")))
@@ -51,10 +41,10 @@ def fact_commits(raw: DataFrame) -> DataFrame:
 
 def explode_commits(pushes: DataFrame, *more: str) -> DataFrame:
     """Commit rows from flat pushes that carry ``commits``; the day was worked out once per push."""
-    commits = pushes.select("event_id", "actor_id", "repo_id", "date_key", F.explode("commits").alias("commit"), *more)
-    return commits.select(
-        "event_id", "actor_id", "repo_id", "date_key",
-        F.col("commit.sha").alias("commit_sha"),
-        F.col("commit.message").alias("commit_message"),
-        *more,
-    )
+    parent = ["event_id", "actor_id", "repo_id", "date_key"]
+    commits = pushes.select(*parent, *more, F.explode("commits").alias("commit"))
+    return commits.select(*parent, *_fields(COMMIT_FIELDS), *more)
+
+
+def _fields(names: Mapping[str, str]) -> list[Column]:
+    return [F.col(field).alias(name) for name, field in names.items()]
