@@ -19,6 +19,13 @@ from activitymill.plans import daily
 from activitymill.plans.shared import shared_folder
 from activitymill.sources import landing, sample, tables
 
+try:
+    from activitymill.llm import queries as llm
+except ModuleNotFoundError as absent:  # the folder may be taken out; any other missing module is an error
+    if absent.name != "activitymill.llm":
+        raise
+    llm = None
+
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"  # the days the events table spans
 
 
@@ -218,6 +225,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_from_query": _table_from_query,
         "mart_view": _mart_view,
         **{f"daily_{name}": _published(name) for name in TABLES},
+        **(llm.queries() if llm else {}),
     }
 
 
@@ -387,4 +395,5 @@ def oracle_sql() -> dict[str, str]:
         **{f"daily_{name}": _RAW + sql for name, sql in tables_sql.items()},
         "dq_report": _report_sql("fact_events", "dim_actor", "dim_repo"),
         "dq_report_broken": _report_sql("broken_fact", "broken_actor", "broken_repo"),
+        **(llm.oracle_sql() if llm else {}),
     }
