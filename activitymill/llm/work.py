@@ -28,10 +28,9 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
-    with tempfile.TemporaryDirectory() as folder:
-        path = f"{folder}/{package.name}.zip"
-        with zipfile.ZipFile(path, "w") as out:
-            for file in sorted(package.rglob("*.py")):
-                out.write(file, file.relative_to(package.parent))
-        context.addPyFile(path)
+    path = f"{tempfile.mkdtemp()}/{package.name}.zip"  # the driver serves it for as long as the application lives
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(path)
     _shipped.add(context.applicationId)
