@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activitymill.llm import mixing, url_filter, warc
+from activitymill.llm import imatch, mixing, toxicity, url_filter, warc
 from activitymill.llm.work import ship
 from activitymill.plans.shared import shared_folder
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.fit(docs, toxicity.severity_grades(labels)))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     listed = warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -24,6 +29,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder, listed, columns=columns).select(*columns)
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return imatch.with_next(docs, imatch.lexicon(docs))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.fit(url_filter.labelled_by_rules(pages)))
@@ -42,7 +52,7 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    found = (op3_warc, op7_url_filter, op10_mixing)
+    found = (op2_toxicity, op3_warc, op5_imatch, op7_url_filter, op10_mixing)
     return {query.__name__: _shipped(query) for query in found}
 
 

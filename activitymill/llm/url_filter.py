@@ -1,7 +1,7 @@
 """URL filter: rules on host and path first, then logistic regression on hashed character n-grams.
 
-The classifier is fitted on a small labelled table of URLs. At most ``max_rows`` of it are used, those with the
-smallest hash of the URL; they and the weights (2 ** ``bits`` numbers) are all that the driver holds. Scoring is one
+The classifier is fitted on a small labelled table of URLs. At most ``max_rows`` of it are used, different ones
+with the smallest hash of the URL; they and the weights (2 ** ``bits`` numbers) are all that the driver holds. Scoring is one
 pass over the URLs without a shuffle.
 
 Defined cases: a null URL, and one without ``://``, has an empty host and path, fits no rule, and is judged by the
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from activitymill.llm.words import mix
+from activitymill.llm.work import bounded_sample
 
 # Letters lower-cased in hosts.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -107,12 +108,11 @@ def fit(
     labelled: DataFrame, *, max_rows: int = 4096, bits: int = 16, rounds: int = 200, penalty: float = 1e-4
 ) -> UrlModel:
     """``labelled`` has ``url`` and ``block`` (boolean); rows without either are left out."""
-    rows = (
-        labelled.filter(F.col("url").isNotNull() & F.col("block").isNotNull())
-        .select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "block",
-                F.xxhash64("url").alias("key"))
-        .orderBy("key", "block").limit(max_rows).toPandas()
-    )
+    given = labelled.filter(F.col("url").isNotNull() & F.col("block").isNotNull()).select("url", "block")
+    url = F.col("url")
+    rows = bounded_sample(given, "url", max_rows).select(
+        host_of(url).alias("host"), path_of(url).alias("path"), "block"
+    ).toPandas()
     weights, kinds = np.zeros(1 << bits), rows["block"].nunique()
     if kinds < 2:
         return UrlModel(weights, 1.0 if kinds and rows["block"].iloc[0] else -1.0, bits)

@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from activitymill.plans.shared import shared_folder
 
@@ -19,6 +20,18 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """At most ``max_rows`` different rows, those with the smallest hash of ``key``, in that order.
+
+    Rows beyond twice the share that is wanted are left out before any sort, so what tasks send does not grow with
+    their number.
+    """
+    share = min(1.0, 2 * max_rows / max(1, df.count()))
+    place = F.xxhash64(key)
+    below = place <= int(-(1 << 63) + share * ((1 << 64) - 1) * (1 - 1e-9)) if share < 1 else F.lit(True)
+    return df.filter(below).distinct().orderBy(place, *df.columns).limit(max_rows)
+
+
 _shipped: set[str] = set()
 
 
