@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activitymill.llm import imatch, mixing, toxicity, url_filter, warc
+from activitymill.llm import bloom_lm, imatch, mixing, toxicity, url_filter, warc
 from activitymill.llm.work import ship
 from activitymill.plans.shared import shared_folder
 
@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return toxicity.score(docs, toxicity.fit(docs, toxicity.severity_grades(labels)))
+    return toxicity.score(docs, toxicity.fit(docs, toxicity.toxic_grades(labels), severities=3))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder, listed, columns=columns).select(*columns)
 
 
+def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return imatch.with_next(docs, imatch.lexicon(docs))
@@ -52,7 +56,7 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_toxicity, op3_warc, op5_imatch, op7_url_filter, op10_mixing)
+    found = (op2_toxicity, op3_warc, op4_bloom_lm, op5_imatch, op7_url_filter, op10_mixing)
     return {query.__name__: _shipped(query) for query in found}
 
 

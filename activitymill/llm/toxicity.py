@@ -95,11 +95,22 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> list[tuple[np.
     return [(np.frombuffer(r.found, np.uint64), r.grade) for r in sampled.toLocalIterator()]
 
 
+def _graded(grades: np.ndarray, y: np.ndarray, evidence: np.ndarray, severities: int) -> tuple[np.ndarray, np.ndarray]:
+    toxic = grades[y] > 0
+    if toxic.any():
+        cuts = np.quantile(evidence[toxic], np.arange(1, severities) / severities, method="higher")
+        grade = np.where(toxic, 1 + np.searchsorted(cuts, evidence, "left"), 0)
+        return np.unique(grade, return_inverse=True)
+    return grades, y
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, *, max_rows: int = 8192, max_features: int = 20_000, least: int = 5,
-    z: float = 6.0, penalty: float = 1e-3, rounds: int = 400,
+    z: float = 6.0, severities: int = 1, penalty: float = 1e-3, rounds: int = 800,
 ) -> OrdinalModel:
-    """``labels`` has doc_id and ``grade``, a whole number of 0 or more."""
+    """``labels`` has doc_id and ``grade``, a whole number of 0 or more. Where grades only say whether a document is
+    toxic (1) or not (0), ``severities`` splits the toxic ones into so many grades of equal size, by the number of
+    their different features that point upwards."""
     rows = _sample(docs, labels, max_rows)
     grades, y = np.unique(np.array([g for _, g in rows], np.int64), return_inverse=True)
     none = np.zeros(0)
@@ -115,6 +126,8 @@ def fit(
     index[good] = np.arange(len(good))
     used = index[place] >= 0
     column, row = index[place][used], owner[used]
+    if severities > 1:
+        grades, y = _graded(grades, y, np.bincount(row, off[good][column] > 0, minlength=len(y)), severities)
 
     shares = np.cumsum(np.bincount(y, minlength=len(grades)))[:-1] / len(y)
     weights, thresholds = np.zeros(len(good)), np.log(shares / (1 - shares))
@@ -134,7 +147,7 @@ def fit(
         for m, value, keep in zip(moments, (gradient, gradient ** 2), (0.9, 0.999)):
             m *= keep
             m += (1 - keep) * value
-        step = 0.05 * (moments[0] / (1 - 0.9 ** t)) / (np.sqrt(moments[1] / (1 - 0.999 ** t)) + 1e-8)
+        step = 0.2 * (moments[0] / (1 - 0.9 ** t)) / (np.sqrt(moments[1] / (1 - 0.999 ** t)) + 1e-8)
         weights = weights + step[:len(good)]
         thresholds = np.maximum.accumulate(thresholds + step[len(good):])
     return OrdinalModel(terms[good], weights, thresholds, grades)
@@ -179,9 +192,6 @@ def keep_clean(docs: DataFrame, model: OrdinalModel, reject: float = 0.5) -> Dat
     return docs.mapInArrow(run, docs.schema)
 
 
-def severity_grades(labels: DataFrame) -> DataFrame:
-    """Grades from binary labels: 0 for documents that are not toxic, 1 for toxic ones, 2 for toxic ones that are of
-    low quality as well."""
-    low = F.coalesce(F.col("quality") == 0, F.lit(False))
-    grade = F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(low, 2).otherwise(1))
-    return labels.select("doc_id", grade.alias("grade"))
+def toxic_grades(labels: DataFrame) -> DataFrame:
+    """Grades from binary labels: 1 for toxic documents, 0 for others."""
+    return labels.select("doc_id", F.col("toxic").alias("grade"))
