@@ -21,10 +21,10 @@ ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,23 +141,25 @@ def in_ranges(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, text, ``part`` and ``guest``: ranges of doc_id, each sorted and followed by the first document of the
     next one (the last by the first of all) as its guest."""
     ids = docs.select("doc_id")
-    cuts = sorted(set(ids.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
-    cuts = [int(c) for c in cuts]
-    part = F.coalesce(F.array_size(F.filter(
-        F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>"), lambda c: c < F.col("doc_id")
-    )), F.lit(0))
-    bounds = ids.select("doc_id", part.alias("part")).groupBy("part").agg(
-        F.min("doc_id").alias("least"), F.count_if(F.col("doc_id").isNull()).alias("nulls")
+    cuts = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
+    cuts = np.array(sorted(set(cuts)))
+
+    @F.pandas_udf("int")
+    def part(values: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, values.fillna(-np.inf), "left"), dtype="int32")
+
+    bounds = ids.select("doc_id", part("doc_id").alias("part")).groupBy("part").agg(
+        F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("nulls")
     ).orderBy("part").collect()  # one row per range
-    # The part to which each range's first document also goes.
-    used = [r.part for r in bounds]
-    home = F.struct(part.alias("part"), F.lit(False).alias("guest"))
-    copies = F.array(home)
-    for i, r in enumerate(bounds):
-        first = F.col("doc_id").isNull() if r.nulls else F.col("doc_id") == r.least
-        there = F.struct(F.lit(used[i - 1]).alias("part"), F.lit(True).alias("guest"))
-        copies = F.when((part == r.part) & first, F.array(home, there)).otherwise(copies)
-    sent = docs.select("doc_id", "text", F.inline(copies))
+    first = docs.sparkSession.createDataFrame(
+        [(r.part, r.least, r.nulls, bounds[i - 1].part) for i, r in enumerate(bounds)],
+        "part int, least long, nulls boolean, before int",
+    )
+    placed = docs.select("doc_id", "text", part("doc_id").alias("part")).join(F.broadcast(first), "part")
+    is_first = F.when(F.col("nulls"), F.col("doc_id").isNull()).otherwise(F.col("doc_id") == F.col("least"))
+    home = F.struct("part", F.lit(False).alias("guest"))
+    there = F.struct(F.col("before").alias("part"), F.lit(True).alias("guest"))
+    sent = placed.select("doc_id", "text", F.inline(F.when(is_first, F.array(home, there)).otherwise(F.array(home))))
     return sent.repartition(n, "part").sortWithinPartitions("part", "guest", F.col("doc_id").asc_nulls_first(), "text")
 
 

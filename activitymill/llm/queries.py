@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activitymill.llm import bloom_lm, imatch, mixing, toxicity, url_filter, warc
+from activitymill.llm import (
+    bloom_lm, imatch, jaccard_join, mixing, suffix_dedup, toxicity, url_filter, warc,
+)
 from activitymill.llm.work import ship
 from activitymill.plans.shared import shared_folder
 
@@ -38,11 +40,20 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.with_next(docs, imatch.lexicon(docs))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.fit(url_filter.labelled_by_rules(pages)))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.links(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "copies", "links", "group_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -56,7 +67,10 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_toxicity, op3_warc, op4_bloom_lm, op5_imatch, op7_url_filter, op10_mixing)
+    found = (
+        op2_toxicity, op3_warc, op4_bloom_lm, op5_imatch, op6_suffix_dedup, op7_url_filter, op8_jaccard_join,
+        op10_mixing,
+    )
     return {query.__name__: _shipped(query) for query in found}
 
 
