@@ -7,12 +7,13 @@ Which texts have to meet: each window of ``length`` bytes has an anchor, the pla
 anchor share the ``length - reach + 1`` bytes from the anchor on, their core. So windows can only be equal if the
 cores are, and only cores that occur at two places are looked at further.
 
-Around each such anchor a segment is cut: the bytes before the core that its windows start in, the core as one symbol,
-and the bytes after it. Segments of a group (equal cores) that are equal too are kept once. The others form
+Around each such anchor a segment is cut: the bytes before the core that its windows start in, symbols that stand for
+the core, and the bytes after it. Segments of a group (equal cores) that are equal too are kept once, and the verdict on
+a segment is joined back to its places. The others form
 collections, over which the Burrows-Wheeler transform and the longest common prefixes are built as by Bauer, Cox and
 Rosone: each round puts one more symbol of every segment, from its end to its start, into both, which are kept in
-files that are read and written from front to back. A window is ``reach`` symbols here wherever it starts, so it
-occurs elsewhere if its suffix shares ``reach`` symbols with a neighbour in suffix order.
+files that are read and written from front to back. A window has the same number of symbols here wherever it
+starts, so it occurs elsewhere if its suffix shares that many with a neighbour in suffix order.
 
 Equal texts are one text, all of which goes if it is as long as a window. A core with more than ``crowd`` places is
 dealt out to several collections by its segments' hashes; windows are then compared across these by a digest, one row
@@ -173,11 +174,11 @@ def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nd
 
 def shared_prefixes(symbols: np.ndarray, offsets: np.ndarray, cap: int) -> np.ndarray:
     """For the suffix at each symbol of each segment, how many symbols, up to ``cap``, it shares with the suffix of
-    another start that shares most. Symbols are 1 and up; ends of segments differ from each other."""
+    another start that shares most. Symbols are from 1 to 255; ends of segments differ from each other."""
     count, sizes = len(offsets) - 1, np.diff(offsets)
     end = offsets[1:]
     filled = sizes > 0
-    begin = np.zeros(count, np.uint16)
+    begin = np.zeros(count, np.uint8)
     begin[filled] = symbols[end[filled] - 1]
     bwt, lcp = _File(begin), _File(np.zeros(count, np.uint8))
     try:
@@ -185,9 +186,9 @@ def shared_prefixes(symbols: np.ndarray, offsets: np.ndarray, cap: int) -> np.nd
         while len(active):
             old, common = bwt.read(), lcp.read()
             order = np.argsort(old, kind="stable")
-            place = np.empty(len(old), np.int64)
-            place[order] = np.arange(len(old))
-            mine, symbol = place[at], old[at]
+            place = np.empty(len(old), np.int32)
+            place[order] = np.arange(len(old), dtype=np.int32)
+            mine, symbol = place[at].astype(np.int64), old[at]
             ended = int(np.count_nonzero(old == 0))
             before = order[np.maximum(mine - 1, 0)]
             after = order[np.minimum(mine + 1, len(old) - 1)]
@@ -198,12 +199,12 @@ def shared_prefixes(symbols: np.ndarray, offsets: np.ndarray, cap: int) -> np.nd
             following[has_after] = np.minimum(_range_least(common, at[has_after] + 1, after[has_after]), cap - 1) + 1
             j += 1
             goes_on = sizes[active] > j
-            symbol = np.zeros(len(active), np.uint16)
+            symbol = np.zeros(len(active), np.uint8)
             symbol[goes_on] = symbols[end[active[goes_on]] - 1 - j]
             to = count + mine - ended
             fresh = np.zeros(len(old) + len(active), bool)
             fresh[to] = True
-            new, new_common = np.empty(len(fresh), np.uint16), np.empty(len(fresh), np.uint8)
+            new, new_common = np.empty(len(fresh), np.uint8), np.empty(len(fresh), np.uint8)
             new[~fresh], new_common[~fresh] = old, common
             new[to], new_common[to] = symbol, prev
             next_old = to + 1 < len(fresh)
@@ -234,31 +235,45 @@ def shared_prefixes(symbols: np.ndarray, offsets: np.ndarray, cap: int) -> np.nd
 
 # --- segments and groups ---------------------------------------------------------------------------------------
 
-_SEGMENT = "core long, core2 long, part int, same long, place long, cut int, span int, times long, body binary"
+_SEGMENT = (
+    "core long, core2 long, part int, cut int, span int, body binary, segment long, same array<long>, place array<long>"
+)
+
+
+def _number(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
 def _segments(found: DataFrame, w: Windows, crowd: int) -> DataFrame:
-    """Segments around repeated cores, from (same, text, spots)."""
+    """Segments around repeated cores, from (same, text, spots): a row per batch and different segment, with the places
+    at which it is. ``segment`` is its hash; ``part`` is -1 but for crowded cores."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([
+            ("core", pa.int64()), ("core2", pa.int64()), ("part", pa.int32()), ("cut", pa.int32()), ("span", pa.int32()),
+            ("body", pa.binary()), ("segment", pa.int64()), ("same", pa.list_(pa.int64())), ("place", pa.list_(pa.int64())),
+        ])
         for batch in batches:
-            for name, text, spots in zip(*(batch.column(c) for c in range(3))):
-                data, rows = text.as_py().encode(), []
+            merged: dict[tuple, tuple[list[int], list[int]]] = {}
+            for name, text, spots in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                data = text.as_buffer().to_pybytes()
                 for spot in spots.as_py():
                     place, left, span = spot["place"], spot["more"] >> 16, spot["more"] & 0xFFFF
                     anchor = place + left
                     core = hashlib.blake2b(data[anchor:anchor + w.core], digest_size=16).digest()
                     body = data[place:anchor] + data[anchor + w.core:place + span + w.length]
-                    parts = -(-spot["times"] // crowd)
-                    part = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little") % parts
-                    rows.append((
-                        int.from_bytes(core[:8], "little", signed=True), int.from_bytes(core[8:], "little", signed=True),
-                        part if parts > 1 else -1, name.as_py(), place, left, span, spot["times"], body,
-                    ))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                    pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(),
-                    pa.binary(),
-                ))], _SEGMENT.replace(",", "").split()[::2])
+                    key = (core, -(-spot["times"] // crowd), left, span, body)
+                    names, places = merged.setdefault(key, ([], []))
+                    names.append(name)
+                    places.append(place)
+            rows = [
+                (int.from_bytes(core[:8], "little", signed=True), int.from_bytes(core[8:], "little", signed=True),
+                 _number(body) % parts if parts > 1 else -1, left, span, body,
+                 _number(b"%s %d %d " % (core, left, span) + body), *spots)
+                for (core, parts, left, span, body), spots in merged.items()
+            ]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return found.mapInArrow(cut, _SEGMENT)
 
@@ -270,62 +285,75 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Group:
-    """The segments of one core, or of one part of a crowded one."""
+    """The segments of one core, or of one part of a crowded one: hash to (cut, span, body, times)."""
 
     def __init__(self, core: tuple[int, int], crowded: bool):
         self.core, self.crowded = b"%d %d" % core, crowded
-        self.spots: dict[tuple, list[tuple[int, int]]] = {}  # (cut, span, body) to (text, place)
-
-    def add(self, row: dict) -> None:
-        spots = self.spots.setdefault((row["cut"], row["span"], row["body"]), [])
-        if (row["same"], row["place"]) not in spots[-1:]:
-            spots.append((row["same"], row["place"]))
-
-
-_RANGES = pa.schema([
-    ("same", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("digest", pa.binary()), ("single", pa.bool_()),
+        self.segments: dict[int, list] = {}
+
+    def add(self, segment: int, cut: int, span: int, body: bytes, times: int) -> None:
+        known = self.segments.setdefault(segment, [cut, span, body, 0])
+        known[3] += times
+
+
+def _collection(groups: list[_Group]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Symbols and offsets of the segments of all groups with several, and how many symbols stand for a core.
+
+    Bytes are numbered from 1 as they occur; cores are written with digits from the numbers that are left, which are
+    at least 11 as UTF-8 has 243 different bytes.
+    """
+    several = [g for g in groups if len(g.segments) > 1]
+    bodies = [(number, cut, body) for number, g in enumerate(several) for cut, _, body, _ in g.segments.values()]
+    joined = np.frombuffer(b"".join(body for _, _, body in bodies), np.uint8)
+    present = np.zeros(256, bool)
+    present[joined] = True
+    code = np.cumsum(present).astype(np.uint8)
+    base = 255 - int(present.sum())
+    digits = 1
+    while base ** digits < len(several):
+        digits += 1
+    parts, sizes, at = [], [], 0
+    coded = code[joined]
+    for number, cut, body in bodies:
+        own = coded[at:at + len(body)]
+        at += len(body)
+        name = [255 - number // base ** k % base for k in range(digits)]
+        parts += [own[:cut], np.array(name, np.uint8), own[cut:]]
+        sizes.append(len(body) + digits)
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)]), digits
+
+
+_VERDICT = pa.schema([
+    ("segment", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("digest", pa.binary()), ("single", pa.bool_()),
 ])
 
 
 def _judge(groups: list[_Group], w: Windows) -> Iterator[pa.RecordBatch]:
-    """Ranges of bytes to remove, and for crowded cores a row with a digest per distinct window."""
-    parts, offsets, asked = [], [0], []
-    for number, group in enumerate(groups):
-        for (cut, span, body), spots in group.spots.items():
-            if len(group.spots) > 1:
-                data = np.frombuffer(body, np.uint8).astype(np.uint16) + 1
-                parts += [data[:cut], np.array([257 + number], np.uint16), data[cut:]]
-                asked.append(offsets[-1])
-                offsets.append(offsets[-1] + len(body) + 1)
-            else:
-                asked.append(-1)
-    if parts:
-        best = shared_prefixes(np.concatenate(parts), np.array(offsets), w.reach)
+    """Runs of windows, counted from a segment's first, that occur elsewhere; for crowded cores also a row with a
+    digest per window."""
+    if any(len(g.segments) > 1 for g in groups):
+        symbols, offsets, digits = _collection(groups)
+        enough = w.reach - 1 + digits
+        best = shared_prefixes(symbols, offsets, enough) >= enough
     rows, k = [], 0
     for group in groups:
-        for (cut, span, body), spots in group.spots.items():
-            again = np.full(span + 1, len(spots) > 1)
-            if asked[k] >= 0:
-                again |= best[asked[k]:asked[k] + span + 1] >= w.reach
-            k += 1
-            for first, last in zip(*_runs(again)):
-                rows += [(name, place + int(first), place + int(last) + w.length, None, None) for name, place in spots]
+        for segment, (cut, span, body, times) in group.segments.items():
+            again = np.full(span + 1, times > 1)
+            if len(group.segments) > 1:
+                again |= best[offsets[k]:offsets[k] + span + 1]
+                k += 1
+            if again.all():
+                rows.append((segment, 0, span, None, None))
+            elif again.any():
+                rows += [(segment, int(a), int(b), None, None) for a, b in zip(*_runs(again))]
             if group.crowded:
-                name, place = spots[0]
                 for o in range(span + 1):
                     digest = hashlib.blake2b(
                         b"%s %d " % (group.core, cut - o) + body[o:cut + w.reach - 1 - (cut - o)], digest_size=16
                     ).digest()
-                    rows.append((name, place + o, place + o + w.length, digest, not again[o]))
-            if len(rows) > 50_000:
-                yield _range_rows(rows)
-                rows = []
+                    rows.append((segment, o, o, digest, not again[o]))
     if rows:
-        yield _range_rows(rows)
-
-
-def _range_rows(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RANGES)], schema=_RANGES)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _VERDICT)], schema=_VERDICT)
 
 
 def _ranges(segments: DataFrame, w: Windows, n: int) -> DataFrame:
@@ -334,34 +362,38 @@ def _ranges(segments: DataFrame, w: Windows, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group, waiting, size = None, None, [], 0
         for batch in batches:
-            for row in batch.to_pylist():
-                if (row["core"], row["core2"], row["part"]) != key:
+            for core, core2, part, *segment in zip(*(c.to_pylist() for c in batch.columns)):
+                if (core, core2, part) != key:
                     if group:
-                        size += len(group.spots)
+                        size += len(group.segments)
                         if size >= _SEGMENTS:
                             yield from _judge(waiting, w)
                             waiting, size = [], 0
-                    key, group = (row["core"], row["core2"], row["part"]), _Group(
-                        (row["core"], row["core2"]), row["part"] >= 0
-                    )
+                    key, group = (core, core2, part), _Group((core, core2), part >= 0)
                     waiting.append(group)
-                group.add(row)
+                group.add(*segment)
         if waiting:
             yield from _judge(waiting, w)
 
-    sorted_segments = segments.repartition(n, "core", "core2", "part").sortWithinPartitions(
-        "core", "core2", "part", "same", "place"
-    )
+    sorted_segments = segments.select(
+        "core", "core2", "part", "segment", "cut", "span", "body", F.array_size("same").alias("times")
+    ).repartition(n, "core", "core2", "part").sortWithinPartitions("core", "core2", "part", "segment")
     judged = kept(sorted_segments.mapInArrow(
-        run, "same long, start long, stop long, digest binary, single boolean"), "judged"
+        run, "segment long, first int, last int, digest binary, single boolean"), "judged"
     )
-    sure = judged.filter(F.col("digest").isNull()).select("same", "start", "stop")
+    sure = judged.filter(F.col("digest").isNull()).select("segment", "first", "last")
     # Windows of crowded cores that are single in their part but not in all.
     several = judged.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.count_if("single").alias("singles"), F.count("*").alias("times")
     ).filter((F.col("times") > 1) & (F.col("singles") > 0)).select("digest")
-    late = judged.filter(F.col("single")).join(several, "digest", "left_semi").select("same", "start", "stop")
-    return sure.unionByName(late)
+    late = judged.filter(F.col("single")).join(several, "digest", "left_semi").select("segment", "first", "last")
+    runs = sure.unionByName(late)
+    spots = segments.select("segment", F.explode(F.arrays_zip("same", "place")).alias("spot"))
+    start = F.col("spot.place") + F.col("first")
+    return spots.join(runs, "segment").select(
+        F.col("spot.same").alias("same"), start.alias("start"),
+        (F.col("spot.place") + F.col("last") + w.length).alias("stop"),
+    )
 
 
 # --- the operator ----------------------------------------------------------------------------------------------
@@ -382,7 +414,7 @@ def _marked(docs: DataFrame, w: Windows, crowd: int) -> tuple[DataFrame, DataFra
     )
     wanted = spots.join(classes.select("same", "rid"), "same")
     found = rows.select("rid", "text").join(wanted, "rid").select("same", "text", "spots")
-    ranges = _ranges(_segments(found, w, crowd), w, n)
+    ranges = _ranges(kept(_segments(found, w, crowd), "segments"), w, n)
     by_text = ranges.groupBy("same").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     gone = classes.select("same", ((F.col("copies") > 1) & (F.col("size") >= w.length)).alias("all")).join(
         by_text, "same", "left"
