@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from activitymill.llm import (
-    bloom_lm, imatch, jaccard_join, mixing, suffix_dedup, toxicity, url_filter, warc,
+    bloom_lm, decontaminate, imatch, jaccard_join, mixing, paragraphs, suffix_dedup, toxicity, url_filter, warc,
 )
 from activitymill.llm.work import ship
 from activitymill.plans.shared import shared_folder
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rid")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.fit(docs, toxicity.toxic_grades(labels), severities=3))
@@ -54,6 +58,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "copies", "links", "group_id")
 
 
+def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.removals(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -68,8 +76,8 @@ def _shipped(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = (
-        op2_toxicity, op3_warc, op4_bloom_lm, op5_imatch, op6_suffix_dedup, op7_url_filter, op8_jaccard_join,
-        op10_mixing,
+        op1_decontaminate, op2_toxicity, op3_warc, op4_bloom_lm, op5_imatch, op6_suffix_dedup, op7_url_filter,
+        op8_jaccard_join, op9_paragraphs, op10_mixing,
     )
     return {query.__name__: _shipped(query) for query in found}
 
