@@ -20,11 +20,12 @@ from activitymill.plans.shared import shared_folder
 from activitymill.sources import landing, sample, tables
 
 try:
+    import corpus_pipeline
     from activitymill.llm import queries as llm
-except ModuleNotFoundError as absent:  # the folder may be taken out; any other missing module is an error
-    if absent.name != "activitymill.llm":
+except ModuleNotFoundError as absent:  # these may be taken out; any other missing module is an error
+    if absent.name not in ("corpus_pipeline", "activitymill.llm"):
         raise
-    llm = None
+    corpus_pipeline = llm = None
 
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"  # the days the events table spans
 
@@ -225,7 +226,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_from_query": _table_from_query,
         "mart_view": _mart_view,
         **{f"daily_{name}": _published(name) for name in TABLES},
-        **(llm.queries() if llm else {}),
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
