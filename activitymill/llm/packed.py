@@ -96,3 +96,46 @@ def repeated(sent: DataFrame, n: int) -> DataFrame:
             ], ["row", "place", "more", "key", "times"])
 
     return deal(sent, n).mapInArrow(receive, "row long, place long, more long, key long, times long")
+
+
+class Sender:
+    """Gathers a task's columns of records and packs them by bucket, ``size`` bytes at a time.
+
+    However many buckets there are, a task makes one row per bucket and ``size`` bytes. Within a bucket, records stand
+    column by column, in the order of ``sort`` (a column's place), so that equal neighbours are compressed.
+    """
+
+    def __init__(self, n: int, sort: int, size: int = 24 << 20):
+        self.n, self.sort, self.size = n, sort, size
+        self.waiting: list[tuple[np.ndarray, ...]] = []
+        self.held = 0
+
+    def add(self, bucket: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.waiting.append((bucket, *columns))
+        self.held += sum(c.nbytes for c in columns)
+        if self.held >= self.size:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        bucket, *columns = (np.concatenate(c) for c in zip(*self.waiting))
+        self.waiting, self.held = [], 0
+        order = np.lexsort((columns[self.sort], bucket))
+        bucket, columns = bucket[order], [c[order] for c in columns]
+        at = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = np.append(at[1:], len(bucket))
+        rows = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(at, ends)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[at].astype(np.int32)), pa.array(rows, pa.binary())], schema=_ARROW
+        )
+
+
+def columns_of(records: pa.Scalar, *kinds: str) -> list[np.ndarray]:
+    """The columns of a row that a ``Sender`` has packed."""
+    data, types = records.as_buffer(), [np.dtype(k) for k in kinds]
+    count, at, out = data.size // sum(t.itemsize for t in types), 0, []
+    for t in types:
+        out.append(np.frombuffer(data, t, count, at))
+        at += count * t.itemsize
+    return out
