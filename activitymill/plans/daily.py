@@ -1,27 +1,32 @@
 """The gated daily job, for one day or a span of days at once.
 
-1. List the landed hours; missing hours and stubs are reported, and stop the run if all hours are required or a day
-   has none.
-2. Parse the hours once, and keep the events of the four types, flat, as Parquet in the working folder.
-3. Reduce the new days to sightings (see ``operators.dims``), merge them with what was known before, and build
-   dimensions.
-4. Run the checks on the new facts and these dimensions. If one fails, stop: nothing was published.
-5. Publish facts and sightings of these days, then dimensions, then marts.
-
-Every step reads what an earlier one wrote, so losing executors costs tasks and not the run. What is stored per
-day is partitioned by the day it landed (``landed_day``): hourly files may hold events from the far side of
-midnight, so replacing by event day would wipe the neighbouring day. Facts are partitioned by ``date_key`` below
-that. Running a day again replaces exactly what it had put in.
+1. List the landed hours. A missing hour, a stub, an hour under two paths, and fewer hours than are stored for a day
+   stop the run, unless the caller allows them.
+2. Parse the hours once, and keep the events of the four types, flat, and the lines that do not fit.
+3. Write facts, bad lines and sightings of these days (see ``operators.dims``), merge the sightings with what was known
+   before, and build dimensions.
+4. Run the checks on these tables, compare counts with what was parsed, and look at the share of bad lines. If one
+   fails, stop and remove what was written.
+5. Publish by moving one pointer (``sources.state``).
+
+Each table is written once, below ``<table>/run=<run>``, where nothing refers to it until the pointer moves. So a run
+that breaks off anywhere leaves readers with the state from before, and a later run of any days starts from that.
+Folders that neither the new state nor the one before it refers to are removed after publishing.
+
+What is stored per day is partitioned by the day it landed (``landed_day``): hourly files may hold events from the far
+side of midnight, so replacing by event day would wipe the neighbouring day. Facts are partitioned by ``date_key``
+below that. Running a day again replaces exactly what it had put in.
 
 Dimensions and marts come from sightings, so publishing a day never reads old facts. Beside the sightings per day
 there are merged ones over all days (``known_*``), so a new day is added to them without reading older days. A day
-that runs again is taken out by merging the other days afresh; so is everything after a run that broke off while
-publishing, which the ``runs`` table shows. One run at a time may publish to a warehouse.
+that runs again is taken out by merging the other days afresh.
+
+Marts are worked out from stored counts when they are read, with current names, so no run rewrites the counts of older
+days. ``marts_as="table"`` stores them as well.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -33,28 +38,48 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from activitymill.contract import (
-    BAD_LINE, MIN_HOUR_BYTES, PUSH, TABLES, TARGET_TYPES, columns,
+    BAD_LINE, MARTS, MIN_HOUR_BYTES, PUSH, TABLES, TARGET_TYPES, columns,
 )
 from activitymill.functions.time import day_key, parse_day
-from activitymill.operators import checks, dims, facts, marts
+from activitymill.operators import checks, dims, facts, marts, profiles
 from activitymill.plans.shared import shared_folder
 from activitymill.sources.landing import landing_manifest, scan_events
-from activitymill.sources.tables import (
-    balanced, create_view, read_if_exists, replace_days, stored_partitions, write_table,
-)
+from activitymill.sources.state import State, listed, read_state, removed, write_state
+from activitymill.sources.tables import balanced, create_view, write_table
 
 T = TypeVar("T")
 STAGED = (
     f"{TABLES['fact_events']}, commits ARRAY<STRUCT<sha: STRING, message: STRING>>, "
     f"{BAD_LINE} STRING, landed_day INT"
 )
-RUNS = "run_id STRING, begun DOUBLE, finished BOOLEAN"
 # Sightings per landed day: key, attributes, and what else is counted apart.
 SIGHTED = {
     "actors": ("actor_id", ["actor_login"], []),
     "repos": ("repo_id", ["repo_name"], ["event_type"]),
     "orgs": ("org_id", ["org_login"], []),
 }
+BAD_LINES = f"{BAD_LINE} STRING, landed_day INT"
+_EVENT = dict(part.split(maxsplit=1) for part in TABLES["fact_events"].split(", "))
+# What is stored per landed day, and merged over all days, with its schema.
+BY_DAY = {
+    **{name: f"{TABLES[name]}, landed_day INT" for name in ("fact_events", "fact_commits")},
+    "bad_lines": BAD_LINES,
+    **{
+        f"seen_{name}": ", ".join([
+            "date_key INT, landed_day INT", *(f"{c} {_EVENT[c]}" for c in (key, *attributes, *apart)),
+            "last_seen TIMESTAMP, event_count BIGINT",
+        ]) for name, (key, attributes, apart) in SIGHTED.items()
+    },
+    "seen_types": "event_type STRING, action STRING, date_key INT, landed_day INT, event_count BIGINT",
+}
+MERGED = {
+    **{name: TABLES[name] for name in ("dim_actor", "dim_repo", "dim_org", "dim_time")},
+    **{
+        f"known_{name}": ", ".join([
+            *(f"{c} {_EVENT[c]}" for c in (key, *attributes)), "last_seen TIMESTAMP, event_count BIGINT",
+        ]) for name, (key, attributes, _) in SIGHTED.items()
+    },
+}
 
 
 class LandingError(Exception):
@@ -76,6 +101,7 @@ class RunReport:
     hours: dict[str, int] = field(default_factory=dict)  # status to number of hours
     bad_lines: int = 0
     checks: list[Row] = field(default_factory=list)
+    counts: dict[str, tuple[int, int]] = field(default_factory=dict)  # what was parsed, and what was written
 
 
 @dataclass(frozen=True)
@@ -88,29 +114,44 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def run_path(self, table: str, run: str) -> str:
+        return f"{self.path(table)}/run={run}"
+
+    def state(self) -> State:
+        return read_state(self.spark, self.root.rstrip("/"))
+
+    def by_day(self, table: str, days: Mapping[str, str]) -> DataFrame:
+        """A table that is stored per landed day, as of the runs that hold the days."""
+        schema = BY_DAY[table]
+        if not days:
+            return self.spark.createDataFrame([], schema)
+        read = self.spark.read.schema(f"{schema}, run STRING").option("basePath", self.path(table))
+        runs: dict[str, list[int]] = {}
+        for day, run in days.items():
+            runs.setdefault(run, []).append(int(day))
+        held = reduce(lambda a, b: a | b, [
+            (F.col("run") == run) & F.col("landed_day").isin(*own) for run, own in runs.items()
+        ])
+        return read.parquet(*[self.run_path(table, run) for run in runs]).filter(held).drop("run")
+
+    def merged(self, table: str, run: str | None) -> DataFrame:
+        """A table over all days, as of a run."""
+        if run is None:
+            return self.spark.createDataFrame([], MERGED[table])
+        return self.spark.read.schema(MERGED[table]).parquet(self.run_path(table, run))
+
     def table(self, name: str) -> DataFrame:
         """A published table in its public columns."""
-        schema = TABLES[name] + (", landed_day INT" if name.startswith("fact_") else "")
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*columns(name))
-
-    def stored(self, name: str, like: DataFrame) -> DataFrame | None:
-        return read_if_exists(self.spark, self.path(name), like)
-
-    def note(self, run_id: str, begun: float, finished: bool) -> None:
-        row = self.spark.createDataFrame([(run_id, begun, finished)], RUNS)
-        row.coalesce(1).write.mode("append").parquet(self.path("runs"))
-
-    def whole(self) -> bool:
-        """No run broke off while publishing since the last one that went through."""
-        runs = read_if_exists(self.spark, self.path("runs"), RUNS)
-        if runs is None:
-            return True
-        each = runs.groupBy("run_id").agg(F.max("begun").alias("begun"), F.max("finished").alias("finished"))
-        last = each.agg(
-            F.max(F.when(F.col("finished"), F.col("begun"))).alias("good"),
-            F.max(F.when(~F.col("finished"), F.col("begun"))).alias("broken"),
-        ).first()
-        return last.broken is None or (last.good is not None and last.good > last.broken)
+        state = self.state()
+        if name in BY_DAY:
+            found = self.by_day(name, state.days)
+        elif name in MERGED:
+            found = self.merged(name, state.merged)
+        elif state.marts:
+            return self.spark.read.schema(TABLES[name]).parquet(self.run_path(name, state.marts))
+        else:
+            found = build_marts(self, state)[name]
+        return found.select(*columns(name)) if name in TABLES else found
 
 
 def at_once(jobs: Iterable[Callable[[], T]]) -> list[T]:
@@ -130,15 +171,10 @@ def day_sightings(events: DataFrame) -> dict[str, DataFrame]:
     return named | {"seen_types": marts.grouped_count(events, ["event_type", "action", *by])}
 
 
-def known(house: Warehouse, name: str, seen: DataFrame, days: tuple[int, int], whole: bool) -> DataFrame:
-    """Sightings merged over all days, once the new days replace what was stored for them."""
+def known(name: str, seen: DataFrame, before: DataFrame | None) -> DataFrame:
+    """Sightings merged over all days: those of the new days, and merged or single ones of all others."""
     key, attributes, _ = SIGHTED[name]
-    parts, stored = [seen], house.stored(f"seen_{name}", seen)
-    if stored is not None:
-        if whole and not stored_partitions(stored, days, ["landed_day"]):
-            parts.append(house.spark.read.parquet(house.path(f"known_{name}")))
-        else:
-            parts.append(stored.filter(~F.col("landed_day").between(*days)))
+    parts = [seen] if before is None else [seen, before]
     wanted = [key, *attributes, "last_seen", "event_count"]
     return dims.sightings(reduce(DataFrame.unionByName, [p.select(*wanted) for p in parts]), key, attributes)
 
@@ -152,16 +188,18 @@ def build_dims(merged: dict[str, DataFrame], types: DataFrame) -> dict[str, Data
     }
 
 
-def build_marts(house: Warehouse) -> dict[str, DataFrame]:
-    """The five marts from what is published."""
-    read = house.spark.read.parquet
-    types, repos, actors = (read(house.path(name)) for name in ("seen_types", "seen_repos", "known_actors"))
+def build_marts(house: Warehouse, state: State) -> dict[str, DataFrame]:
+    """The five marts from stored counts and dimensions."""
+    types, repos = (house.by_day(name, state.days) for name in ("seen_types", "seen_repos"))
+    actors, dim_actor, dim_repo = (
+        house.merged(name, state.merged) for name in ("known_actors", "dim_actor", "dim_repo")
+    )
     return {
         "events_by_type_per_day": marts.events_by_type_per_day(types),
-        "events_per_repo_per_day": marts.events_per_repo_per_day(repos, house.table("dim_repo")),
+        "events_per_repo_per_day": marts.events_per_repo_per_day(repos, dim_repo),
         "pr_throughput": marts.pr_throughput(types),
         "issue_activity": marts.issue_activity(types),
-        "top_contributors": marts.top_contributors(actors, house.table("dim_actor")),
+        "top_contributors": marts.top_contributors(actors, dim_actor),
     }
 
 
@@ -184,6 +222,55 @@ def stage(spark: SparkSession, paths: list[str], to: str) -> DataFrame:
     return spark.read.schema(STAGED).parquet(to)
 
 
+def landed(
+    house: Warehouse, landing_dir: str, first_day: str, last_day: str, min_hour_bytes: int, allow_missing_hours: bool,
+    allow_fewer_hours: bool, report: RunReport,
+) -> tuple[list[str], dict[str, int]]:
+    """Paths of the hours to load and how many each day has; raises if hours are missing that may not be."""
+    hours = landing_manifest(  # 24 rows a day
+        house.spark, landing_dir, first_day, last_day, min_hour_bytes
+    ).collect()
+    report.hours = {s: sum(h.status == s for h in hours) for s in ("ok", "stub", "missing", "ambiguous")}
+    good = [h for h in hours if h.status == "ok"]
+    loaded = {str(day_key(h.day)): 0 for h in hours}
+    for h in good:
+        loaded[str(day_key(h.day))] += 1
+    problems = []
+    if report.hours["ambiguous"]:
+        problems.append("hours under several paths: " + ", ".join(
+            sorted(f"{h.day}-{h.hour}" for h in hours if h.status == "ambiguous")))
+    # A day with no hour at all would replace what is stored by nothing.
+    empty = sorted({str(h.day) for h in hours} - {str(h.day) for h in good})
+    if empty:
+        problems.append(f"days without any hour: {empty}")
+    if len(good) < len(hours) and not allow_missing_hours:
+        problems.append("hours are missing or stubs")
+    stored = house.state().hours
+    fewer = sorted(d for d, n in loaded.items() if n < stored.get(d, 0))
+    if fewer and not allow_fewer_hours:
+        problems.append(f"fewer hours than are stored: {fewer}")
+    if problems:
+        raise LandingError(f"{first_day} to {last_day}: {report.hours}, {'; '.join(problems)}")
+    return [h.path for h in good], loaded
+
+
+def reconciled(staged: DataFrame, house: Warehouse, days: Mapping[str, str]) -> dict[str, tuple[int, int]]:
+    """What was parsed against what was written: kept events and fact rows, listed and stored commits, and per event
+    type the fact rows and the counts behind the marts."""
+    push = F.col("event_type") == PUSH
+    parsed = staged.agg(
+        F.count_if(F.col("event_type").isin(*TARGET_TYPES)).alias("events"),
+        F.coalesce(F.sum(F.when(push, F.array_size("commits"))), F.lit(0)).alias("commits"),
+    ).first()
+    events, commits, counts = (house.by_day(name, days) for name in ("fact_events", "fact_commits", "seen_repos"))
+    by_type = profiles.reconcile(events, counts).collect()  # a row per kept type
+    return {
+        "events": (parsed.events, sum(r.fact_count for r in by_type)),
+        "commits": (parsed.commits, commits.count()),
+        **{f"mart_{r.event_type}": (r.fact_count, r.mart_count) for r in by_type},
+    }
+
+
 def run_days(
     spark: SparkSession,
     first_day: str,
@@ -191,73 +278,117 @@ def run_days(
     *,
     landing_dir: str,
     warehouse: str,
-    require_all_hours: bool = False,
+    allow_missing_hours: bool = False,
+    allow_fewer_hours: bool = False,
     min_hour_bytes: int = MIN_HOUR_BYTES,
-    marts_as: str = "table",
+    max_bad_share: float = 0.25,
+    marts_as: str = "view",
 ) -> RunReport:
     """Load the landed hours of the days, check them, and publish. Raises if a check fails.
 
-    ``marts_as="view"`` registers the marts in the session instead of storing them: they then always show current
-    names, and no run rewrites the repository mart of all days.
+    Of the kept events and bad lines of a day, at most ``max_bad_share`` may be bad lines; these are published in the
+    table ``bad_lines``. With ``marts_as="view"`` the marts are registered in the session and worked out when read;
+    with ``"table"`` they are stored too.
     """
     first, last = parse_day(first_day), parse_day(last_day or first_day)
-    days = (day_key(first), day_key(last))
     house, work = Warehouse(spark, warehouse), shared_folder(spark)
-    run = RunReport(first.isoformat(), last.isoformat())
+    report = RunReport(first.isoformat(), last.isoformat())
+    paths, hours = landed(
+        house, landing_dir, report.first_day, report.last_day, min_hour_bytes, allow_missing_hours, allow_fewer_hours,
+        report,
+    )
+    before, run = house.state(), uuid.uuid4().hex
+    try:
+        staged = stage(spark, paths, f"{work}/staged")
+        after = _written(house, staged, before, run, hours, report, max_bad_share, marts_as)
+        write_state(spark, house.root.rstrip("/"), after)
+    except BaseException:
+        for name in (*BY_DAY, *MERGED, *MARTS):
+            removed(spark, house.run_path(name, run))
+        raise
+    finally:
+        removed(spark, work)
+    _swept(house, before, after)
+    if marts_as == "view":
+        for name, df in build_marts(house, after).items():
+            create_view(df, name)
+    return report
 
-    hours = landing_manifest(  # 24 rows a day
-        spark, landing_dir, run.first_day, run.last_day, min_hour_bytes
-    ).collect()
-    run.hours = {status: sum(h.status == status for h in hours) for status in ("ok", "stub", "missing")}
-    landed = [h.path for h in hours if h.status == "ok"]
-    # A day with no hour at all would replace what is stored by nothing.
-    empty = sorted({str(h.day) for h in hours} - {str(h.day) for h in hours if h.status == "ok"})
-    if empty or (require_all_hours and len(landed) < len(hours)):
-        raise LandingError(f"{run.first_day} to {run.last_day}: {run.hours}, days without any hour: {empty}")
 
-    staged = stage(spark, landed, f"{work}/staged")
-    run.bad_lines = staged.filter(F.col(BAD_LINE).isNotNull()).count()
+def _written(
+    house: Warehouse, staged: DataFrame, before: State, run: str, hours: Mapping[str, int], report: RunReport,
+    max_bad_share: float, marts_as: str,
+) -> State:
+    """Write everything that the run adds, check it, and return the state that would publish it."""
+    bad = staged.filter(F.col(BAD_LINE).isNotNull())
     events = staged.filter(F.col("event_type").isin(*TARGET_TYPES)).select(*columns("fact_events"), "landed_day")
     commits = facts.explode_commits(staged.filter(F.col("event_type") == PUSH), "landed_day")
 
-    def kept(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        write_table(df, f"{work}/{name}", partition_by)
-        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
-
-    sightings, whole = day_sightings(events), house.whole()
-    if first < last:  # without this, each task would write a file per day
-        sightings = {name: balanced(df, "landed_day") for name, df in sightings.items()}
-    seen = dict(zip(sightings, at_once(
-        partial(kept, df, name, ("landed_day",)) for name, df in sightings.items()
-    )))
-    merged = dict(zip(SIGHTED, at_once(
-        partial(kept, known(house, name, seen[f"seen_{name}"], days, whole), f"known_{name}") for name in SIGHTED
-    )))
-    types, stored_types = seen["seen_types"], house.stored("seen_types", seen["seen_types"])
-    if stored_types is not None:
-        types = types.unionByName(stored_types.filter(~F.col("landed_day").between(*days)))
-    new_dims = build_dims(merged, types)
-    built = dict(zip(new_dims, at_once(partial(kept, df, name) for name, df in new_dims.items())))
-
-    run.checks = checks.report({"fact_events": events, **built}).collect()  # one row per check
-    failed = [r for r in run.checks if r.should_error]
-    if failed:
-        raise GateError(failed)
+    def put(name: str, df: DataFrame, by: tuple[str, ...] = ()) -> None:
+        # Without balancing, each task would write a file per day.
+        write_table(balanced(df, "landed_day") if by else df, house.run_path(name, run), by)
 
-    run_id, begun = uuid.uuid4().hex, time.time()
-    house.note(run_id, begun, finished=False)
-    replaced = built | {f"known_{name}": df for name, df in merged.items()}
+    new = {day: run for day in hours}
+    after = State(before.number + 1, before.days | new, before.hours | dict(hours), run, None)
+    day = ("landed_day",)
     at_once([
-        *[partial(write_table, df, house.path(name)) for name, df in replaced.items()],
-        partial(replace_days, events, house.path("fact_events"), days, "date_key"),
-        partial(replace_days, commits, house.path("fact_commits"), days, "date_key"),
-        *[partial(replace_days, df, house.path(name), days) for name, df in seen.items()],
+        partial(put, "fact_events", events, (*day, "date_key")),
+        partial(put, "fact_commits", commits, (*day, "date_key")),
+        partial(put, "bad_lines", bad.select(BAD_LINE, "landed_day"), day),
+        *[partial(put, name, df, day) for name, df in day_sightings(events).items()],
     ])
-    made = build_marts(house)
-    if marts_as == "view":
-        for name, df in made.items():
-            create_view(df, name)
-    else:
-        at_once(partial(write_table, df, house.path(name)) for name, df in made.items())
-    house.note(run_id, begun, finished=True)
-    return run
+    others = {d: r for d, r in before.days.items() if d not in new}
+    again = len(others) < len(before.days)  # a day is replaced, so it has to be taken out of what was merged
+
+    def rest(name: str) -> DataFrame | None:
+        if not others:
+            return None
+        return house.by_day(f"seen_{name}", others) if again else house.merged(f"known_{name}", before.merged)
+
+    at_once(
+        partial(put, f"known_{name}", known(name, house.by_day(f"seen_{name}", new), rest(name))) for name in SIGHTED
+    )
+    merged = {name: house.merged(f"known_{name}", run) for name in SIGHTED}
+    times = house.by_day("seen_types", new).select("date_key")
+    if others:  # the days' keys of the old dimension can stay unless a day is replaced
+        old = house.by_day("seen_types", others) if again else house.merged("dim_time", before.merged)
+        times = times.unionByName(old.select("date_key"))
+    at_once(partial(put, name, df) for name, df in build_dims(merged, times).items())
+
+    found = {name: house.merged(name, run) for name in ("dim_actor", "dim_repo", "dim_org", "dim_time")}
+    report.checks = checks.report({"fact_events": house.by_day("fact_events", new), **found}).collect()
+    report.counts = reconciled(staged, house, new)
+    per_day = staged.groupBy("landed_day").agg(
+        F.count_if(F.col(BAD_LINE).isNotNull()).alias("bad"), F.count("*").alias("lines")
+    ).collect()  # a row per day
+    report.bad_lines = sum(r.bad for r in per_day)
+    extra = {
+        "bad_lines": sum(r.bad for r in per_day if r.bad > max_bad_share * r.lines),
+        **{f"reconcile_{name}": abs(a - b) for name, (a, b) in report.counts.items()},
+    }
+    failed = [r for r in report.checks if r.should_error]
+    failed += [Row(check_name=name, failures=n) for name, n in extra.items() if n]
+    if failed:
+        raise GateError(failed)
+    if marts_as == "table":
+        at_once(partial(put, name, df) for name, df in build_marts(house, after).items())
+        after.marts = run
+    return after
+
+
+def _swept(house: Warehouse, before: State, after: State) -> None:
+    """Remove what neither the new state nor the one before it refers to."""
+    spark, runs = house.spark, before.runs() | after.runs()
+    held = {(run, day) for state in (before, after) for day, run in state.days.items()}
+    merged = {before.merged, after.merged}
+    stored = {before.marts, after.marts}
+    for name in (*BY_DAY, *MERGED, *MARTS):
+        for folder in listed(spark, house.path(name)):
+            run = folder.removeprefix("run=")
+            wanted = run in (runs if name in BY_DAY else merged if name in MERGED else stored)
+            if not wanted:
+                removed(spark, f"{house.path(name)}/{folder}")
+            elif name in BY_DAY:
+                for part in listed(spark, f"{house.path(name)}/{folder}"):
+                    if part.startswith("landed_day=") and (run, part.removeprefix("landed_day=")) not in held:
+                        removed(spark, f"{house.path(name)}/{folder}/{part}")

@@ -7,7 +7,7 @@ name holding parts. A gzip file is read by one task, so parts are what lets a ve
 from __future__ import annotations
 
 from collections.abc import Sequence
-from os.path import commonprefix
+from datetime import timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,9 +22,9 @@ _IN_PATH = rf"(?:^|[/=]){HOUR_NAME}(?:/|$)"
 _TO_HOUR = rf"^(.*?{HOUR_NAME})(?:/|$)"
 
 
-def day_glob(landing_dir: str, day: str) -> str:
-    """Path pattern of one day's hours; the day is 20240602 or 2024-06-02."""
-    return f"{landing_dir.rstrip('/')}/{parse_day(day).isoformat()}-*.json.gz"
+def day_glob(landing_dir: str, day: str, prefix: str = "") -> str:
+    """Path pattern of one day's hours, whose names may have a prefix; the day is 20240602 or 2024-06-02."""
+    return f"{landing_dir.rstrip('/')}/{prefix}{parse_day(day).isoformat()}-*.json.gz"
 
 
 def landed_day(path: Column) -> Column:
@@ -63,8 +63,9 @@ def hour_files(spark: SparkSession, landing_dir: str, first_day: str, last_day:
     """Files of the days' hours: day, hour, path and size. Only names and sizes are read, never content."""
     first, last = parse_day(first_day), parse_day(last_day or first_day)
     path = F.col("_metadata.file_path")
-    # What the names of all these days begin with, so that a run over one day does not list the files of years.
-    begins = commonprefix([first.isoformat(), last.isoformat()])
+    # The months of these days, or the one day, so that a run does not list the files of years.
+    months = {(first + timedelta(days=d)).isoformat()[:7] for d in range((last - first).days + 1)}
+    begins = first.isoformat() if first == last else "{" + ",".join(sorted(months)) + "}"
     try:
         listed = (
             spark.read.format("binaryFile")
@@ -86,13 +87,16 @@ def hour_files(spark: SparkSession, landing_dir: str, first_day: str, last_day:
 
 
 def landed_hours(spark: SparkSession, landing_dir: str, first_day: str, last_day: str | None = None) -> DataFrame:
-    """Hours present in the folder: day, hour, path and bytes."""
+    """Hours present in the folder: day, hour, path, bytes, and at how many paths the hour is (one, normally)."""
     # The hidden column holds the path as a URI.
     plain_path = F.url_decode(F.replace(F.max("path"), F.lit("+"), F.lit("%2B")))
     return (
         hour_files(spark, landing_dir, first_day, last_day)
         .groupBy("day", "hour")
-        .agg(plain_path.alias("path"), F.sum("size").alias("bytes"))
+        .agg(
+            plain_path.alias("path"), F.sum("size").alias("bytes"),
+            F.when(F.min("path") == F.max("path"), 1).otherwise(2).alias("paths"),
+        )
     )
 
 
@@ -113,9 +117,11 @@ def landing_manifest(
     last_day: str | None = None,
     min_bytes: int = MIN_HOUR_BYTES,
 ) -> DataFrame:
-    """Every expected hour with its file and status: ok, stub (below ``min_bytes``) or missing."""
+    """Every expected hour with its file and status: ok, stub (below ``min_bytes``), missing, or ambiguous (landed
+    under more than one path, of which none is to be preferred)."""
     status = (
-        F.when(F.col("bytes").isNull(), "missing").when(F.col("bytes") < min_bytes, "stub").otherwise("ok")
+        F.when(F.col("bytes").isNull(), "missing").when(F.col("paths") > 1, "ambiguous")
+        .when(F.col("bytes") < min_bytes, "stub").otherwise("ok")
     )
     return (
         expected_hours(spark, first_day, last_day)

@@ -9,7 +9,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from activitymill.plans.daily import run_days
+from activitymill.plans.daily import Warehouse, export, run_days
 
 
 def main() -> None:
@@ -18,7 +18,12 @@ def main() -> None:
     parser.add_argument("last_day", nargs="?", help="load all days up to this one at once")
     parser.add_argument("--landing", required=True, help="folder with the hourly files")
     parser.add_argument("--warehouse", required=True, help="folder of the published tables")
-    parser.add_argument("--require-all-hours", action="store_true", help="stop if an hour is missing")
+    parser.add_argument("--allow-missing-hours", action="store_true", help="go on if an hour is missing or a stub")
+    parser.add_argument("--allow-fewer-hours", action="store_true", help="replace a day by one with fewer hours")
+    parser.add_argument("--max-bad-share", type=float, default=0.25, help="share of bad lines at which to stop")
+    parser.add_argument("--marts-as", choices=["view", "table"], default="view", help="store the marts too")
+    parser.add_argument("--export", metavar="FORMAT", help="also write all tables through this connector")
+    parser.add_argument("--export-to", metavar="FOLDER", help="folder for the export, a path per table")
     args = parser.parse_args()
 
     spark = (
@@ -28,8 +33,11 @@ def main() -> None:
     )
     run = run_days(
         spark, args.first_day, args.last_day,
-        landing_dir=args.landing, warehouse=args.warehouse, require_all_hours=args.require_all_hours,
+        landing_dir=args.landing, warehouse=args.warehouse, allow_missing_hours=args.allow_missing_hours,
+        allow_fewer_hours=args.allow_fewer_hours, max_bad_share=args.max_bad_share, marts_as=args.marts_as,
     )
+    if args.export:
+        export(Warehouse(spark, args.warehouse), args.export, lambda name: {"path": f"{args.export_to}/{name}"})
     print(f"{run.first_day} to {run.last_day}: hours {run.hours}, bad lines {run.bad_lines}")
     for check in run.checks:
         print(f"{check.check_name}: {check.failures}")
