@@ -80,6 +80,36 @@ def _broken_tables(events: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _gappy_tables(events: DataFrame) -> dict[str, DataFrame]:
+    """A third actor has over a quarter of the events; actors ending in 7 and repositories ending in 3 are missing;
+    the actor and repository of some events are unknown."""
+    digits = F.regexp_extract("event_id", r"(\d\d?)$", 1).cast("int")
+    built = _clean_tables(events)
+    return {
+        "fact_events": events.withColumns({
+            "actor_id": F.when(digits < 27, 3).when(digits < 95, F.col("actor_id")),
+            "repo_id": F.when(digits < 93, F.col("repo_id")),
+        }),
+        "dim_actor": built["dim_actor"].filter(F.col("actor_id") % 10 != 7),
+        "dim_repo": built["dim_repo"].filter(F.col("repo_id") % 10 != 3),
+    }
+
+
+def _worse_tables(events: DataFrame) -> dict[str, DataFrame]:
+    """Null and repeated keys in every dimension."""
+    built = _clean_tables(events)
+
+    def spoiled(name: str, key: str) -> DataFrame:
+        df = built[name]
+        null = df.filter(F.col(key) % 4 == 1).withColumn(key, F.lit(None).cast(df.schema[key].dataType))
+        return df.unionByName(df.filter(F.col(key) % 4 == 0)).unionByName(null)
+
+    return built | {
+        name: spoiled(name, key) for name, key in (
+            ("dim_actor", "actor_id"), ("dim_repo", "repo_id"), ("dim_org", "org_id"), ("dim_time", "date_key"))
+    }
+
+
 # --- files and published tables -----------------------------------------------------------------------------
 
 _made: dict[tuple[str, str, str], str] = {}
@@ -102,7 +132,8 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
 def _warehouse(spark: SparkSession, sf_dir: str) -> daily.Warehouse:
     # Sample hours are far smaller than real ones, so any size counts as landed.
     root = _once(spark, sf_dir, "warehouse", lambda to: daily.run_days(
-        spark, FIRST_DAY, LAST_DAY, landing_dir=_landing(spark, sf_dir), warehouse=to, min_hour_bytes=1
+        spark, FIRST_DAY, LAST_DAY, landing_dir=_landing(spark, sf_dir), warehouse=to, min_hour_bytes=1,
+        allow_missing_hours=True,
     ))
     return daily.Warehouse(spark, root)
 
@@ -122,6 +153,23 @@ def _ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ndjson_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = landing.day_glob(_landing(spark, sf_dir), "20240115", prefix="*")
+    return landing.scan_events(spark, paths).select("id", "type", "created_at")
+
+
+def _exported_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def write(to: str) -> None:
+        daily.export(_warehouse(spark, sf_dir), "orc", lambda name: {"path": f"{to}/{name}"}, ("fact_events",))
+
+    folder = _once(spark, sf_dir, "exported", write)
+    return _plain(tables.read_table(spark, f"{folder}/fact_events", "orc"))
+
+
+def _daily_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _warehouse(spark, sf_dir).table("bad_lines").groupBy("landed_day").agg(F.count("*").alias("bad_lines"))
+
+
 def _line_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.line_health(landing.scan_events(spark, f"{_landing(spark, sf_dir)}/*.json.gz", with_source=True))
 
@@ -217,7 +265,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "key_skew": _on_events(lambda e: profiles.key_skew(e, "actor_id")),
         "preview": _on_events(lambda e: profiles.preview(e)),
+        "preview_check": _on_events(lambda e: profiles.preview_check(e, "event_id")),
+        "contract_report": _on_events(lambda e: profiles.contract_report(e, TABLES["fact_events"])),
+        "fact_commits_outer": _on_raw(lambda r: facts.fact_commits(r, keep_empty=True)),
+        "events_per_repo_per_day_gappy": _on_events(
+            lambda e: marts.events_per_repo_per_day(_gappy_tables(e)["fact_events"], _gappy_tables(e)["dim_repo"])
+        ),
+        "top_contributors_gappy": _on_events(
+            lambda e: marts.top_contributors(_gappy_tables(e)["fact_events"], _gappy_tables(e)["dim_actor"])
+        ),
+        "dq_report_worse": _on_events(lambda e: checks.report(_worse_tables(e))),
         "ndjson_scan": _ndjson_scan,
+        "ndjson_day": _ndjson_day,
+        "exported_orc": _exported_orc,
+        "daily_bad_lines": _daily_bad_lines,
         "line_health": _line_health,
         "landing_manifest": _landing_manifest,
         "hours_to_fetch": _hours_to_fetch,
@@ -286,11 +347,27 @@ WITH src AS (
   UNION ALL SELECT * FROM dim_actor WHERE actor_id % 10 = 3
 ), broken_repo AS (
   SELECT * REPLACE (CASE WHEN (repo_id // 5) % 10 = 7 THEN NULL ELSE repo_id END AS repo_id) FROM dim_repo
+), gappy_fact AS (
+  SELECT * REPLACE (CASE WHEN d < 27 THEN 3 WHEN d < 95 THEN actor_id END AS actor_id,
+                    CASE WHEN d < 93 THEN repo_id END AS repo_id)
+  FROM (SELECT *, CAST(regexp_extract(event_id, '(\d\d?)$', 1) AS INTEGER) AS d FROM fact_events)
+), worse_actor AS (
+  SELECT * FROM dim_actor UNION ALL SELECT * FROM dim_actor WHERE actor_id % 4 = 0
+  UNION ALL SELECT NULL, actor_login FROM dim_actor WHERE actor_id % 4 = 1
+), worse_repo AS (
+  SELECT * FROM dim_repo UNION ALL SELECT * FROM dim_repo WHERE repo_id % 4 = 0
+  UNION ALL SELECT NULL, repo_name, repo_owner FROM dim_repo WHERE repo_id % 4 = 1
+), worse_org AS (
+  SELECT org_id FROM dim_org UNION ALL SELECT org_id FROM dim_org WHERE org_id % 4 = 0
+  UNION ALL SELECT NULL FROM dim_org WHERE org_id % 4 = 1
+), worse_time AS (
+  SELECT date_key FROM dim_time UNION ALL SELECT date_key FROM dim_time WHERE date_key % 4 = 0
+  UNION ALL SELECT NULL FROM dim_time WHERE date_key % 4 = 1
 )
 """
 
 
-def _report_sql(fact: str, actor: str, repo: str) -> str:
+def _report_sql(fact: str, actor: str, repo: str, org: str = "dim_org", time: str = "dim_time") -> str:
     def unique(table: str, name: str, key: str) -> str:
         return (f"SELECT 'unique_{name}_{key}' AS check_name, count(*) AS failures FROM (SELECT {key} FROM {table} "
                 f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)")
@@ -302,8 +379,8 @@ def _report_sql(fact: str, actor: str, repo: str) -> str:
         return (f"SELECT 'relationship_fact_events_{key}_in_{name}', count(*) FROM {fact} AS c WHERE {key} IS NOT NULL "
                 f"AND NOT EXISTS (SELECT 1 FROM {parent} AS p WHERE p.{key} = c.{key})")
 
-    keyed = [(actor, "dim_actor", "actor_id"), (repo, "dim_repo", "repo_id"), ("dim_org", "dim_org", "org_id"),
-             ("dim_time", "dim_time", "date_key")]
+    keyed = [(actor, "dim_actor", "actor_id"), (repo, "dim_repo", "repo_id"), (org, "dim_org", "org_id"),
+             (time, "dim_time", "date_key")]
     parts = [unique(*k) for k in keyed] + [not_null(*k) for k in keyed]
     parts += [not_null(fact, "fact_events", "actor_id")]
     parts += [related(actor, "dim_actor", "actor_id"), related(repo, "dim_repo", "repo_id")]
@@ -386,6 +463,32 @@ def oracle_sql() -> dict[str, str]:
             "FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR) AS t(h) "
             "WHERE h NOT IN (SELECT date_trunc('hour', ts) FROM events)",
         "table_replaced": tables_sql["fact_events"],
+        "exported_orc": tables_sql["fact_events"],
+        "preview_check":
+            "SELECT least(10, count(*)) AS shown, least(10, count(*)) AS known FROM fact_events",
+        "contract_report": "SELECT * FROM (" + " UNION ALL ".join(
+            f"SELECT '{name}' AS column_name, '{kind.lower()}' AS declared_type, '{kind.lower()}' AS found_type, "
+            f"count({name}) AS filled_rows FROM fact_events"
+            for name, kind in (part.split() for part in TABLES["fact_events"].split(", "))
+        ) + ")",
+        "fact_commits_outer":
+            "SELECT * FROM fact_commits UNION ALL SELECT event_id, actor_id, repo_id, "
+            "CAST(strftime(created_ts, '%Y%m%d') AS INTEGER), NULL, NULL FROM raw "
+            "WHERE event_type = 'PushEvent' AND coalesce(commit_count, 0) = 0",
+        "events_per_repo_per_day_gappy":
+            "SELECT date_key, f.repo_id, d.repo_name, repo_owner, event_type, count(*) AS event_count FROM gappy_fact AS f "
+            "LEFT JOIN (SELECT * FROM dim_repo WHERE repo_id % 10 <> 3) AS d ON f.repo_id = d.repo_id GROUP BY ALL",
+        "top_contributors_gappy":
+            "SELECT f.actor_id, d.actor_login, count(*) AS event_count FROM gappy_fact AS f "
+            "LEFT JOIN (SELECT * FROM dim_actor WHERE actor_id % 10 <> 7) AS d ON f.actor_id = d.actor_id GROUP BY ALL",
+        "ndjson_day":
+            "SELECT CASE WHEN ok THEN event_id END AS id, CASE WHEN ok THEN event_type END AS type, "
+            "CASE WHEN ok THEN strftime(created_ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at "
+            "FROM (SELECT *, event_type <> 'ForkEvent' OR event_id NOT LIKE '%0' AS ok FROM raw) "
+            "WHERE CAST(created_ts AS DATE) = DATE '2024-01-15'",
+        "daily_bad_lines":
+            "SELECT CAST(strftime(created_ts, '%Y%m%d') AS INTEGER) AS landed_day, count(*) AS bad_lines FROM raw "
+            "WHERE event_type = 'ForkEvent' AND event_id LIKE '%0' GROUP BY 1",
         "day_replaced":
             "SELECT * REPLACE (CASE WHEN date_key = 20240115 THEN 'again' ELSE action END AS action) FROM fact_events",
         "table_from_query": tables_sql["pr_throughput"],
@@ -396,5 +499,6 @@ def oracle_sql() -> dict[str, str]:
         **{f"daily_{name}": _RAW + sql for name, sql in tables_sql.items()},
         "dq_report": _report_sql("fact_events", "dim_actor", "dim_repo"),
         "dq_report_broken": _report_sql("broken_fact", "broken_actor", "broken_repo"),
+        "dq_report_worse": _report_sql("fact_events", "worse_actor", "worse_repo", "worse_org", "worse_time"),
         **(llm.oracle_sql() if llm else {}),
     }

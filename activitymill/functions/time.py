@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 
 def event_instant(text: Column) -> Column:
-    """Parse ISO-8601 text to an instant; bad text gives null, text without a zone is read as UTC."""
+    """Parse ISO-8601 text to an instant; bad text gives null, text without a zone is read as UTC.
+
+    Text without a date is bad: a bare time would become one of the day of the run.
+    """
+    text = F.when(text.rlike(r"^\s*[+-]?\d{4}"), text)
     return F.when(text.endswith("Z"), F.try_to_timestamp(text)).otherwise(
         F.coalesce(F.try_to_timestamp(F.concat(text, F.lit("Z"))), F.try_to_timestamp(text))
     )

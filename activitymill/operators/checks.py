@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_BLOCK = 10_000  # rows written out at a time
+
+
 @dataclass(frozen=True)
 class Check:
     kind: str  # unique, not_null or relationship
@@ -29,6 +32,8 @@ class Check:
         return f"{self.kind}_{self.table}_{self.column}{target}"
 
 
+# The columns of failing rows are unique_field, n_records and from_field.
+
 # The eleven checks that gate a run.
 GATE = (
     Check("unique", "dim_actor", "actor_id"),
@@ -61,13 +66,22 @@ def null_rows(df: DataFrame, column: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child values without a parent row, once per child row; nulls are ignored."""
+    """Child values without a parent row, once per child row; nulls are ignored.
+
+    Values are counted before the join and written out again after it, in blocks, so that one that a third of the
+    rows have is one row in the join.
+    """
     keys = parent.select(F.col(parent_column).alias("from_field"))
-    return (
+    counted = (
         child.filter(F.col(column).isNotNull())
-        .select(F.col(column).alias("from_field"))
+        .groupBy(F.col(column).alias("from_field"))
+        .agg(F.count("*").alias("n"))
         .join(keys, "from_field", "left_anti")
     )
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_BLOCK).cast("long")))
+    size = F.least(F.lit(_BLOCK).cast("long"), F.col("n") - F.col("block"))
+    blocks = counted.withColumn("block", block).select("from_field", size.alias("size"))
+    return blocks.select("from_field", F.explode(F.array_repeat(F.lit(0), F.col("size").cast("int")))).select("from_field")
 
 
 def failing_rows(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,6 +1,6 @@
 """Dimensions: one row per key, with the attributes seen last.
 
-The pick is fixed: the latest time, and at equal times the greater text. Both steps here aggregate within each task
+The pick is fixed: the latest time, and at equal times the greater text. All steps here aggregate within each task
 before the shuffle, so a key holding a third of all rows leaves a task as one row.
 """
 
@@ -30,10 +30,14 @@ def sightings(events: DataFrame, key: str, attributes: Sequence[str], by: Sequen
 
 
 def latest(events: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """One row per key with the attributes seen last, from fact_events or sightings. A null key stays."""
-    seen = "last_seen" if "last_seen" in events.columns else "created_ts"
-    newest = F.max(F.struct(seen, *attributes)).alias("newest")
-    return events.groupBy(key).agg(newest).select(key, *[F.col(f"newest.{a}").alias(a) for a in attributes])
+    """One row per key with the attributes seen last, from fact_events or sightings. A null key stays.
+
+    Events are first hashed down to one row per key and attributes: comparing text takes a sort, which so sees the
+    different names of a key and not its events.
+    """
+    seen = events if "last_seen" in events.columns else sightings(events, key, attributes)
+    newest = F.max(F.struct("last_seen", *attributes)).alias("newest")
+    return seen.groupBy(key).agg(newest).select(key, *[F.col(f"newest.{a}").alias(a) for a in attributes])
 
 
 def dim_actor(events: DataFrame) -> DataFrame:

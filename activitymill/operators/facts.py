@@ -33,16 +33,20 @@ def fact_events(raw: DataFrame) -> DataFrame:
     return flatten(target_events(raw)).select(*columns("fact_events"))
 
 
-def fact_commits(raw: DataFrame) -> DataFrame:
-    """One row per commit of a push; a push without commits gives no row."""
+def fact_commits(raw: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """One row per commit of a push; a push without commits gives no row unless ``keep_empty``."""
     pushes = flatten(raw.filter(F.col("type") == PUSH), F.col("payload.commits").alias("commits"))
-    return explode_commits(pushes)
+    return explode_commits(pushes, keep_empty=keep_empty)
 
 
-def explode_commits(pushes: DataFrame, *more: str) -> DataFrame:
-    """Commit rows from flat pushes that carry ``commits``; the day was worked out once per push."""
+def explode_commits(pushes: DataFrame, *more: str, keep_empty: bool = False) -> DataFrame:
+    """Commit rows from flat pushes that carry ``commits``; the day was worked out once per push.
+
+    With ``keep_empty`` a push without commits gives one row without a commit.
+    """
     parent = ["event_id", "actor_id", "repo_id", "date_key"]
-    commits = pushes.select(*parent, *more, F.explode("commits").alias("commit"))
+    explode = F.explode_outer if keep_empty else F.explode
+    commits = pushes.select(*parent, *more, explode("commits").alias("commit"))
     return commits.select(*parent, *_fields(COMMIT_FIELDS), *more)
 
 

@@ -31,13 +31,9 @@ def grain(raw: DataFrame, fact_events: DataFrame) -> DataFrame:
 
 def fan_out(raw: DataFrame, fact_commits: DataFrame) -> DataFrame:
     """Pushes, the commits listed in them, and commit rows; the last two are equal."""
-    pushes = raw.filter(F.col("type") == PUSH)
-    listed = F.coalesce(F.sum(F.array_size("payload.commits")), F.lit(0))
-    row = _side_by_side(
-        pushes=pushes.agg(F.count("*")),
-        listed_commits=pushes.agg(listed),
-        commit_rows=fact_commits.agg(F.count("*")),
-    )
+    listed = F.coalesce(F.sum(F.array_size("payload.commits")), F.lit(0)).alias("listed_commits")
+    pushes = raw.filter(F.col("type") == PUSH).agg(F.count("*").alias("pushes"), listed)
+    row = pushes.withColumn("commit_rows", fact_commits.agg(F.count("*")).scalar())
     return row.withColumn("holds", F.col("listed_commits") == F.col("commit_rows"))
 
 
@@ -83,6 +79,26 @@ def has_schema(df: DataFrame, ddl: str = RAW_SCHEMA) -> bool:
     return df.schema.simpleString() == StructType.fromDDL(ddl).simpleString()
 
 
+def contract_report(df: DataFrame, ddl: str) -> DataFrame:
+    """Per declared column: its declared and found type, and how many rows have a value."""
+    declared = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(ddl)}
+    found = dict(df.dtypes)
+    counts = df.agg(*[(F.count(name) if name in found else F.lit(None).cast("long")).alias(name) for name in declared])
+    rows = F.array(*[
+        F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("declared_type"),
+                 F.lit(found.get(name)).cast("string").alias("found_type"), F.col(name).alias("filled_rows"))
+        for name, kind in declared.items()
+    ])
+    return counts.select(F.inline(rows))
+
+
+def preview_check(df: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """How many rows a preview has, and how many of them are rows of the table."""
+    shown = preview(df, n)
+    known = shown.join(df.select(key), key, "left_semi")
+    return _side_by_side(shown=shown.agg(F.count("*")), known=known.agg(F.count("*")))
+
+
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """Some n rows, in no order."""
     return df.limit(n)
