@@ -34,7 +34,6 @@ from activitymill.llm.words import SLICE_BYTES, distinct, mix, texts
 
 HALVINGS = 8
 GROUPS = 4
-_COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,29 +45,28 @@ def lexicon(docs: DataFrame, rarest: float = 0.001, commonest: float = 0.2) -> n
     low, high = max(1.0, rarest * total), commonest * total
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = packed.Sender(n, sort=0)
         for batch in batches:
             for piece in texts(batch.column("text"), 4 * SLICE_BYTES):
                 words = piece.words()
                 own, _, _ = distinct(words.hashes(), words.offsets)
                 keys, times = np.unique(own, return_counts=True)
-                records = np.empty(len(keys), _COUNTED)
-                records["key"], records["n"] = keys, times
-                if len(records):
-                    yield packed.pack(records, packed.to_bucket(keys, n))
+                yield from out.add(packed.to_bucket(keys, n), keys, times.astype(np.uint32))
+        yield from out.flush()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         waiting, held = [], 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            every = np.concatenate([keys, *[w["key"] for w in waiting]])
-            each = np.concatenate([counts, *[w["n"].astype(np.int64) for w in waiting]])
+            every = np.concatenate([keys, *[k for k, _ in waiting]])
+            each = np.concatenate([counts, *[c.astype(np.int64) for _, c in waiting]])
             found, place = np.unique(every, return_inverse=True)
             return found, np.bincount(place, each, minlength=len(found)).astype(np.int64)
 
-        for records in packed.unpack(batches, _COUNTED):
-            waiting.append(records)
-            held += len(records)
+        for records in (r for batch in batches for r in batch.column("records")):
+            waiting.append(packed.columns_of(records, "<u8", "<u4"))
+            held += len(waiting[-1][0])
             if held > max(1_000_000, len(keys)):
                 (keys, counts), waiting, held = merged(), [], 0
         keys, counts = merged()

@@ -22,25 +22,6 @@ def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pack(records: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket that gets records; bucket: of each record."""
-    order = np.argsort(bucket, kind="stable")
-    sent, owner = records[order], bucket[order]
-    at = np.flatnonzero(np.diff(owner, prepend=-1))
-    ends = np.append(at[1:], len(owner))
-    rows = [sent[a:b].tobytes() for a, b in zip(at, ends)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(owner[at].astype(np.int32)), pa.array(rows, pa.binary())], schema=_ARROW
-    )
-
-
-def unpack(batches: Iterator[pa.RecordBatch], dtype: np.dtype) -> Iterator[np.ndarray]:
-    for batch in batches:
-        column = batch.column("records")
-        for value in column:
-            yield np.frombuffer(value.as_buffer(), dtype)
-
-
 def deal(df: DataFrame, n: int) -> DataFrame:
     """Bring each bucket's rows together."""
     return df.repartition(n, "bucket")
@@ -51,53 +32,6 @@ def to_bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(40)) % np.uint64(n)).astype(np.int32)
 
 
-OCCURRENCE = np.dtype([("key", "<u8"), ("row", "<i8"), ("place", "<u4"), ("more", "<u4")])
-
-
-def occurrences(key: np.ndarray, row: np.ndarray, place: np.ndarray, more: np.ndarray, n: int) -> pa.RecordBatch:
-    """Packed records of where keys occur, for ``repeated``."""
-    records = np.empty(len(key), OCCURRENCE)
-    records["key"], records["row"], records["place"], records["more"] = key, row, place, more
-    return pack(records, to_bucket(key, n))
-
-
-def repeated(sent: DataFrame, n: int) -> DataFrame:
-    """Of packed occurrences, those whose key occurs at more than one (row, place): row, place, more, key and
-    ``times``, how many such places the key has.
-
-    Tasks send a place once. A key that a third of all documents have makes as many records in its bucket; these are a
-    few bytes each, and a bucket holds many keys.
-    """
-
-    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_bucket: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for bucket, records in zip(batch.column("bucket").to_pylist(), batch.column("records")):
-                by_bucket.setdefault(bucket, []).append(np.frombuffer(records.as_buffer(), OCCURRENCE))
-        for bucket in sorted(by_bucket):
-            every = np.concatenate(by_bucket.pop(bucket))
-            order = np.argsort(every["key"], kind="stable")
-            key = every["key"][order]
-            same = np.zeros(len(key) + 1, bool)
-            same[1:-1] = key[1:] == key[:-1]
-            chosen = every[order[same[:-1] | same[1:]]]  # keys that come more than once
-            chosen = chosen[np.lexsort((chosen["place"], chosen["row"], chosen["key"]))]
-            fresh = np.ones(len(chosen), bool)
-            for name in ("key", "row", "place"):
-                fresh[1:] &= chosen[name][1:] == chosen[name][:-1]
-            fresh[1:] = ~fresh[1:]
-            chosen = chosen[fresh]
-            _, which, times = np.unique(chosen["key"], return_inverse=True, return_counts=True)
-            again = times[which] > 1
-            chosen, times = chosen[again], times[which][again]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(chosen["row"]), pa.array(chosen["place"].astype(np.int64)),
-                pa.array(chosen["more"].astype(np.int64)), pa.array(chosen["key"].view(np.int64)), pa.array(times),
-            ], ["row", "place", "more", "key", "times"])
-
-    return deal(sent, n).mapInArrow(receive, "row long, place long, more long, key long, times long")
-
-
 class Sender:
     """Gathers a task's columns of records and packs them by bucket, ``size`` bytes at a time.
 
@@ -139,3 +73,59 @@ def columns_of(records: pa.Scalar, *kinds: str) -> list[np.ndarray]:
         out.append(np.frombuffer(data, t, count, at))
         at += count * t.itemsize
     return out
+
+
+OCCURRENCE = np.dtype([("key", "<u8"), ("row", "<i8"), ("place", "<u4"), ("more", "<u4")])
+
+
+def occurrences(
+    out: Sender, key: np.ndarray, row: np.ndarray, place: np.ndarray, more: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Send where keys occur, for ``repeated``; ``out`` sorts by the second column."""
+    yield from out.add(to_bucket(key, out.n), key, row, place.astype(np.uint32), more.astype(np.uint32))
+
+
+def places(records: pa.Scalar) -> np.ndarray:
+    """Occurrences of a row, as records."""
+    columns = columns_of(records, "<u8", "<i8", "<u4", "<u4")
+    out = np.empty(len(columns[0]), OCCURRENCE)
+    for name, column in zip(OCCURRENCE.names, columns):
+        out[name] = column
+    return out
+
+
+def repeated(sent: DataFrame, n: int) -> DataFrame:
+    """Of packed occurrences, those whose key occurs at more than one (row, place): row, place, more, key and
+    ``times``, how many such places the key has.
+
+    Tasks send a place once. A key that a third of all documents have makes as many records in its bucket; these are a
+    few bytes each, and a bucket holds many keys.
+    """
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_bucket: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for bucket, records in zip(batch.column("bucket").to_pylist(), batch.column("records")):
+                by_bucket.setdefault(bucket, []).append(places(records))
+        for bucket in sorted(by_bucket):
+            every = np.concatenate(by_bucket.pop(bucket))
+            order = np.argsort(every["key"], kind="stable")
+            key = every["key"][order]
+            same = np.zeros(len(key) + 1, bool)
+            same[1:-1] = key[1:] == key[:-1]
+            chosen = every[order[same[:-1] | same[1:]]]  # keys that come more than once
+            chosen = chosen[np.lexsort((chosen["place"], chosen["row"], chosen["key"]))]
+            fresh = np.ones(len(chosen), bool)
+            for name in ("key", "row", "place"):
+                fresh[1:] &= chosen[name][1:] == chosen[name][:-1]
+            fresh[1:] = ~fresh[1:]
+            chosen = chosen[fresh]
+            _, which, times = np.unique(chosen["key"], return_inverse=True, return_counts=True)
+            again = times[which] > 1
+            chosen, times = chosen[again], times[which][again]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(chosen["row"]), pa.array(chosen["place"].astype(np.int64)),
+                pa.array(chosen["more"].astype(np.int64)), pa.array(chosen["key"].view(np.int64)), pa.array(times),
+            ], ["row", "place", "more", "key", "times"])
+
+    return deal(sent, n).mapInArrow(receive, "row long, place long, more long, key long, times long")

@@ -43,6 +43,7 @@ from activitymill.llm.work import kept
 
 _PIECE = 1 << 21
 _SEGMENTS = 1024  # of a collection, at least one group
+_SPOTS = 20_000  # places that are gathered before their segments are sent on
 
 
 @dataclass(frozen=True)
@@ -100,7 +101,7 @@ def _repeated_cores(rows: DataFrame, w: Windows, n: int) -> DataFrame:
     """Cores that occur at several places: text, first window (place), and how far anchor and last window are."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()  # texts that this task has sent
+        done, out = set(), packed.Sender(n, sort=1)  # texts that this task has sent
         for batch in batches:
             names = batch.column("same").to_numpy()
             first = np.ones(len(names), bool)
@@ -114,9 +115,10 @@ def _repeated_cores(rows: DataFrame, w: Windows, n: int) -> DataFrame:
                     if len(owner):
                         base = offsets[:-1][owner] - start
                         more = (anchor - low) << 16 | (high - low)
-                        yield packed.occurrences(
-                            hash_spans(data, anchor, anchor + w.core), names[doc + owner], low - base, more, n
+                        yield from packed.occurrences(
+                            out, hash_spans(data, anchor, anchor + w.core), names[doc + owner], low - base, more
                         )
+        yield from out.flush()
 
     return packed.repeated(rows.select("same", "text").mapInArrow(send, packed.SCHEMA), n)
 
@@ -245,16 +247,27 @@ def _number(data: bytes) -> int:
 
 
 def _segments(found: DataFrame, w: Windows, crowd: int) -> DataFrame:
-    """Segments around repeated cores, from (same, text, spots): a row per batch and different segment, with the places
-    at which it is. ``segment`` is its hash; ``part`` is -1 but for crowded cores."""
+    """Segments around repeated cores, from (same, text, spots): a row per some places and different segment, with
+    those at which it is. ``segment`` is its hash; ``part`` is -1 but for crowded cores."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
             ("core", pa.int64()), ("core2", pa.int64()), ("part", pa.int32()), ("cut", pa.int32()), ("span", pa.int32()),
             ("body", pa.binary()), ("segment", pa.int64()), ("same", pa.list_(pa.int64())), ("place", pa.list_(pa.int64())),
         ])
+
+        def rows_of(merged: dict) -> pa.RecordBatch:
+            rows = [
+                (int.from_bytes(core[:8], "little", signed=True), int.from_bytes(core[8:], "little", signed=True),
+                 _number(body) % parts if parts > 1 else -1, left, span, body,
+                 _number(b"%s %d %d " % (core, left, span) + body), *spots)
+                for (core, parts, left, span, body), spots in merged.items()
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+        held = 0
+        merged: dict[tuple, tuple[list[int], list[int]]] = {}
         for batch in batches:
-            merged: dict[tuple, tuple[list[int], list[int]]] = {}
             for name, text, spots in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 data = text.as_buffer().to_pybytes()
                 for spot in spots.as_py():
@@ -266,14 +279,12 @@ def _segments(found: DataFrame, w: Windows, crowd: int) -> DataFrame:
                     names, places = merged.setdefault(key, ([], []))
                     names.append(name)
                     places.append(place)
-            rows = [
-                (int.from_bytes(core[:8], "little", signed=True), int.from_bytes(core[8:], "little", signed=True),
-                 _number(body) % parts if parts > 1 else -1, left, span, body,
-                 _number(b"%s %d %d " % (core, left, span) + body), *spots)
-                for (core, parts, left, span, body), spots in merged.items()
-            ]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    held += 1
+                if held > _SPOTS:
+                    yield rows_of(merged)
+                    merged, held = {}, 0
+        if merged:
+            yield rows_of(merged)
 
     return found.mapInArrow(cut, _SEGMENT)
 
