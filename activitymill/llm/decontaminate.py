@@ -41,14 +41,15 @@ UNITS = (
 BITMAP_BITS = 1 << 24
 _NUMBER, _QUANTITY, _NAME = (mix(np.array([k], np.uint64))[0] for k in (101, 102, 103))
 
-_DIGIT = np.zeros(256, bool)
-_DIGIT[ord("0"):ord("9") + 1] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[ord("A"):ord("Z") + 1] = _LETTER[ord("a"):ord("z") + 1] = _LETTER[128:] = True
-_CAPITAL = np.zeros(256, bool)
-_CAPITAL[ord("A"):ord("Z") + 1] = True
-_STOP = np.zeros(256, bool)
-_STOP[[ord(c) for c in ".!?"]] = True
+# Classes of bytes, as bits: digit, letter (all of UTF-8's further bytes count as such), lower-case letter, and the end
+# of a sentence or line.
+_DIGIT, _LETTER, _SMALL, _STOP = 1, 2, 4, 8
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[ord("0"):ord("9") + 1] = _DIGIT
+_CLASS[ord("A"):ord("Z") + 1] = _LETTER
+_CLASS[ord("a"):ord("z") + 1] = _LETTER | _SMALL
+_CLASS[128:] = _LETTER | _SMALL
+_CLASS[[ord(c) for c in ".!?\n"]] = _STOP
 
 
 def _unit_hashes() -> np.ndarray:
@@ -70,40 +71,52 @@ class Template:
 def template(piece: Texts) -> Template:
     words = piece.words()
     raw, low = piece.data, words.data
-    core = _DIGIT[raw] | _LETTER[raw]
-    count = len(raw)
-    index = np.arange(count)
-    ahead = np.minimum.accumulate(np.where(core, index, count)[::-1])[::-1]
-    behind = np.maximum.accumulate(np.where(core, index, -1))
-    owner = words.documents()
-    some = ahead[words.starts] < words.ends if count else np.zeros(0, bool)
-    starts, ends, owner = words.starts[some], words.ends[some], owner[some]
-    first, last = ahead[starts], behind[ends - 1] + 1
+    kind = _CLASS[raw]
+    owner, first, last = words.documents(), words.starts.copy(), words.ends.copy()
+    # Without the punctuation around them; words of nothing else go.
+    for edge, step, at in ((first, 1, 0), (last, -1, -1)):
+        loose = np.arange(len(first))
+        while len(loose):
+            loose = loose[first[loose] < last[loose]]
+            loose = loose[kind[edge[loose] + at] & (_DIGIT | _LETTER) == 0]
+            edge[loose] += step
+    some = first < last
+    owner, first, last = owner[some], first[some], last[some]
+    if not len(first):
+        none = np.zeros(0, np.uint64)
+        return Template(none, none, np.zeros(len(piece) + 1, np.int64))
     value = hash_spans(low, first, last)
-
-    digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
-    letters = np.concatenate([[0], np.cumsum(_LETTER[raw])])
-    has_digit = digits[last] > digits[first]
-    has_letter = letters[last] > letters[first]
+    # What each word holds, and what stands between it and the next.
+    edges = np.empty(2 * len(first), np.int64)
+    edges[::2], edges[1::2] = first, last
+    held = np.bitwise_or.reduceat(np.append(kind, np.uint8(0)), edges)
+    inside, between = held[::2], held[1::2]
+    between[last == np.append(first[1:], -1)] = 0
+
+    has_digit, has_letter = inside & _DIGIT > 0, inside & _LETTER > 0
     number = has_digit & ~has_letter
     # 5km: digits, then a unit.
-    letter_ahead = np.minimum.accumulate(np.where(_LETTER[raw], index, count)[::-1])[::-1]
-    quantity = has_digit & has_letter & _DIGIT[raw[first]]
-    tail = letter_ahead[first[quantity]]
-    quantity[quantity] = np.isin(hash_spans(low, tail, last[quantity]), _UNITS)
+    quantity = has_digit & has_letter & (kind[first] == _DIGIT)
+    mixed = np.flatnonzero(quantity)
+    tail = first[mixed].copy()
+    ahead = np.arange(len(mixed))
+    while len(ahead):
+        ahead = ahead[kind[tail[ahead]] & _LETTER == 0]
+        tail[ahead] += 1
+    quantity[mixed] = np.isin(hash_spans(low, tail, last[mixed]), _UNITS)
     # 5 km: a number, then a unit on its own.
     same = np.zeros(len(first), bool)
     same[1:] = owner[1:] == owner[:-1]
     unit = np.zeros(len(first), bool)
-    unit[1:] = same[1:] & number[:-1] & ~has_digit[1:] & np.isin(value[1:], _UNITS)
+    unit[1:] = same[1:] & number[:-1] & ~has_digit[1:]
+    unit[unit] = np.isin(value[unit], _UNITS)
     before_unit = np.zeros(len(first), bool)
     before_unit[:-1] = unit[1:]
 
-    stops = np.concatenate([[0], np.cumsum(_STOP[raw] | (raw == 10))])
     begins = np.ones(len(first), bool)
-    begins[1:] = ~same[1:] | (stops[first[1:]] > stops[last[:-1]])
-    small = np.concatenate([[0], np.cumsum(_LETTER[raw] & ~_CAPITAL[raw])])
-    name = _CAPITAL[raw[first]] & (small[last] > small[first]) & ~begins & ~has_digit
+    begins[1:] = ~same[1:] | (between[:-1] & _STOP > 0)
+    capital = (kind[first] & (_LETTER | _SMALL)) == _LETTER
+    name = capital & (inside & _SMALL > 0) & ~begins & ~has_digit
     name_goes_on = np.zeros(len(first), bool)
     name_goes_on[1:] = name[1:] & name[:-1] & same[1:]
 
