@@ -28,6 +28,7 @@ def texts(seed=0, n=60):
     """Prose, exact and near copies, a shared passage, a very long text, empty ones, odd spaces and letters."""
     rng = random.Random(seed)
     base = [prose(rng, rng.randint(1, 150)) for _ in range(n)]
+    base[3] = prose(rng, 120)
     passage = prose(rng, 70)
     near = prose(rng, 200).split()
     out = base + [base[3], base[3], base[5]]

@@ -1,0 +1,66 @@
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+
+from activitymill.llm import imatch as m
+from activitymill.llm.words import hash_spans
+from tests.llm import corpus
+
+
+def word_hash(w):
+    data = np.frombuffer(w.encode(), np.uint8)
+    return int(hash_spans(data, np.array([0]), np.array([len(data)]))[0])
+
+
+def test_lexicon_is_the_band_of_document_frequencies(spark):
+    docs = corpus.documents(spark)
+    rows = [set(corpus.words(r.text)) for r in docs.collect()]
+    low, high = 0.03 * len(rows), 0.3 * len(rows)
+    wanted = {w for s in rows for w in s if max(1, low) <= sum(w in x for x in rows) <= high}
+    got = m.lexicon(docs, 0.03, 0.3)
+    assert sorted(got.tolist()) == sorted(word_hash(w) for w in wanted) and len(wanted) > 20
+
+
+def test_edited_texts_and_neighbours(spark):
+    docs = corpus.documents(spark, repeat=False).filter("doc_id is not null")
+    terms = m.lexicon(docs, 0.03, 0.3)
+    got = sorted(m.with_next(docs.repartition(5), terms).collect())
+    own = [r.text or "" for r in sorted(docs.select("doc_id", "text").collect())]
+    assert [r.doc_id for r in got] == list(range(len(own)))
+    prints = m.fingerprints(pa.array(own), terms)
+    for k, r in enumerate(got):
+        following = own[(k + 1) % len(own)]
+        edited = own[k][:len(own[k]) - len(own[k]) // 2] + following[:len(own[k]) // 2]
+        assert r.n_chars == len(own[k]) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        changed = m.fingerprints(pa.array([edited]), terms)
+        assert r.fingerprint == m._text(prints[k:k + 1])[0] and r.edited_fingerprint == m._text(changed)[0]
+        assert r.near_edited == m.likeness(prints[k:k + 1], changed)[0]
+        assert r.near_next == m.likeness(prints[k:k + 1], prints[(k + 1) % len(own)][None])[0]
+
+
+def test_likeness():
+    terms = np.sort(np.array([word_hash(f"w{k}") for k in range(400)], np.uint64))
+    a = " ".join(f"w{k}" for k in range(0, 200))
+    b = " ".join(f"w{k}" for k in reversed(range(0, 200))) + " unknown words"
+    c = " ".join(f"w{k}" for k in range(10, 200))
+    d = " ".join(f"w{k}" for k in range(200, 400))
+    p = m.fingerprints(pa.array([a, b, c, d, "x", "y", "x", "", None]), terms)
+    like = lambda i, j: m.likeness(p[i:i + 1], p[j:j + 1])[0]
+    assert like(0, 1) > 0.9 and like(0, 0) == 1
+    assert like(0, 2) > like(0, 3) == 0
+    assert like(4, 5) == 0 and like(4, 6) == 1 and like(7, 8) == 1 and like(7, 4) == 0
+
+
+def test_repeats_nulls_single_and_no_documents(spark):
+    docs = corpus.documents(spark)
+    terms = m.lexicon(docs, 0.03, 0.3)
+    found = m.with_next(docs, terms).collect()
+    assert len(found) == docs.count() and sum(r.doc_id is None for r in found) == 1
+    one = docs.filter("doc_id = 5")
+    row = m.with_next(one, terms).collect()[0]
+    text = one.first().text
+    assert row.near_next == 1 and row.edited_sha256 == hashlib.sha256(
+        (text[:len(text) - len(text) // 2] + text[:len(text) // 2]).encode()).hexdigest()
+    assert m.lexicon(corpus.none(spark)).tolist() == [] and m.with_next(corpus.none(spark), terms).collect() == []
+    assert {r.fingerprint for r in m.fingerprint(docs.filter("doc_id in (3, 60, 61)"), terms).collect()}.__len__() == 1
