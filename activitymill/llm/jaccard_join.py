@@ -277,3 +277,31 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-7
     marked = docs.withColumn("_rid", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     # Repeated rows are equal in id and text; any one of them stays.
     return marked.join(stays, "_rid", "left_semi").dropDuplicates(["_rid"]).drop("_rid")
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE
+      WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS g
+  FROM w
+), c AS MATERIALIZED (
+  SELECT md5(array_to_string(g, chr(10))) AS k, any_value(g) AS g, min(doc_id) AS class_id, count(*) AS copies
+  FROM s GROUP BY 1
+), u AS (SELECT k, len(g) AS n, unnest(g) AS x FROM c),
+e AS MATERIALIZED (
+  SELECT a.k AS a, b.k AS b FROM u AS a JOIN u AS b ON a.x = b.x AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+), reach AS (
+  SELECT k, k AS r FROM c UNION SELECT reach.k, e.b FROM reach JOIN e ON reach.r = e.a
+), named AS (
+  SELECT reach.k, min(class_id) AS group_id FROM reach JOIN c ON c.k = reach.r GROUP BY reach.k
+), counted AS (SELECT e.a AS k, sum(c.copies) AS links FROM e JOIN c ON c.k = e.b GROUP BY e.a)
+SELECT s.doc_id, c.class_id, c.copies, CAST(coalesce(links, 0) + copies - 1 AS BIGINT) AS links, group_id
+FROM s JOIN c ON c.k = md5(array_to_string(s.g, chr(10))) JOIN named USING (k) LEFT JOIN counted USING (k)
+"""

@@ -93,4 +93,7 @@ FROM r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op10_mixing": mixing.ORACLE_SQL}
+    return {
+        "op3_warc": OP3_SQL, "op6_suffix_dedup": suffix_dedup.ORACLE_SQL, "op8_jaccard_join": jaccard_join.ORACLE_SQL,
+        "op10_mixing": mixing.ORACLE_SQL,
+    }

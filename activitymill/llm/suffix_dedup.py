@@ -494,3 +494,29 @@ def without_repeats(docs: DataFrame, windows: Windows = Windows(), crowd: int =
             )
 
     return joined.mapInArrow(run, docs.schema)
+
+
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n
+  FROM documents
+), w AS (
+  SELECT r, p, md5(array_slice(b, p, p + 399)) AS h FROM (SELECT r, b, unnest(range(1, n - 398)) AS p FROM d WHERE n >= 400)
+), hit AS (
+  SELECT r, p FROM w JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)
+), mark AS (
+  SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 400 THEN 0 ELSE 1 END AS fresh FROM hit
+), runs AS (
+  SELECT r, min(p) AS a, max(p) + 400 AS z  -- bytes a to z - 1 go
+  FROM (SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS g FROM mark) GROUP BY r, g
+), gaps AS (
+  SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 1) AS x, a AS y FROM runs
+  UNION ALL SELECT r, max(z), 9223372036854775807 FROM runs GROUP BY r
+), left_over AS (
+  SELECT r, unhex(coalesce(string_agg(hex(array_slice(b, x, least(y - 1, n))), '' ORDER BY x), '')) AS k
+  FROM gaps JOIN d USING (r) WHERE x < y AND x <= n GROUP BY r
+), gone AS (SELECT r, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN gone.r IS NULL THEN b ELSE coalesce(k, ''::BLOB) END) AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN left_over USING (r)
+"""

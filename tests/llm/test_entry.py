@@ -1,0 +1,40 @@
+"""Registered queries against their SQL, on the smallest given tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from activitymill.llm import queries as llm
+
+DATA = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.exists(DATA), reason="the given tables are not here")
+TYPE = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    for name in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", llm.oracle_sql())
+def test_query_equals_sql(spark, db, name):
+    df, want = entry.queries()[name](spark, DATA), db.sql(entry.oracle_sql()[name])
+    assert {c: TYPE[t] for c, t in df.dtypes} == dict(zip(want.columns, map(str, want.types)))
+    columns = sorted(df.columns)
+    got = sorted(repr(tuple(r)) for r in df.select(*columns).collect())
+    assert got == sorted(repr(r) for r in want.project(", ".join(f'"{c}"' for c in columns)).fetchall()) and got
+
+
+@pytest.mark.parametrize("name, table", [
+    ("op2_toxicity", "documents"), ("op4_bloom_lm", "documents"), ("op5_imatch", "documents"), ("op7_url_filter", "pages"),
+    ("op9_paragraphs", "documents"),
+])
+def test_query_has_a_row_for_every_row(spark, db, name, table):
+    key = "page_id" if table == "pages" else "doc_id"
+    got = sorted(r[0] for r in entry.queries()[name](spark, DATA).select(key).collect())
+    assert got == sorted(r[0] for r in db.sql(f"SELECT {key} FROM {table}").fetchall())
