@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +42,14 @@ UNITS = (
 BITMAP_BITS = 1 << 24
 _NUMBER, _QUANTITY, _NAME = (mix(np.array([k], np.uint64))[0] for k in (101, 102, 103))
 
-# Classes of bytes, as bits: digit, letter (all of UTF-8's further bytes count as such), lower-case letter, and the end
-# of a sentence or line.
+# Classes of bytes, as bits: digit, letter (all of UTF-8's further bytes count as such), lower-case letter of ASCII, and
+# the end of a sentence or line.
 _DIGIT, _LETTER, _SMALL, _STOP = 1, 2, 4, 8
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[ord("0"):ord("9") + 1] = _DIGIT
 _CLASS[ord("A"):ord("Z") + 1] = _LETTER
 _CLASS[ord("a"):ord("z") + 1] = _LETTER | _SMALL
-_CLASS[128:] = _LETTER | _SMALL
+_CLASS[128:] = _LETTER
 _CLASS[[ord(c) for c in ".!?\n"]] = _STOP
 
 
@@ -68,9 +69,24 @@ class Template:
     offsets: np.ndarray  # of each document's tokens
 
 
+def _lower(piece: Texts, ascii_lower: np.ndarray) -> np.ndarray:
+    """Bytes in lower case, of all scripts. Texts that would change their length have A-Z changed only."""
+    column = pa.LargeStringArray.from_buffers(len(piece), pa.py_buffer(piece.offsets), pa.py_buffer(piece.data))
+    lowered = pc.utf8_lower(column)
+    offsets = np.frombuffer(lowered.buffers()[1], np.int64)[:len(piece) + 1]
+    body = lowered.buffers()[2]
+    data = np.frombuffer(body, np.uint8)[:offsets[-1]] if body is not None else ascii_lower
+    if (offsets == piece.offsets).all():
+        return data
+    out = ascii_lower.copy()
+    for k in np.flatnonzero(np.diff(offsets) == np.diff(piece.offsets)):
+        out[piece.offsets[k]:piece.offsets[k + 1]] = data[offsets[k]:offsets[k + 1]]
+    return out
+
+
 def template(piece: Texts) -> Template:
     words = piece.words()
-    raw, low = piece.data, words.data
+    raw, low = piece.data, _lower(piece, words.data)
     kind = _CLASS[raw]
     owner, first, last = words.documents(), words.starts.copy(), words.ends.copy()
     # Without the punctuation around them; words of nothing else go.
@@ -115,7 +131,8 @@ def template(piece: Texts) -> Template:
 
     begins = np.ones(len(first), bool)
     begins[1:] = ~same[1:] | (between[:-1] & _STOP > 0)
-    capital = (kind[first] & (_LETTER | _SMALL)) == _LETTER
+    second = np.minimum(first + 1, last - 1)
+    capital = (raw[first] != low[first]) | ((raw[first] >= 128) & (raw[second] != low[second]))
     name = capital & (inside & _SMALL > 0) & ~begins & ~has_digit
     name_goes_on = np.zeros(len(first), bool)
     name_goes_on[1:] = name[1:] & name[:-1] & same[1:]

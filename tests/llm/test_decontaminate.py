@@ -21,6 +21,9 @@ def test_placeholders():
     assert shape == "wPwPwPwQQQN"
     value = {k: int(s) for k, s in enumerate(slots)}
     assert value[1] == value[3] != value[5] and value[7] != value[9] and value[10] != 0 and value[0] == 0
+    assert kinds("le chat ÉTÉ Élan là")[0] == "wwwPw" and kinds("x İstanbul É")[0] == "www"
+    same = [next(texts(pa.array([t]))) for t in ("Épée été", "ÉPÉE ÉTÉ", "épée Été")]
+    assert len({tuple(d.template(x).tokens[:1]) for x in same}) == 1
     assert kinds("")[0] == "" and kinds("... --")[0] == ""
 
 
