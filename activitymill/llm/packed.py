@@ -1,8 +1,8 @@
 """Exchange of many small fixed-width records between tasks, packed into a few rows.
 
 Text operators shuffle hundreds of records per document. As rows of their own these cost the JVM far more than their
-bytes; packed, a row holds the records that a slice of documents sends to one bucket. Spark still partitions and
-shuffles the rows and does them again when executors are lost.
+bytes; packed, a row holds many records that a task sends to one bucket. Spark still partitions and shuffles the rows
+and does them again when executors are lost.
 """
 
 from __future__ import annotations
