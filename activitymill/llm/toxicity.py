@@ -95,6 +95,14 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> list[tuple[np.
     return [(np.frombuffer(r.found, np.uint64), r.grade) for r in sampled.toLocalIterator()]
 
 
+def _frequent(rows: list[np.ndarray], least: int) -> list[np.ndarray]:
+    """Features of each document without most of those that fewer than ``least`` have, so that few have to be sorted."""
+    seen = np.zeros(1 << 24, np.uint16)
+    for row in rows:
+        seen[row >> np.uint64(40)] += 1
+    return [row[seen[row >> np.uint64(40)] >= least] for row in rows]
+
+
 def _graded(grades: np.ndarray, y: np.ndarray, evidence: np.ndarray, severities: int) -> tuple[np.ndarray, np.ndarray]:
     toxic = grades[y] > 0
     if toxic.any():
@@ -116,8 +124,9 @@ def fit(
     none = np.zeros(0)
     if len(grades) < 2:
         return OrdinalModel(none.astype(np.uint64), none, none, grades if len(grades) else np.zeros(1, np.int64))
-    found = np.concatenate([f for f, _ in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows])
+    found = _frequent([f for f, _ in rows], least)
+    owner = np.repeat(np.arange(len(rows)), [len(f) for f in found])
+    found = np.concatenate(found)
     terms, place, times = np.unique(found, return_inverse=True, return_counts=True)
     off = np.bincount(place, (y - y.mean())[owner], minlength=len(terms)) / np.sqrt(times) / max(y.std(), 1e-9)
     good = np.flatnonzero((times >= least) & (np.abs(off) >= z))
