@@ -39,7 +39,7 @@ class Sender:
     column by column, in the order of ``sort`` (a column's place), so that equal neighbours are compressed.
     """
 
-    def __init__(self, n: int, sort: int, size: int = 24 << 20):
+    def __init__(self, n: int, sort: int, size: int = 12 << 20):
         self.n, self.sort, self.size = n, sort, size
         self.waiting: list[tuple[np.ndarray, ...]] = []
         self.held = 0
