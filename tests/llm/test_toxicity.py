@@ -66,6 +66,6 @@ def test_odd_texts_labels_and_columns(spark, labelled):
 def test_the_sample_is_bounded_and_does_not_depend_on_partitions(spark, labelled):
     docs = spark.createDataFrame([r[:2] for r in labelled], "doc_id long, text string")
     labels = t.toxic_grades(spark.createDataFrame([(r[0], r[2]) for r in labelled], "doc_id long, toxic int"))
-    assert len(t._sample(docs, labels, 100)) == 100
+    assert t._sample(docs, labels, 100).count() == 100
     a, b = (t.fit(d, labels, max_rows=300) for d in (docs, docs.repartition(5)))
     assert (a.terms == b.terms).all() and np.allclose(a.weights, b.weights)
