@@ -4,10 +4,11 @@ Numbers, quantities with a unit, and names become typed placeholders; other word
 around them. A name is a run of capitalised words that does not begin a sentence or line. Windows of ``size`` template
 tokens are hashed on both sides and hash-joined, so a question that was given other numbers or names is still found.
 
-A hit is judged by document, benchmark item and offset between the two: its windows have to cover at least ``cover`` of
-the item's, and its slots have to be consistent, which is that each value of the item always stands for the same value
-in the document. Items of fewer than ``size`` tokens are one window of their own length; below ``least`` tokens they
-say too little and are not searched for.
+A hit is judged by document, benchmark item and stretch of the document: offsets between the two whose windows lie in
+one stretch count together, so that added or dropped words do no harm. Their windows have to cover at least ``cover`` of
+the item's, and the slots have to be consistent over all of them, which is that each value of the item always stands for
+the same value in the document; offsets that contradict others, or the order of words, do not count with them. Items of fewer than ``size``
+tokens are one window of their own length; below ``least`` tokens they say too little and are not searched for.
 
 Documents are read once. A bitmap of fixed size with the windows of all items is broadcast to leave out windows that no
 item has; it only spares the join rows, so a crowded bitmap costs time and never results. No text is shuffled.
@@ -19,6 +20,7 @@ An empty table on either side gives no hits.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -236,6 +238,61 @@ def _row_id() -> Column:
     return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
 
 
+def agreeing(met: list[dict], needed: float) -> tuple[int, int] | None:
+    """Places and different slot values of windows that are ``needed`` places at least and agree in their slots."""
+    offsets: dict[int, dict[int, dict[int, int]]] = {}  # by place, what values stand for
+    values: dict[int, dict[int, int]] = {}
+    unfit = set()
+    for m in met:
+        shift = m["at"] - m["place"]
+        own = {given: value for given, value in zip(m["slots"], m["values"]) if given}
+        offsets.setdefault(shift, {})[m["place"]] = own
+        whole = values.setdefault(shift, {})
+        if any(given and whole.setdefault(given, value) != value for given, value in zip(m["slots"], m["values"])):
+            unfit.add(shift)
+    order = sorted(offsets.keys() - unfit, key=lambda shift: (-len(offsets[shift]), shift))
+    if len(set().union(*(offsets[shift] for shift in order))) < needed:
+        return None
+    for first in order:
+        chosen, taken = {place: place + first for place in offsets[first]}, dict(values[first])
+        for shift in order:
+            # The order of the places is that of the document, so that no word of it stands for two.
+            ascending = sorted(chosen)
+            new = {}
+            for place in offsets[shift]:
+                k = bisect.bisect(ascending, place)
+                before = chosen[ascending[k - 1]] if k else -1
+                after = chosen[ascending[k]] if k < len(ascending) else place + shift + 1
+                if place not in chosen and before < place + shift < after:
+                    new[place] = place + shift
+            own = {given: value for place in new for given, value in offsets[shift][place].items()}
+            if all(taken.get(given, value) == value for given, value in own.items()):
+                chosen.update(new)
+                taken.update(own)
+        if len(chosen) >= needed:
+            return len(chosen), len(taken)
+    return None
+
+
+def _judged(together: DataFrame, cover: float) -> DataFrame:
+    """Of items and the windows they have in a stretch of a document, those that are held there."""
+    names = ["rid", "doc_id", "item", "item_id", "windows"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(k, 256) for k in range(0, len(batch), 256)):
+                windows = part.column("windows").to_pylist()
+                found = [agreeing(met.as_py(), cover * n) for met, n in zip(part.column("met"), windows)]
+                own = part.select(names).filter(pa.array([x is not None for x in found], pa.bool_()))
+                matched, slots = ([x[k] for x in found if x is not None] for k in (0, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array(matched, pa.int64()), pa.array(slots, pa.int64())],
+                    [*names, "matched", "slots"])
+
+    return together.mapInArrow(
+        run, "rid long, doc_id long, item long, item_id long, windows long, matched long, slots long")
+
+
 def hits(
     docs: DataFrame, benchmark: DataFrame, *, size: int = 8, least: int = 5, cover: float = 0.5
 ) -> DataFrame:
@@ -245,21 +302,18 @@ def hits(
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most size - least + 1 rows
     rows = docs.select("doc_id", "text", _row_id().alias("rid"))
     found = _document_windows(rows, _bitmap(items), sizes).dropDuplicates(["rid", "at", "window"])
-    met = found.join(items, "window").withColumn("shift", F.col("at") - F.col("place"))
-    hit = ["rid", "doc_id", "item", "item_id", "windows", "shift"]
-    covered = met.groupBy(*hit).agg(F.countDistinct("place").alias("matched"))
-    enough = covered.filter(F.col("matched") >= cover * F.col("windows"))
-    pairs = met.select(*hit, F.explode(F.arrays_zip("slots", "values")).alias("slot")).select(
-        *hit, F.col("slot.slots").alias("given"), F.col("slot.values").alias("taken")
-    ).filter(F.col("given") != 0).distinct()
-    slots = pairs.groupBy("rid", "item", "shift").agg(
-        F.countDistinct("given").alias("slots"), F.count("*").alias("pairs")
-    )
-    judged = enough.join(slots, ["rid", "item", "shift"], "left").filter(
-        F.col("slots").isNull() | (F.col("slots") == F.col("pairs"))
-    )
+    met = found.join(items, "window")
+    # Stretches of some four times an item's length, each half over the next: what lies within half of one is whole in
+    # one of them, and a row is bounded however long the document.
+    half = 2 * (F.col("windows") + size)
+    cell = F.floor(F.col("at") / half)
+    placed = met.withColumn("cell", F.explode(F.array(cell, cell - 1)))
+    hit = ["rid", "doc_id", "item", "item_id", "windows"]
+    together = placed.groupBy(*hit, "cell").agg(F.collect_list(F.struct("place", "at", "slots", "values")).alias("met"))
+    enough = together.filter(F.size(F.array_distinct("met.place")) >= cover * F.col("windows"))
+    judged = _judged(enough.select(*hit, "met"), cover)
     best = judged.groupBy("rid", "doc_id", "item", "item_id", "windows").agg(
-        F.max("matched").alias("matched"), F.max(F.coalesce("slots", F.lit(0))).alias("slots")
+        F.max("matched").alias("matched"), F.max("slots").alias("slots")
     )
     return best.select(
         "doc_id", "item_id", "matched", "windows", (F.col("matched") / F.col("windows")).alias("share"), "slots", "rid"

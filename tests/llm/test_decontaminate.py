@@ -64,3 +64,17 @@ def test_odd_rows_columns_and_empty_tables(spark):
     assert clean.columns == docs.columns and clean.count() == docs.count() - 2  # the row is there twice
     assert d.hits(corpus.none(spark), bench).collect() == [] and d.hits(docs, bench.limit(0)).collect() == []
     assert d.keep_clean(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_an_added_or_dropped_word_does_not_hide_an_item(spark):
+    words = [f"w{k}" for k in range(59)]
+    added, dropped = [*words[:30], "added", *words[30:]], words[:29] + words[30:]
+    one = "a b c d e f g h i 12 j k l m n o p q"
+    values = [" ".join(added), "x " * 700 + " ".join(dropped), " ".join(words[:20] + ["far"] * 600 + words[40:]),
+              f"{one} r s t u v w {one} end".replace("12", "7"), f"{one} r s t u v w more {one} end".replace("12", "8", 1)]
+    items = [" ".join(words), f"{one} r s t u v w {one} end"]
+    # The halves of one copy are apart by an added word; in the last text they also take the same value for two.
+    assert found(spark, values, items) == [(0, 0), (1, 0), (3, 1)]
+    docs = spark.createDataFrame([(0, values[0])], "doc_id long, text string")
+    row = d.hits(docs, spark.createDataFrame([(0, items[0])], "item_id long, text string")).first()
+    assert (row.matched, row.windows) == (45, 52)
