@@ -8,7 +8,10 @@ A hit is judged by document, benchmark item and stretch of the document: offsets
 one stretch count together, so that added or dropped words do no harm. Their windows have to cover at least ``cover`` of
 the item's, and the slots have to be consistent over all of them, which is that each value of the item always stands for
 the same value in the document; offsets that contradict others, or the order of words, do not count with them. Items of fewer than ``size``
-tokens are one window of their own length; below ``least`` tokens they say too little and are not searched for.
+tokens are one window of their own length. Where placeholders leave fewer than ``least`` tokens of ``least`` words or
+more, the item is searched for by its exact words, all of them; items of fewer words say too little and are not searched
+for. An item's first word is a name or not by what stands before it in the document, so items have a second template in
+which it does not begin a sentence.
 
 Documents are read once. A bitmap of fixed size with the windows of all items is broadcast to leave out windows that no
 item has; it only spares the join rows, so a crowded bitmap costs time and never results. No text is shuffled.
@@ -43,6 +46,7 @@ UNITS = (
 
 BITMAP_BITS = 1 << 24
 _NUMBER, _QUANTITY, _NAME = (mix(np.array([k], np.uint64))[0] for k in (101, 102, 103))
+_EXACT = mix(np.array([104], np.uint64))[0]
 
 # Classes of bytes, as bits: digit, letter (all of UTF-8's further bytes count as such), lower-case letter of ASCII, and
 # the end of a sentence or line.
@@ -69,6 +73,8 @@ class Template:
     tokens: np.ndarray  # hash of a word or of a placeholder
     slots: np.ndarray  # hash of what a placeholder stands for, else 0
     offsets: np.ndarray  # of each document's tokens
+    words: np.ndarray  # hash of each word that is not only punctuation
+    word_offsets: np.ndarray
 
 
 def _lower(piece: Texts, ascii_lower: np.ndarray) -> np.ndarray:
@@ -86,7 +92,8 @@ def _lower(piece: Texts, ascii_lower: np.ndarray) -> np.ndarray:
     return out
 
 
-def template(piece: Texts) -> Template:
+def template(piece: Texts, amid: bool = False) -> Template:
+    """Template of each text; ``amid`` is as if its first word stood within a sentence."""
     words = piece.words()
     raw, low = piece.data, _lower(piece, words.data)
     kind = _CLASS[raw]
@@ -102,7 +109,8 @@ def template(piece: Texts) -> Template:
     owner, first, last = owner[some], first[some], last[some]
     if not len(first):
         none = np.zeros(0, np.uint64)
-        return Template(none, none, np.zeros(len(piece) + 1, np.int64))
+        empty = np.zeros(len(piece) + 1, np.int64)
+        return Template(none, none, empty, none, empty)
     value = hash_spans(low, first, last)
     # What each word holds, and what stands between it and the next.
     edges = np.empty(2 * len(first), np.int64)
@@ -133,6 +141,8 @@ def template(piece: Texts) -> Template:
 
     begins = np.ones(len(first), bool)
     begins[1:] = ~same[1:] | (between[:-1] & _STOP > 0)
+    if amid:
+        begins &= same
     second = np.minimum(first + 1, last - 1)
     capital = (raw[first] != low[first]) | ((raw[first] >= 128) & (raw[second] != low[second]))
     name = capital & (inside & _SMALL > 0) & ~begins & ~has_digit
@@ -153,7 +163,13 @@ def template(piece: Texts) -> Template:
                                            - np.flatnonzero(head)[group[name]].astype(np.uint64)))
         slots[head & name] = whole[group[head & name]] | np.uint64(1)
     offsets = np.concatenate([[0], np.cumsum(np.bincount(owner[head], minlength=len(piece)))])
-    return Template(tokens[head], slots[head], offsets)
+    word_offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(piece)))])
+    return Template(tokens[head], slots[head], offsets, value, word_offsets)
+
+
+def by_words(t: Template) -> Template:
+    """The words themselves in place of a template."""
+    return Template(t.words ^ _EXACT, np.zeros(len(t.words), np.uint64), t.word_offsets, t.words, t.word_offsets)
 
 
 def windows(t: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,32 +185,50 @@ def _slot_lists(t: Template, at: np.ndarray, size: int) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(0, len(values) + 1, size, dtype=np.int32), pa.array(values))
 
 
-_ITEM = "item_id long, item long, size int, place long, window long, slots array<long>, windows long"
+_ITEM = (
+    "item_id long, item long, variant int, size int, place long, window long, slots array<long>, windows long, "
+    "needed double"
+)
+_PLAIN, _AMID, _WORDS = 0, 1, 2  # variants of an item
 
 
-def item_windows(benchmark: DataFrame, size: int, least: int) -> DataFrame:
-    """Windows of all items, each with its place, slots and the number of windows that its item has."""
+def item_windows(benchmark: DataFrame, size: int, least: int, cover: float) -> DataFrame:
+    """Windows of all items, each with its place, slots, the number of windows that its item has and how many of them
+    make a hit. The size of windows of exact words is negative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in texts(batch.column("text")):
-                t = template(piece)
-                counts = np.diff(t.offsets)
+                plain, amid = template(piece), template(piece, amid=True)
+                exact = by_words(plain)
+                of_words, of_plain, of_amid = (np.diff(t.offsets) for t in (exact, plain, amid))
+                cut = (np.minimum(of_plain, of_amid) < least) & (of_words >= least)
+                other = np.array([
+                    not np.array_equal(plain.tokens[i:j], amid.tokens[k:m]) for i, j, k, m in
+                    zip(plain.offsets, plain.offsets[1:], amid.offsets, amid.offsets[1:])
+                ], bool)
+                ways = [(_WORDS, exact, least, np.where(cut, of_words, 0), 1.0)]
                 for n in range(least, size + 1):
+                    for variant, t, counts in ((_PLAIN, plain, of_plain), (_AMID, amid, np.where(other, of_amid, 0))):
+                        own = np.where((counts == n) if n < size else (counts >= size), counts, 0)
+                        ways.append((variant, t, n, own, cover))
+                for variant, t, n, counts, share in ways:
                     found, at = windows(t, n)
                     owner = np.searchsorted(t.offsets, at, "right") - 1
-                    own = (counts[owner] == n) if n < size else (counts[owner] >= size)
+                    own = counts[owner] > 0
                     found, at, owner = found[own], at[own], owner[own]
                     if len(found):
-                        take = pa.array(piece.first + owner)
+                        take, number = pa.array(piece.first + owner), counts[owner] - n + 1
                         yield pa.RecordBatch.from_arrays([
                             batch.column("item_id").take(take), batch.column("item").take(take),
-                            pa.array(np.full(len(found), n, np.int32)), pa.array(at - t.offsets[owner]),
-                            pa.array(found.view(np.int64)), _slot_lists(t, at, n), pa.array(counts[owner] - n + 1),
-                        ], ["item_id", "item", "size", "place", "window", "slots", "windows"])
+                            pa.array(np.full(len(found), variant, np.int32)),
+                            pa.array(np.full(len(found), -n if variant == _WORDS else n, np.int32)),
+                            pa.array(at - t.offsets[owner]), pa.array(found.view(np.int64)), _slot_lists(t, at, n),
+                            pa.array(number), pa.array(number * share),
+                        ], ["item_id", "item", "variant", "size", "place", "window", "slots", "windows", "needed"])
 
     named = benchmark.select("item_id", "text", F.xxhash64("item_id", F.coalesce("text", F.lit(""))).alias("item"))
-    return named.mapInArrow(run, _ITEM).dropDuplicates(["item", "size", "place"])
+    return named.mapInArrow(run, _ITEM).dropDuplicates(["item", "variant", "size", "place"])
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
@@ -218,7 +252,9 @@ def _document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) ->
         for batch in batches:
             for piece in texts(batch.column("text")):
                 t = template(piece)
-                for n in sizes:
+                whole = t
+                for size in sizes:
+                    t, n = (by_words(whole), -size) if size < 0 else (whole, size)
                     found, at = windows(t, n)
                     bit = np.mod(found.view(np.int64), BITMAP_BITS)
                     maybe = (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
@@ -238,8 +274,9 @@ def _row_id() -> Column:
     return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
 
 
-def agreeing(met: list[dict], needed: float) -> tuple[int, int] | None:
-    """Places and different slot values of windows that are ``needed`` places at least and agree in their slots."""
+def agreeing(met: list[dict], needed: float, apart: bool = True) -> tuple[int, int] | None:
+    """Places and different slot values of windows that are ``needed`` places at least and agree in their slots; if
+    they may not be ``apart``, of one offset."""
     offsets: dict[int, dict[int, dict[int, int]]] = {}  # by place, what values stand for
     values: dict[int, dict[int, int]] = {}
     unfit = set()
@@ -255,7 +292,7 @@ def agreeing(met: list[dict], needed: float) -> tuple[int, int] | None:
         return None
     for first in order:
         chosen, taken = {place: place + first for place in offsets[first]}, dict(values[first])
-        for shift in order:
+        for shift in order if apart else ():
             # The order of the places is that of the document, so that no word of it stands for two.
             ascending = sorted(chosen)
             new = {}
@@ -274,15 +311,15 @@ def agreeing(met: list[dict], needed: float) -> tuple[int, int] | None:
     return None
 
 
-def _judged(together: DataFrame, cover: float) -> DataFrame:
+def _judged(together: DataFrame) -> DataFrame:
     """Of items and the windows they have in a stretch of a document, those that are held there."""
     names = ["rid", "doc_id", "item", "item_id", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(k, 256) for k in range(0, len(batch), 256)):
-                windows = part.column("windows").to_pylist()
-                found = [agreeing(met.as_py(), cover * n) for met, n in zip(part.column("met"), windows)]
+                asked = zip(part.column("met"), part.column("needed").to_pylist(), part.column("variant").to_pylist())
+                found = [agreeing(met.as_py(), needed, variant != _WORDS) for met, needed, variant in asked]
                 own = part.select(names).filter(pa.array([x is not None for x in found], pa.bool_()))
                 matched, slots = ([x[k] for x in found if x is not None] for k in (0, 1))
                 yield pa.RecordBatch.from_arrays(
@@ -298,8 +335,8 @@ def hits(
 ) -> DataFrame:
     """Documents that hold an item: doc_id, item_id, matched and all windows of the item, their share, and the number
     of different slot values. ``rid`` names the document's row."""
-    items = item_windows(benchmark, size, least)
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most size - least + 1 rows
+    items = item_windows(benchmark, size, least, cover)
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most size - least + 2 rows
     rows = docs.select("doc_id", "text", _row_id().alias("rid"))
     found = _document_windows(rows, _bitmap(items), sizes).dropDuplicates(["rid", "at", "window"])
     met = found.join(items, "window")
@@ -309,14 +346,18 @@ def hits(
     cell = F.floor(F.col("at") / half)
     placed = met.withColumn("cell", F.explode(F.array(cell, cell - 1)))
     hit = ["rid", "doc_id", "item", "item_id", "windows"]
-    together = placed.groupBy(*hit, "cell").agg(F.collect_list(F.struct("place", "at", "slots", "values")).alias("met"))
-    enough = together.filter(F.size(F.array_distinct("met.place")) >= cover * F.col("windows"))
-    judged = _judged(enough.select(*hit, "met"), cover)
-    best = judged.groupBy("rid", "doc_id", "item", "item_id", "windows").agg(
-        F.max("matched").alias("matched"), F.max("slots").alias("slots")
+    together = placed.groupBy(*hit, "variant", "needed", "cell").agg(
+        F.collect_list(F.struct("place", "at", "slots", "values")).alias("met")
+    )
+    enough = together.filter(F.size(F.array_distinct("met.place")) >= F.col("needed"))
+    judged = _judged(enough.select(*hit, "variant", "needed", "met"))
+    # Of an item's variants the one with the larger share is told.
+    share = F.col("matched") / F.col("windows")
+    best = judged.groupBy("rid", "doc_id", "item", "item_id").agg(
+        F.max(F.struct(share.alias("share"), "matched", "windows", "slots")).alias("best")
     )
     return best.select(
-        "doc_id", "item_id", "matched", "windows", (F.col("matched") / F.col("windows")).alias("share"), "slots", "rid"
+        "doc_id", "item_id", "best.matched", "best.windows", "best.share", "best.slots", "rid"
     )
 
 

@@ -78,3 +78,14 @@ def test_an_added_or_dropped_word_does_not_hide_an_item(spark):
     docs = spark.createDataFrame([(0, values[0])], "doc_id long, text string")
     row = d.hits(docs, spark.createDataFrame([(0, items[0])], "item_id long, text string")).first()
     assert (row.matched, row.windows) == (45, 52)
+
+
+def test_short_items_of_names_and_items_after_a_colon(spark):
+    items = ["Who painted the Mona Lisa?", "What is the capital of Peru?", "New York is a city", "Who met Ann Lee Gray?"]
+    assert kinds(items[0])[0] == "wwwP"
+    values = ["Question: Who painted the Mona Lisa? Nobody knows", "he asked who painted THE mona lisa.", "Who painted the Big Wall?",
+              "Question: What is the capital of Peru?", 'He asked: "What is the capital of Chile?"', "so What is the capital of Peru",
+              "We heard that New York is a city", "New York is a city", "Who met Ann Lee Brown?", "Who met Bob. Met Ann Lee Gray",
+              "What is the capital of it"]
+    assert found(spark, values, items) == [(0, 0), (1, 0), (3, 1), (4, 1), (5, 1), (6, 2), (7, 2)]
+    assert found(spark, ["who met Ann Lee Gray once", "who met or met ann lee gray"], items) == [(0, 3)]
