@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from activitymill.llm import (
-    bloom_lm, decontaminate, imatch, jaccard_join, mixing, paragraphs, suffix_dedup, toxicity, url_filter, warc,
+    bloom_lm, decontaminate, imatch, jaccard_join, language_id, mixing, paragraphs, prefix_trie, repair, suffix_dedup,
+    toxicity, url_filter, warc,
 )
 from activitymill.llm.work import ship
 from activitymill.plans.shared import shared_folder
@@ -66,6 +67,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair(conversations, repair.damaged(conversations))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs.filter(~language_id.held_out())))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -77,7 +92,7 @@ def _shipped(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = (
         op1_decontaminate, op2_toxicity, op3_warc, op4_bloom_lm, op5_imatch, op6_suffix_dedup, op7_url_filter,
-        op8_jaccard_join, op9_paragraphs, op10_mixing,
+        op8_jaccard_join, op9_paragraphs, op10_mixing, op11_repair, op12_language_id, op13_prefix_trie,
     )
     return {query.__name__: _shipped(query) for query in found}
 
@@ -95,5 +110,5 @@ FROM r
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc": OP3_SQL, "op6_suffix_dedup": suffix_dedup.ORACLE_SQL, "op8_jaccard_join": jaccard_join.ORACLE_SQL,
-        "op10_mixing": mixing.ORACLE_SQL,
+        "op10_mixing": mixing.ORACLE_SQL, "op11_repair": repair.ORACLE_SQL, "op13_prefix_trie": prefix_trie.ORACLE_SQL,
     }

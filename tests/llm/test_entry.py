@@ -16,7 +16,7 @@ TYPE = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean":
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
     return con
 
@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, db, name):
 
 @pytest.mark.parametrize("name, table", [
     ("op2_toxicity", "documents"), ("op4_bloom_lm", "documents"), ("op5_imatch", "documents"), ("op7_url_filter", "pages"),
-    ("op9_paragraphs", "documents"),
+    ("op9_paragraphs", "documents"), ("op12_language_id", "documents"),
 ])
 def test_query_has_a_row_for_every_row(spark, db, name, table):
     key = "page_id" if table == "pages" else "doc_id"
