@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from activitymill.llm.words import Texts, hash_spans, mix, ngrams, texts
+from activitymill.llm.work import kept, unused
 
 # Units of measure.
 UNITS = (
@@ -363,5 +364,7 @@ def hits(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    held = hits(docs, benchmark, **options).select(F.col("rid").alias("_rid")).distinct()
-    return docs.withColumn("_rid", _row_id()).join(held, "_rid", "left_anti").drop("_rid")
+    rid = unused(docs, "_rid")
+    # Written first, so that Spark knows how few there are and leaves the documents where they are.
+    held = kept(hits(docs, benchmark, **options).select(F.col("rid").alias(rid)).distinct(), "held")
+    return docs.withColumn(rid, _row_id()).join(held, rid, "left_anti").drop(rid)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from activitymill.llm.components import components
-from activitymill.llm.work import kept
+from activitymill.llm.work import kept, unused
 from activitymill.llm.words import Texts, distinct, mix, shingles, texts
 
 BANDS, ROWS = 48, 7
@@ -273,10 +273,11 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-7
     the row's hash)."""
     found = links(docs, threshold, tolerance)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first"))
-    stays = first.select(F.col("first.rid").alias("_rid"))
-    marked = docs.withColumn("_rid", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    rid = unused(docs, "_rid")
+    stays = first.select(F.col("first.rid").alias(rid))
+    marked = docs.withColumn(rid, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     # Repeated rows are equal in id and text; any one of them stays.
-    return marked.join(stays, "_rid", "left_semi").dropDuplicates(["_rid"]).drop("_rid")
+    return marked.join(stays, rid, "left_semi").dropDuplicates([rid]).drop(rid)
 
 
 ORACLE_SQL = r"""

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from activitymill.llm import packed
 from activitymill.llm.words import Texts, hash_spans, texts
-from activitymill.llm.work import kept
+from activitymill.llm.work import kept, unused
 
 _PIECE = 1 << 21
 _SEGMENTS = 1024  # of a collection, at least one group
@@ -476,19 +476,18 @@ def removals(docs: DataFrame, windows: Windows = Windows(), crowd: int = 20_000)
 def without_repeats(docs: DataFrame, windows: Windows = Windows(), crowd: int = 20_000) -> DataFrame:
     """Documents with repeated bytes cut out of ``text``; all columns and rows are kept."""
     _, gone = _marked(docs, windows, crowd)
-    text = F.coalesce("text", F.lit(""))
-    joined = docs.withColumn("_rid", F.xxhash64("doc_id", text)).join(
-        gone.select(F.col("rid").alias("_rid"), F.col("all").alias("_all"), F.col("ranges").alias("_ranges")), "_rid", "left"
-    )
+    rid, every, spans = (unused(docs, c) for c in ("_rid", "_all", "_ranges"))
+    found = gone.select(F.col("rid").alias(rid), F.col("all").alias(every), F.col("ranges").alias(spans))
+    joined = docs.withColumn(rid, F.xxhash64("doc_id", F.coalesce("text", F.lit("")))).join(found, rid, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new = []
-            for value, everything, ranges in zip(*(batch.column(c).to_pylist() for c in ("text", "_all", "_ranges"))):
+            for value, everything, ranges in zip(*(batch.column(c).to_pylist() for c in ("text", every, spans))):
                 if value is not None and (everything or ranges):
                     value = _cut(value.encode(), everything, ranges)[0].decode(errors="ignore")
                 new.append(value)
-            names = [c for c in batch.schema.names if c not in ("_rid", "_all", "_ranges")]
+            names = [c for c in batch.schema.names if c not in (rid, every, spans)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new, pa.string()) if c == "text" else batch.column(c) for c in names], names
             )

@@ -74,9 +74,10 @@ class OrdinalModel:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """Features and grade of the labelled documents that the model is fitted on."""
+    """Features and grade of the labelled documents that the model is fitted on: of at most ``max_rows`` ids and grades
+    at most as many different texts, however many rows an id has."""
     given = labels.filter(F.col("grade").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "grade")
-    chosen = bounded_sample(given, "doc_id", max_rows)
+    chosen = bounded_sample(given, max_rows)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +90,10 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
                 grades = batch.column("grade").slice(piece.first, len(piece))
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), grades], ["found", "grade"])
 
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows ids
+    named = docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row"))
+    met = named.join(F.broadcast(kept(chosen, "chosen")), "doc_id")  # max_rows ids
+    rows = kept(bounded_sample(met.select("row", "grade"), max_rows), "chosen_rows")
+    joined = named.join(F.broadcast(rows), "row").dropDuplicates(["row", "grade"])  # max_rows rows
     return kept(joined.select("text", F.col("grade").cast("int")).mapInArrow(read, "found binary, grade int"), "sample")
 
 

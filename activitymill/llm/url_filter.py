@@ -110,7 +110,7 @@ def fit(
     """``labelled`` has ``url`` and ``block`` (boolean); rows without either are left out."""
     given = labelled.filter(F.col("url").isNotNull() & F.col("block").isNotNull()).select("url", "block")
     url = F.col("url")
-    rows = bounded_sample(given, "url", max_rows).select(
+    rows = bounded_sample(given, max_rows).select(
         host_of(url).alias("host"), path_of(url).alias("path"), "block"
     ).toPandas()
     weights, kinds = np.zeros(1 << bits), rows["block"].nunique()

@@ -20,14 +20,23 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_sample(df: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """At most ``max_rows`` different rows, those with the smallest hash of ``key``, in that order.
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
-    Rows beyond twice the share that is wanted are left out before any sort, so what tasks send does not grow with
-    their number.
+
+def bounded_sample(df: DataFrame, max_rows: int) -> DataFrame:
+    """At most ``max_rows`` different rows, those with the smallest hash, in that order; all if there are fewer.
+
+    Rows beyond twice the share that is wanted of the different rows are left out before any sort, so what tasks send
+    does not grow with their number. Rows that are there many times count once.
     """
-    share = min(1.0, 2 * max_rows / max(1, df.count()))
-    place = F.xxhash64(key)
+    place = F.xxhash64(*df.columns)
+    different = df.agg(F.approx_count_distinct(place)).first()[0]
+    share = min(1.0, 2 * max_rows / max(1, different))
     below = place <= int(-(1 << 63) + share * ((1 << 64) - 1) * (1 - 1e-9)) if share < 1 else F.lit(True)
     return df.filter(below).distinct().orderBy(place, *df.columns).limit(max_rows)
 

@@ -6,7 +6,7 @@ import re
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, size long, target string, rid string, "
-    "same long, class string, links long, key string, _x int"
+    "same long, class string, links long, key string, _x int, _rid string, _all int, _ranges string"
 )
 
 
@@ -44,7 +44,7 @@ def texts(seed=0, n=60):
 def documents(spark, seed=0, n=60, repeat=True):
     """Ids are unique but for one row that is there twice, and one that is null."""
     rows = [
-        (i, t, "en", [None, "b", "a", "é", ""][i % 5], None, 7, "t", "r", 1, "c", 2, "k", 3)
+        (i, t, "en", [None, "b", "a", "é", ""][i % 5], None, 7, "t", "r", 1, "c", 2, "k", 3, "i", 4, "q")
         for i, t in enumerate(texts(seed, n))
     ]
     if repeat:

@@ -1,0 +1,42 @@
+from activitymill.llm import jaccard_join, paragraphs, suffix_dedup, toxicity, url_filter
+from activitymill.llm.work import bounded_sample, unused
+from tests.llm import corpus
+
+
+def test_a_sample_of_rows_that_are_there_many_times_is_whole(spark):
+    few = spark.range(400_000).selectExpr("concat('http://', id % 200) AS url", "id % 2 = 0 AS block")
+    assert bounded_sample(few, 4096).count() == 200
+    assert bounded_sample(few, 50).count() == 50
+    hot = spark.range(100_000).selectExpr("CASE WHEN id % 10 < 9 THEN 'hot' ELSE concat('u', id) END AS url", "true AS block")
+    assert bounded_sample(hot, 4096).count() == 4096
+    assert bounded_sample(hot.limit(0), 10).count() == 0
+
+
+def test_an_id_with_many_rows_does_not_grow_the_sample(spark):
+    docs = spark.range(5000).selectExpr("id % 3 AS doc_id", "concat('text ', id % 1000) AS text")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, grade int")
+    assert toxicity._sample(docs, labels, 64).count() == 64
+    same = spark.range(5000).selectExpr("id % 3 AS doc_id", "'one text' AS text")
+    assert toxicity._sample(same, labels, 64).count() == 3
+
+
+def test_unused_names(spark):
+    df = spark.createDataFrame([], "_RID int, __rid int, x int")
+    assert unused(df, "_rid") == "___rid" and unused(df, "y") == "y"
+
+
+def test_columns_of_any_name_are_kept(spark):
+    docs = corpus.documents(spark)
+    want = {tuple(r) for r in docs.drop("text").collect()}
+    for kept in (jaccard_join.one_of_each, paragraphs.without_repeats, suffix_dedup.without_repeats):
+        df = kept(docs)
+        assert df.columns == docs.columns
+        assert {tuple(r) for r in df.drop("text").collect()} <= want
+
+
+def test_a_classifier_learns_from_few_different_rows(spark):
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'http://good.org/' ELSE 'http://bad.net/buy' END AS url", "id % 2 = 1 AS block")
+    model = url_filter.fit(rows, max_rows=64)
+    assert model.score(["good.org", "bad.net"], ["/", "/buy"]).tolist() == sorted(model.score(["good.org", "bad.net"], ["/", "/buy"]).tolist())
+    assert (model.weights != 0).any()
