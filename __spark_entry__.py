@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activitymill.contract import PUSH, TABLES
+from activitymill.contract import MARTS, PUSH, TABLES
 from activitymill.functions.time import utc_wall_clock
-from activitymill.operators import checks, dims, facts, marts, profiles
+from activitymill.operators import checks, dims, facts, marts, profiles, skew
 from activitymill.plans import daily
 from activitymill.plans.shared import shared_folder
 from activitymill.sources import landing, sample, tables
@@ -142,6 +142,18 @@ def _published(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: _plain(_warehouse(spark, sf_dir).table(name))
 
 
+def _lasting(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A published table by its name in the catalog."""
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        house = _warehouse(spark, sf_dir)
+        database = f"activity_{house.root.rsplit('-', 1)[-1]}"
+        if not spark.catalog.databaseExists(database):
+            daily.lasting_views(house, database)
+        return _plain(tables.read_table(spark, f"{database}.{name}"))
+
+    return read
+
+
 def _ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The sample's hours are folders named hour_file=<hour>, hence the leading star.
     scanned = landing.scan_events(spark, f"{_landing(spark, sf_dir)}/*.json.gz")
@@ -217,6 +229,28 @@ def _mart_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, "issue_activity_view")
 
 
+def _events_with_actor_names(events: DataFrame) -> DataFrame:
+    built = _gappy_tables(events)
+    return skew.fact_with_names(built["fact_events"], built["dim_actor"], "actor_id", {"actor_login": "actor_name"})
+
+
+def _events_with_every_name(events: DataFrame) -> DataFrame:
+    """Each event with all names that its actor has had, with heavy keys dealt over salts."""
+    gappy = _gappy_tables(events)["fact_events"]
+    names = events.select("actor_id", F.col("actor_login").alias("any_name")).distinct()
+    return skew.split_join(gappy, names, "actor_id", "inner", most_heavy=0).select("event_id", "actor_id", "any_name")
+
+
+def _heavy_keys(events: DataFrame) -> DataFrame:
+    gappy = _gappy_tables(events)["fact_events"]
+    found = [
+        skew.heavy_keys(gappy, key, 0.005, skew.key_sketches(gappy, key, ["date_key"], 0.005))
+        .select(F.lit(key).alias("key_name"), F.col(key).alias("key"), "row_count", "share")
+        for key in ("actor_id", "repo_id", "org_id")
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 # --- registry -------------------------------------------------------------------------------------------------
 
 
@@ -264,6 +298,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             )
         ),
         "key_skew": _on_events(lambda e: profiles.key_skew(e, "actor_id")),
+        "events_with_actor_names": _on_events(_events_with_actor_names),
+        "events_with_every_name": _on_events(_events_with_every_name),
+        "heavy_keys": _on_events(_heavy_keys),
         "preview": _on_events(lambda e: profiles.preview(e)),
         "preview_check": _on_events(lambda e: profiles.preview_check(e, "event_id")),
         "contract_report": _on_events(lambda e: profiles.contract_report(e, TABLES["fact_events"])),
@@ -287,6 +324,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_from_query": _table_from_query,
         "mart_view": _mart_view,
         **{f"daily_{name}": _published(name) for name in TABLES},
+        **{f"lasting_{name}": _lasting(name) for name in MARTS},
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
@@ -443,6 +481,18 @@ def oracle_sql() -> dict[str, str]:
         "key_skew":
             "SELECT actor_id, count(*) AS row_count, count(*) / (SELECT count(*) FROM fact_events) AS share "
             "FROM fact_events GROUP BY actor_id",
+        "events_with_actor_names":
+            "SELECT f.*, d.actor_login AS actor_name FROM (SELECT * EXCLUDE (d) FROM gappy_fact) AS f "
+            "LEFT JOIN (SELECT * FROM dim_actor WHERE actor_id % 10 <> 7) AS d ON f.actor_id = d.actor_id",
+        "events_with_every_name":
+            "SELECT event_id, f.actor_id, any_name FROM gappy_fact AS f "
+            "JOIN (SELECT DISTINCT actor_id, actor_login AS any_name FROM fact_events) AS n ON f.actor_id = n.actor_id",
+        "heavy_keys": " UNION ALL ".join(
+            f"SELECT '{key}' AS key_name, {key} AS key, count(*) AS row_count, "
+            f"count(*) / (SELECT count(*) FROM gappy_fact) AS share FROM gappy_fact WHERE {key} IS NOT NULL "
+            f"GROUP BY {key} HAVING count(*) >= 0.005 * (SELECT count(*) FROM gappy_fact)"
+            for key in ("actor_id", "repo_id", "org_id")
+        ),
         "ndjson_scan":
             "SELECT CASE WHEN ok THEN event_id END AS id, CASE WHEN ok THEN event_type END AS type, "
             "CASE WHEN ok THEN strftime(created_ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at, "
@@ -497,6 +547,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         **{name: _RAW + sql for name, sql in (tables_sql | others).items()},
         **{f"daily_{name}": _RAW + sql for name, sql in tables_sql.items()},
+        **{f"lasting_{name}": _RAW + tables_sql[name] for name in MARTS},
         "dq_report": _report_sql("fact_events", "dim_actor", "dim_repo"),
         "dq_report_broken": _report_sql("broken_fact", "broken_actor", "broken_repo"),
         "dq_report_worse": _report_sql("fact_events", "worse_actor", "worse_repo", "worse_org", "worse_time"),

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from activitymill.contract import (
-    BAD_LINE, MARTS, MIN_HOUR_BYTES, PUSH, TABLES, TARGET_TYPES, columns,
+    BAD_LINE, ISSUES, MARTS, MIN_HOUR_BYTES, PULL_REQUEST, PUSH, TABLES, TARGET_TYPES, columns,
 )
 from activitymill.functions.time import day_key, parse_day
 from activitymill.operators import checks, dims, facts, marts, profiles
@@ -46,6 +46,7 @@ from activitymill.plans.shared import shared_folder
 from activitymill.sources.landing import landing_manifest, scan_events
 from activitymill.sources.state import State, listed, read_state, removed, write_state
 from activitymill.sources.tables import balanced, create_view, write_table
+from activitymill.sources.views import create_views, folder, nothing
 
 T = TypeVar("T")
 STAGED = (
@@ -203,6 +204,49 @@ def build_marts(house: Warehouse, state: State) -> dict[str, DataFrame]:
     }
 
 
+# The marts as SQL text, for views that outlast a session; names in braces are views themselves.
+MART_TEXTS = {
+    "events_by_type_per_day":
+        "SELECT date_key, event_type, SUM(event_count) AS event_count FROM {seen_types} GROUP BY date_key, event_type",
+    "events_per_repo_per_day":
+        "SELECT date_key, c.repo_id, repo_name, repo_owner, event_type, c.event_count FROM ("
+        "SELECT date_key, repo_id, event_type, SUM(event_count) AS event_count FROM {seen_repos} "
+        "GROUP BY date_key, repo_id, event_type) AS c LEFT JOIN {dim_repo} AS d ON c.repo_id = d.repo_id",
+    "pr_throughput":
+        f"SELECT date_key, action, SUM(event_count) AS pr_count FROM {{seen_types}} WHERE event_type = '{PULL_REQUEST}' "
+        "GROUP BY date_key, action",
+    "issue_activity":
+        f"SELECT date_key, action, SUM(event_count) AS issue_count FROM {{seen_types}} WHERE event_type = '{ISSUES}' "
+        "GROUP BY date_key, action",
+    "top_contributors":
+        "SELECT c.actor_id, actor_login, event_count FROM (SELECT actor_id, SUM(event_count) AS event_count "
+        "FROM {known_actors} GROUP BY actor_id) AS c LEFT JOIN {dim_actor} AS d ON c.actor_id = d.actor_id",
+}
+
+
+def view_texts(house: Warehouse, state: State) -> dict[str, str]:
+    """SQL text per published table and mart, as of a state. All files of a state stay until two runs later."""
+    texts = dict(MART_TEXTS)
+    for name, schema in BY_DAY.items():
+        runs: dict[str, list[str]] = {}
+        for day, run in sorted(state.days.items()):
+            runs.setdefault(run, []).append(day)
+        held = " OR ".join(f"(run = '{run}' AND landed_day IN ({', '.join(days)}))" for run, days in runs.items())
+        texts[name] = folder(house.spark, house.path(name), schema, held) if held else nothing(schema)
+    for name, schema in MERGED.items():
+        texts[name] = folder(house.spark, house.run_path(name, state.merged), schema) if state.merged else nothing(schema)
+    return texts
+
+
+def lasting_views(house: Warehouse, database: str, state: State | None = None) -> list[str]:
+    """Register what is published as lasting views of a database; names, in the order of creation.
+
+    ``run_days(database=...)`` does so after each publishing. Another application without a stored metastore calls
+    this once with the warehouse's folder.
+    """
+    return create_views(house.spark, database, view_texts(house, state or house.state()))
+
+
 def export(
     house: Warehouse, fmt: str, options: Callable[[str], Mapping[str, str]], tables: Iterable[str] = tuple(TABLES)
 ) -> None:
@@ -283,12 +327,14 @@ def run_days(
     min_hour_bytes: int = MIN_HOUR_BYTES,
     max_bad_share: float = 0.25,
     marts_as: str = "view",
+    database: str | None = None,
 ) -> RunReport:
     """Load the landed hours of the days, check them, and publish. Raises if a check fails.
 
     Of the kept events and bad lines of a day, at most ``max_bad_share`` may be bad lines; these are published in the
     table ``bad_lines``. With ``marts_as="view"`` the marts are registered in the session and worked out when read;
-    with ``"table"`` they are stored too.
+    with ``"table"`` they are stored too. With a ``database``, all published tables and marts become views of it that
+    outlast the session.
     """
     first, last = parse_day(first_day), parse_day(last_day or first_day)
     house, work = Warehouse(spark, warehouse), shared_folder(spark)
@@ -308,6 +354,8 @@ def run_days(
         raise
     finally:
         removed(spark, work)
+    if database:
+        lasting_views(house, database, after)
     _swept(house, before, after)
     if marts_as == "view":
         for name, df in build_marts(house, after).items():

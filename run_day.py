@@ -22,6 +22,7 @@ def main() -> None:
     parser.add_argument("--allow-fewer-hours", action="store_true", help="replace a day by one with fewer hours")
     parser.add_argument("--max-bad-share", type=float, default=0.25, help="share of bad lines at which to stop")
     parser.add_argument("--marts-as", choices=["view", "table"], default="view", help="store the marts too")
+    parser.add_argument("--database", help="register all tables and marts as lasting views of this database")
     parser.add_argument("--export", metavar="FORMAT", help="also write all tables through this connector")
     parser.add_argument("--export-to", metavar="FOLDER", help="folder for the export, a path per table")
     args = parser.parse_args()
@@ -35,6 +36,7 @@ def main() -> None:
         spark, args.first_day, args.last_day,
         landing_dir=args.landing, warehouse=args.warehouse, allow_missing_hours=args.allow_missing_hours,
         allow_fewer_hours=args.allow_fewer_hours, max_bad_share=args.max_bad_share, marts_as=args.marts_as,
+        database=args.database,
     )
     if args.export:
         export(Warehouse(spark, args.warehouse), args.export, lambda name: {"path": f"{args.export_to}/{name}"})
