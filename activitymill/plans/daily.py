@@ -254,7 +254,12 @@ def export(
 
     ``options`` gives the connector's options for a table name.
     """
-    at_once(partial(write_table, house.table(name), None, fmt=fmt, options=options(name)) for name in tables)
+    def put(name: str) -> None:
+        # Formats registered in a session are found by threads whose session it is; making a DataFrame makes it so.
+        house.spark.createDataFrame([], "none INT")
+        write_table(house.table(name), None, fmt=fmt, options=options(name))
+
+    at_once(partial(put, name) for name in tables)
 
 
 def stage(spark: SparkSession, paths: list[str], to: str) -> DataFrame:

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from activitymill.sources.state import removed
+
+_BEFORE = "activitymill.before"  # property of a table: the location it was moved from
+
+
+class SchemaChange(Exception):
+    """A table was to be replaced by rows of another schema."""
+
 
 def read_table(
     spark: SparkSession, name: str, fmt: str | None = None, options: Mapping[str, str] | None = None
@@ -89,6 +98,52 @@ def create_table_as(df: DataFrame, name: str, fmt: str = "parquet", path: str |
     df.write.format(fmt).mode("overwrite").options(**({"path": path} if path else {})).saveAsTable(name)
 
 
+def replace_table_as(df: DataFrame, name: str, root: str, fmt: str = "parquet", new_columns: bool = False) -> str:
+    """Create a catalog table from a query, or replace the rows of one that this made, without readers noticing.
+
+    Rows are written to a new folder below ``root`` first; then the table's location moves there, which is one step of
+    the catalog. A query that fails leaves the table as it was and removes its folder. The rows before stay on disk
+    until the next time, for readers that have begun with them. A session that has read the table keeps its rows until
+    ``REFRESH TABLE``. Returns the folder.
+
+    Another schema raises ``SchemaChange`` after nothing was changed, unless ``new_columns`` is given: the catalog cannot
+    change columns and location at once, so the table is then made anew, and is not there for a moment in between.
+    """
+    spark = df.sparkSession
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    there = spark.catalog.tableExists(name)
+    if there:
+        have = [(f.name, f.dataType) for f in spark.table(name).schema]
+        if have != [(f.name, f.dataType) for f in df.schema] and not new_columns:
+            raise SchemaChange(f"{name} has {spark.table(name).schema.simpleString()}, not {df.schema.simpleString()}")
+    try:
+        df.write.format(fmt).save(folder)
+    except BaseException:
+        removed(spark, folder)
+        raise
+    before = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()} if there else {}
+    own = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()} if there else {}
+    same = there and before.get("Provider", "").lower() == fmt and have == [(f.name, f.dataType) for f in df.schema]
+    if same:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_literal(folder)}'")
+    else:
+        if there:
+            spark.sql(f"DROP TABLE {name}")  # its files stay, as the table has a location of its own
+        columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} LOCATION '{_literal(folder)}'")
+    if there:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_BEFORE}' = '{_literal(before['Location'])}')")
+        # Only what this has written is removed, and never what the table was moved from just now.
+        old = own.get(_BEFORE)
+        if old and old not in (before["Location"], folder):
+            removed(spark, old)
+    return folder
+
+
+def _literal(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def create_view(df: DataFrame, name: str) -> None:
     """Register a query under a name; it is worked out when read."""
     df.createOrReplaceTempView(name)

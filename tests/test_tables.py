@@ -1,4 +1,7 @@
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from activitymill.sources import tables
 from tests.conftest import rows
@@ -99,3 +102,40 @@ class TestReplaceDays:
         assert stored(spark, path) == [(1, 20240601, 20240601)]
         tables.replace_days(both.filter("id = 2"), path, (20240602, 20240602))
         assert [r[0] for r in stored(spark, path)] == [1, 2]
+
+
+def test_a_table_is_replaced_in_one_step_or_not_at_all(spark, df, tmp_path):
+    root = str(tmp_path / "moved")
+    first = tables.replace_table_as(df.filter("id = 1"), "moved", root)
+    assert rows(spark.table("moved").select("id")) == [(1,)]
+    broken = df.withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        tables.replace_table_as(broken, "moved", root)
+    assert rows(spark.table("moved").select("id")) == [(1,)] and os.listdir(root) == [os.path.basename(first)]
+    began = spark.newSession().table("moved")  # a reader that has begun keeps its rows
+    second = tables.replace_table_as(df, "moved", root)
+    assert rows(spark.table("moved").select("id")) == [(1,), (2,), (3,)]
+    assert rows(spark.newSession().table("moved").select("id")) == [(1,), (2,), (3,)]
+    assert rows(began.select("id")) == [(1,)]
+    third = tables.replace_table_as(df.filter("id = 2"), "moved", root)
+    assert sorted(os.listdir(root)) == sorted(os.path.basename(f) for f in (second, third))
+
+
+def test_a_table_may_be_replaced_by_a_query_on_itself(spark, df, tmp_path):
+    root = str(tmp_path / "itself")
+    tables.replace_table_as(df, "itself", root)
+    for _ in range(3):
+        tables.replace_table_as(spark.table("itself").withColumn("id", F.col("id") + 1), "itself", root)
+    assert rows(spark.table("itself").select("id")) == [(4,), (5,), (6,)]
+
+
+def test_another_schema_is_refused_unless_asked_for(spark, df, tmp_path):
+    root = str(tmp_path / "it's")
+    tables.replace_table_as(df, "columns_change", root)
+    with pytest.raises(tables.SchemaChange):
+        tables.replace_table_as(df.drop("id"), "columns_change", root)
+    assert spark.table("columns_change").columns == df.columns and len(os.listdir(root)) == 1
+    tables.replace_table_as(df.drop("id"), "columns_change", root, new_columns=True)
+    assert rows(spark.table("columns_change")) == rows(df.drop("id"))
+    tables.replace_table_as(df.limit(0).drop("id"), "columns_change", root, fmt="orc", new_columns=True)
+    assert rows(spark.table("columns_change")) == []
