@@ -304,8 +304,9 @@ def landed(
 
 
 def reconciled(staged: DataFrame, house: Warehouse, days: Mapping[str, str]) -> dict[str, tuple[int, int]]:
-    """What was parsed against what was written: kept events and fact rows, listed and stored commits, and per event
-    type the fact rows and the counts behind the marts."""
+    """What was parsed against what was written: kept events and fact rows, listed and stored commits, per event type
+    the fact rows and the counts behind the marts, and groups (of type and day) of events against those whose content
+    is stored as it was parsed."""
     push = F.col("event_type") == PUSH
     parsed = staged.agg(
         F.count_if(F.col("event_type").isin(*TARGET_TYPES)).alias("events"),
@@ -313,9 +314,14 @@ def reconciled(staged: DataFrame, house: Warehouse, days: Mapping[str, str]) ->
     ).first()
     events, commits, counts = (house.by_day(name, days) for name in ("fact_events", "fact_commits", "seen_repos"))
     by_type = profiles.reconcile(events, counts).collect()  # a row per kept type
+    kept = staged.filter(F.col("event_type").isin(*TARGET_TYPES))
+    content = profiles.reconcile_content(
+        kept, events, ["event_type", "date_key", "landed_day"], columns("fact_events")
+    ).agg(F.count("*").alias("groups"), F.count_if(~F.col("differs")).alias("alike")).first()
     return {
         "events": (parsed.events, sum(r.fact_count for r in by_type)),
         "commits": (parsed.commits, commits.count()),
+        "content": (content.groups, content.alike),
         **{f"mart_{r.event_type}": (r.fact_count, r.mart_count) for r in by_type},
     }
 

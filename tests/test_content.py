@@ -1,0 +1,58 @@
+import pytest
+from pyspark.sql import functions as F
+
+from activitymill.operators import profiles
+from activitymill.plans import daily
+from activitymill.plans.daily import GateError
+from tests.conftest import rows
+from tests.test_daily import DAY1, landing, published, run  # noqa: F401
+
+SCHEMA = "day INT, a STRING, b STRING, n BIGINT"
+ROWS = [(1, "x", None, 1), (1, None, "x", 2), (1, "y", "z", 3), (1, "y", "z", 3), (2, "x", "y", None), (None, "q", "r", 5)]
+
+
+def differing(spark, left, right):
+    frames = [spark.createDataFrame(r, SCHEMA) for r in (left, right)]
+    found = profiles.reconcile_content(*frames, ["day"], ["day", "a", "b", "n"])
+    return {r.day: (r.left_rows, r.right_rows) for r in found.collect() if r.differs}
+
+
+def test_order_and_parts_do_not_matter(spark):
+    assert differing(spark, ROWS, ROWS[::-1]) == {}
+    frame = spark.createDataFrame(ROWS, SCHEMA)
+    one, two = (rows(profiles.fingerprint(f, ["day"], ["a", "b", "n"])) for f in (frame, frame.repartition(5)))
+    assert one == two and len(one) == 3
+
+
+@pytest.mark.parametrize("change, groups", [
+    ({0: (1, None, "x", 1)}, {1: (4, 4)}),  # a value in the neighbouring column
+    ({0: (1, "x", None, 2), 1: (1, None, "x", 1)}, {1: (4, 4)}),  # values swapped between two rows
+    ({0: (1, "y", "z", 3), 1: (1, "y", "z", 3)}, {1: (4, 4)}),  # two rows doubled: an exclusive or of zero
+    ({2: (2, "y", "z", 3)}, {1: (4, 3), 2: (1, 2)}),  # a row in another group
+    ({5: (None, "q", "r", None)}, {None: (1, 1)}),
+])
+def test_what_counts_do_not_tell(spark, change, groups):
+    assert differing(spark, ROWS, [change.get(i, r) for i, r in enumerate(ROWS)]) == groups
+
+
+def test_missing_and_empty_sides(spark):
+    assert differing(spark, ROWS, ROWS[:5]) == {None: (1, 0)}
+    assert differing(spark, [], ROWS[4:5]) == {2: (0, 1)} and differing(spark, [], []) == {}
+
+
+def test_a_swap_on_the_way_to_the_facts_fails_the_gate(spark, landing, tmp_path, monkeypatch):  # noqa: F811
+    """As many rows of each type, day, actor and repository as there should be."""
+    root, write = tmp_path / "house", daily.write_table
+
+    def swapped(df, path, *args, **more):
+        if "/fact_events/" in path:
+            df = df.withColumn("event_id", F.when(F.col("event_type") == "PushEvent", F.concat(F.lit("x"), "event_id"))
+                               .otherwise(F.col("event_id")))
+        write(df, path, *args, **more)
+
+    monkeypatch.setattr(daily, "write_table", swapped)
+    with pytest.raises(GateError, match="reconcile_content"):
+        run(spark, landing, root, DAY1)
+    monkeypatch.undo()
+    assert run(spark, landing, root, DAY1).counts["content"][0] > 0
+    assert published(spark, root)["fact_events"]
