@@ -89,3 +89,14 @@ def test_short_items_of_names_and_items_after_a_colon(spark):
               "What is the capital of it"]
     assert found(spark, values, items) == [(0, 0), (1, 0), (3, 1), (4, 1), (5, 1), (6, 2), (7, 2)]
     assert found(spark, ["who met Ann Lee Gray once", "who met or met ann lee gray"], items) == [(0, 3)]
+
+
+def test_clean_documents_stay_where_they_are(spark):
+    """As a stage, no text is dealt anew: what goes is known by then and is few."""
+    docs = spark.createDataFrame([(k, f"some words of document {k} and no more than that") for k in range(50)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "words of document 7 and no more than")], "item_id long, text string")
+    kept = d.keep_clean(docs, items)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert kept.count() < 50
