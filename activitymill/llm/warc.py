@@ -1,17 +1,30 @@
 """WARC archives: writing with repeated payloads as revisits, and a reader that splits compressed files.
 
 ``write_archives`` stores each record as a gzip member of its own, one file per task. ``read_archives`` gives every
-task a byte range of a file: it looks for the gzip magic number, decodes the start of each candidate, and takes it for
-a record only if that is a WARC header and the member is whole and followed by another one or by the end of the file.
-A task owns the records that start inside its range and reads past the range to end the last of them, so each record
-is read exactly once and a file is never one task's work.
+task a byte range of a file: it looks for the gzip magic number and decodes the start of each candidate. The first
+candidate of a range is a record if it is whole and followed by another header or by the end of the file; from there on
+each record ends where the next begins. A task owns the records that start inside its range and reads past the range
+to end the last of them, so each record is read exactly once and a file is never one task's work.
+
+A candidate that is not followed so is either inside another record's payload or next to damage. The task then reads
+the file from its beginning to find out, which happens only in files that are damaged or hold archives as payloads.
+
+Nothing is lost silently. Where no whole record begins (junk between members, a member that is damaged or cut off) a
+``Damage`` is found, once, by the task that owns the place or the record before it; reading goes on with the next whole
+record. A file whose size is not the listed one is damaged at its end. ``read_archives`` raises, or reports damage as rows.
 
 Of records with equal payloads of at least ``min_revisit`` bytes, that with the largest page_id is the response; the
-others are revisits that carry the payload's digest and size but not its bytes.
+others are revisits that carry the payload's digest and size but not its bytes. Which payloads are repeated is decided
+on ids, digests and sizes; payloads stay in their tasks as long as Spark can broadcast the repeated digests.
+
+Records of other writers are read too: any type, either version, header names in any case, ids of any form (page_id is
+null then). A digest is checked where it is SHA-1 and the payload was not sent in chunks; otherwise it is computed. A
+revisit has a size only where its record states one. Of two whole neighbouring records that a payload holds
+uncompressed, and that lie across a range's beginning, the first would be taken for a record of the file.
 
 Defined cases: a null html is an empty payload, a null url leaves the target out, a null page_id is kept as null and is
 the response only if no page with an id has the payload. Several rows with the largest id are each the response. Long
-payloads are held one at a time. An empty table writes no file and reads as no rows. Other columns are ignored.
+payloads become Python objects one at a time. An empty table writes no file and reads as no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +43,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from activitymill.llm.work import kept
+
 # Fixed values of the formats.
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
@@ -58,10 +73,12 @@ def with_revisits(pages: DataFrame, min_revisit: int = 1000) -> DataFrame:
         {"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("long")}
     )
     # One row per repeated payload; a payload that a third of the pages have is one row per task before the shuffle.
-    repeated = (
+    # Written first, so that Spark knows its size and broadcasts it below its limit; payloads are then not shuffled.
+    repeated = kept(
         rows.filter(F.col("size") >= min_revisit).groupBy(F.col("digest").alias("of"))
         .agg(F.max("page_id").alias("first"), F.count("*").alias("times"))
-        .filter((F.col("times") > 1) & F.col("first").isNotNull()).drop("times")
+        .filter((F.col("times") > 1) & F.col("first").isNotNull()).drop("times"),
+        "repeated",
     )
     joined = rows.join(repeated, F.col("digest") == F.col("of"), "left")
     other = ~F.col("page_id").eqNullSafe(F.col("first"))
@@ -107,7 +124,8 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = 1000) -> li
         to, base = store.open()
         name, out, size = f"part-{uuid.uuid4().hex}.warc.gz", None, 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
                 if out is None:
                     out = to.open_output_stream(f"{base}/{name}", compression=None)
                 member = _gzip(_record(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"]))
@@ -128,19 +146,70 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = 1000) -> li
     return listed
 
 
-def members(source: pa.NativeFile, start: int, end: int, size: int) -> Iterator[bytes]:
-    """Records, decompressed, of the gzip members that start in [start, end)."""
-    at = start
-    while at < end:
-        found = _find(source, at, end)
-        if found is None:
+@dataclass(frozen=True)
+class Member:
+    """A whole record, decompressed, and where its member starts in the file."""
+
+    at: int
+    data: bytes
+
+
+@dataclass(frozen=True)
+class Damage:
+    """A place at which a record should begin and no whole one does."""
+
+    at: int
+
+
+def members(source: pa.NativeFile, start: int, end: int, size: int) -> Iterator[Member | Damage]:
+    """Records of the gzip members that start in [start, end), and the damage that is this range's to tell."""
+    at: int | None = start
+    if start > 0:
+        at = _candidate(source, start, end)
+        if at is None:
             return
-        whole = _member(source, found, size)
-        if whole is None:
-            at = found + 1
-            continue
-        data, at = whole
-        yield data
+        whole = _member(source, at)
+        if whole is None or (whole[1] < size and not _header(source, whole[1])):
+            at = _boundary(source, start, size)
+    elif size and not _header(source, 0):
+        yield Damage(0)
+    if at is not None:
+        yield from _records(source, at, end, size)
+
+
+def _records(source: pa.NativeFile, at: int | None, end: int, size: int) -> Iterator[Member | Damage]:
+    """Records from ``at`` on, which is where one ends or begins. A place without a header is told with the record
+    before it, a header without a whole record by the range that it is in. Returns the first such place not before ``end``."""
+    while at is not None and at < end:
+        if _header(source, at):
+            whole = _member(source, at)
+            if whole is not None:
+                yield Member(at, whole[0])
+                at = whole[1]
+                if at < size and not _header(source, at):
+                    yield Damage(at)
+                continue
+            yield Damage(at)
+        at = _candidate(source, at + 1, size)
+    return at
+
+
+def _boundary(source: pa.NativeFile, start: int, size: int) -> int | None:
+    """The first place not before ``start`` at which a record ends or begins, by reading the file up to there."""
+    steps = _records(source, 0, start, size)
+    while True:
+        try:
+            next(steps)
+        except StopIteration as done:
+            return done.value
+
+
+def _candidate(source: pa.NativeFile, start: int, end: int) -> int | None:
+    """The first place in [start, end) at which a record's header can be decoded."""
+    at = _find(source, start, end)
+    while at is not None and not _header(source, at):
+        at = _find(source, at + 1, end)
+    return at
 
 
 def _find(source: pa.NativeFile, start: int, end: int) -> int | None:
@@ -164,67 +233,83 @@ def _header(source: pa.NativeFile, at: int) -> bool:
         return False
 
 
-def _member(source: pa.NativeFile, at: int, size: int) -> tuple[bytes, int] | None:
-    """The member at a candidate place and where it ends; None if there is none."""
-    if not _header(source, at):
-        return None
+def _member(source: pa.NativeFile, at: int) -> tuple[bytes, int] | None:
+    """The member at a place with a header, and where it ends; None if it is damaged or cut off."""
     source.seek(at)
     reader, parts, read = zlib.decompressobj(31), [], 0
     while not reader.eof:
         piece = source.read(max(_READ, min(read, 1 << 22)))
         if not piece:
-            return None  # cut off, or not a member at all
+            return None
         read += len(piece)
         try:
             parts.append(reader.decompress(piece))
         except zlib.error:
             return None
-    stop = at + read - len(reader.unused_data)
-    if stop < size and not _header(source, stop):
-        return None
-    return b"".join(parts), stop
+    return b"".join(parts), at + read - len(reader.unused_data)
 
 
 _ID = re.compile(r"<urn:page:(-?\d+)>")
+_SHA1 = re.compile(r"sha1:([A-Z2-7]{32})", re.IGNORECASE)
 
 
 def parse(record: bytes) -> dict:
-    """Fields of one record; raises ValueError if a response's payload does not have the stated digest."""
+    """Fields of one record; raises ValueError if it has no length, is shorter than it says, or has another digest."""
     head, _, rest = record.partition(b"\r\n\r\n")
-    named = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    body = rest[:int(named["Content-Length"])]
-    payload = body.partition(b"\r\n\r\n")[2]
-    digest = b32decode(named["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-    kind = named["WARC-Type"]
-    if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
-        raise ValueError(f"damaged payload in {named['WARC-Record-ID']}")
-
-    def number(name: str) -> int | None:
-        found = _ID.match(named.get(name, ""))
-        return int(found[1]) if found else None
-
+    named = _fields(head)
+    name, kind = named.get("warc-record-id"), named.get("warc-type", "")
+    if not named.get("content-length", "").isdigit() or len(rest) < int(named["content-length"]):
+        raise ValueError(f"damaged record {name}")
+    payload, sent = rest[:int(named["content-length"])], {}
+    if named.get("content-type", "").lower().startswith("application/http"):
+        first, _, payload = payload.partition(b"\r\n\r\n")
+        sent = _fields(first)
+    stated = _SHA1.fullmatch(named.get("warc-payload-digest", ""))
+    digest = b32decode(stated[1].upper()).hex() if stated else None
+    if kind != "revisit":
+        found = hashlib.sha1(payload).hexdigest()
+        if digest not in (None, found) and "transfer-encoding" not in sent:
+            raise ValueError(f"damaged payload in {name}")
+        digest = digest or found
+    size = named.get("warc-payload-length") or (None if kind == "revisit" else len(payload))
     return {
-        "page_id": number("WARC-Record-ID"), "record_type": kind, "refers_to": number("WARC-Refers-To"),
-        "payload_digest": digest, "payload_bytes": int(named["WARC-Payload-Length"]),
-        "url": named.get("WARC-Target-URI"), "payload": payload if kind == "response" else None,
+        "page_id": _number(name), "record_type": kind, "refers_to": _number(named.get("warc-refers-to")),
+        "payload_digest": digest, "payload_bytes": None if size is None else int(size),
+        "url": named.get("warc-target-uri"), "payload": None if kind == "revisit" else payload, "record_id": name,
     }
 
 
+def _fields(head: bytes) -> dict[str, str]:
+    """Named fields below the first line, the names in lower case."""
+    lines = (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])
+    return {name.strip().lower(): value.strip() for name, _, value in lines}
+
+
+def _number(name: str | None) -> int | None:
+    found = _ID.fullmatch(name or "")
+    return int(found[1]) if found else None
+
+
 READ_SCHEMA = (
     "page_id long, record_type string, refers_to long, payload_digest string, payload_bytes long, url string, "
-    "payload binary"
+    "payload binary, record_id string, file string, at long"
 )
 _ARROW = {
     "page_id": pa.int64(), "record_type": pa.string(), "refers_to": pa.int64(), "payload_digest": pa.string(),
-    "payload_bytes": pa.int64(), "url": pa.string(), "payload": pa.binary(),
+    "payload_bytes": pa.int64(), "url": pa.string(), "payload": pa.binary(), "record_id": pa.string(),
+    "file": pa.string(), "at": pa.int64(),
 }
 
 
 def read_archives(
     spark: SparkSession, folder: str, listed: list[tuple[str, int]], split_bytes: int = 4 << 20,
-    columns: tuple[str, ...] = tuple(_ARROW),
+    columns: tuple[str, ...] = tuple(_ARROW), report_damage: bool = False,
 ) -> DataFrame:
-    """Records of the listed files (name, bytes), read in splits of ``split_bytes``; only ``columns`` leave the task."""
+    """Records of the listed files (name, bytes), read in splits of ``split_bytes``; only ``columns`` leave the task.
+
+    Damage raises an error that names the file and the place. With ``report_damage`` it is a row of record_type
+    ``damaged`` instead, with its file and place; so is a record that can be decoded and not parsed.
+    """
     store = Store(folder)
     kinds = [part.split() for part in READ_SCHEMA.split(", ")]
     schema = ", ".join(f"{name} {kind}" for name, kind in kinds if name in columns)
@@ -236,16 +321,36 @@ def read_archives(
             for split in batch.to_pylist():
                 with files.open_input_file(f"{base}/{split['file']}") as source:
                     rows, held = [], 0
-                    for record in members(source, split["start"], split["stop"], split["bytes"]):
-                        row = parse(record)
-                        rows.append({name: row[name] for name in arrow.names})
-                        held += len(record)
+                    for row, size in found(source, split):
+                        rows.append({name: row.get(name) for name in arrow.names})
+                        held += size
                         if held > 16 << 20:
                             yield pa.RecordBatch.from_pylist(rows, arrow)
                             rows, held = [], 0
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, arrow)
 
+    def found(source: pa.NativeFile, split: dict) -> Iterator[tuple[dict, int]]:
+        """Rows of a split, and the bytes of each record."""
+        size = source.size()
+        if split["start"] == 0 and size != split["bytes"]:
+            yield damaged(split["file"], min(size, split["bytes"]), f"{size} bytes, not {split['bytes']}")
+        for member in members(source, split["start"], min(split["stop"], size), size):
+            if isinstance(member, Damage):
+                yield damaged(split["file"], member.at, "no whole record")
+                continue
+            try:
+                row = parse(member.data)
+            except ValueError as e:
+                yield damaged(split["file"], member.at, str(e))
+            else:
+                yield row | {"file": split["file"], "at": member.at}, len(member.data)
+
+    def damaged(file: str, at: int, what: str) -> tuple[dict, int]:
+        if not report_damage:
+            raise ValueError(f"{file}, byte {at}: {what}")
+        return {"record_type": "damaged", "file": file, "at": at}, 0
+
     sizes = spark.createDataFrame(listed, "file string, bytes long")
     splits = sizes.select("file", "bytes", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long")
