@@ -2,16 +2,19 @@
 
 Unigrams and bigrams are counted over all training documents. A count c is quantised to a level 1 + floor(log2 c), and
 an n-gram is put into the filter once per level up to its own. Reading an n-gram probes level after level until one is
-missing; the level reached stands for the middle of its range. Bigrams seen once are left out as usual, whatever the
-corpus; all others are in the filter at every level.
+missing; the level reached stands for the middle of its range. All unigrams and bigrams are in the filter, those seen
+once too, at every level.
 
 The filters are in segments, one per bucket of n-grams. A segment has the bits that its exact number of insertions needs
 for a false reading of a level with probability ``FALSE``. Bigrams are read where their segment is: documents send them
 there, with the levels of both words, and get partial sums back. The unigram segments are broadcast; if they have more
 than ``filter_bits``, in pieces of about that size, and texts are read once per pair of pieces.
 
-P(w | u) = (1 - mass) p(w) + mass min(1, c(u w) / c(u)), with p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)) and every count
-read from the filter; N and V are exact. The first word of a text has p(w).
+P(w | u) = (1 - mass) p(w) + mass min(1, c(u w) / c(u)), with p(w) = (c(w) + 0.5) / (R + 0.5 (V + 1)) and every count
+read from the filter; V is exact, and R is the sum of what the filter should read over all V words, so that p sums to 1
+over them and one unseen word. The first word of a text has p(w). Reading the middle of a level is at most 3/2 of a count
+and at least 3/4 of it, so the second term sums to at most twice ``mass`` over the words after u: what P sums to is
+between 1 - mass and 1 + mass (after a word not seen in training, 1 - mass), but for false readings, of which a filter has ``FALSE`` a level.
 
 The base score needs exact counts of every word of every document. It is summed where the counts are: documents send
 their distinct words to the words' buckets, which send partial sums to the documents' buckets. Words of the training
@@ -81,15 +84,14 @@ def _positions(keys: np.ndarray, level: int, probe: int, bits: int | np.ndarray)
 
 def bits_for(counts: np.ndarray) -> int:
     """Bits of a segment in which a level that is not there reads as there with probability ``FALSE``."""
-    insertions = int(np.frexp(counts.astype(float))[1].sum())
+    insertions = int(level_of(counts).sum())
     return max(64, -int(insertions * PROBES / np.log1p(-FALSE ** (1 / PROBES)) // 8) * 8)
 
 
-def segment(keys: np.ndarray, counts: np.ndarray, bits: int, least: int) -> np.ndarray:
-    """A bucket's part of the filter: n-grams counted ``least`` times or more, at every level up to their own."""
+def segment(keys: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
+    """A bucket's part of the filter: n-grams at every level up to their own."""
     out = np.zeros(bits, bool)
-    chosen = counts >= least
-    keys, levels = keys[chosen], np.frexp(counts[chosen].astype(float))[1]
+    levels = level_of(counts)
     for level in range(1, int(levels.max(initial=0)) + 1):
         keys, levels = keys[levels >= level], levels[levels >= level]
         for probe in range(PROBES):
@@ -112,7 +114,7 @@ class Counts:
         own = bucket_of(keys, self.buckets).astype(np.int64) - self.first
         start = (np.cumsum(bits) - bits)[own] // 8
         bits = bits[own].astype(np.uint64)
-        level_of = np.zeros(len(keys), np.int64)
+        out = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
         for level in range(1, LEVELS):
             for probe in range(PROBES):
@@ -121,16 +123,21 @@ class Counts:
                 alive = alive[hit.astype(bool)]
             if not len(alive):
                 break
-            level_of[alive] = level
-        return level_of
+            out[alive] = level
+        return out
 
     def read(self, keys: np.ndarray) -> np.ndarray:
         """Counts of n-grams, 0 for those that are not in the filter."""
         return middle(self.levels(keys))
 
 
-def middle(level: np.ndarray) -> np.ndarray:
+def level_of(counts: np.ndarray) -> np.ndarray:
     """Level k holds the counts from 2 ** (k - 1) to 2 ** k - 1."""
+    return np.frexp(counts.astype(float))[1].astype(np.int64)
+
+
+def middle(level: np.ndarray) -> np.ndarray:
+    """What a level is read as, the middle of its counts."""
     return np.where(level > 0, 0.75 * 2.0 ** level - 0.5, 0.0)
 
 
@@ -147,6 +154,7 @@ _TRAINS, _FIRST = 1, 2  # what it is: of the training part; a text's first word
 _SUM = ("<u8", "<f8", "<f8", "<u4", "<u4", "<u4")  # a row, its sums, its tokens, its known tokens, and its ends
 _PARTS = pa.schema([
     ("kind", pa.int32()), ("bucket", pa.int32()), ("records", pa.binary()), ("v", pa.int64()), ("n", pa.int64()),
+    ("reads", pa.float64()),
 ])
 
 
@@ -178,7 +186,8 @@ def _sums(docs: DataFrame, n: int) -> DataFrame:
             rows = by_bucket.pop(bucket)
             vocabulary, count = _trained(rows)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((
-                [1], [bucket], [segment(vocabulary, count, bits_for(count), 1).tobytes()], [len(vocabulary)], [int(count.sum())],
+                [1], [bucket], [segment(vocabulary, count, bits_for(count)).tobytes()], [len(vocabulary)], [int(count.sum())],
+                [float(middle(level_of(count)).sum())],
             ), _PARTS)], schema=_PARTS)
             for records in rows:
                 for sent in out.add(*_row_sums(records, vocabulary, count, n)):
@@ -187,13 +196,14 @@ def _sums(docs: DataFrame, n: int) -> DataFrame:
             yield _as_part(sent)
 
     sent = packed.deal(docs.select("rid", "held_out", "text").mapInArrow(send, packed.SCHEMA), n)
-    return sent.mapInArrow(receive, "kind int, bucket int, records binary, v long, n long")
+    return sent.mapInArrow(receive, "kind int, bucket int, records binary, v long, n long, reads double")
 
 
 def _as_part(sent: pa.RecordBatch) -> pa.RecordBatch:
     size = sent.num_rows
     return pa.RecordBatch.from_arrays([
         pa.array(np.zeros(size, np.int32)), *sent.columns, pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()),
+        pa.nulls(size, pa.float64()),
     ], schema=_PARTS)
 
 
@@ -249,7 +259,7 @@ def _added(sums: DataFrame, n: int) -> DataFrame:
     return sent.mapInArrow(add, "rid long, base double, score double, n_tokens long, n_known long")
 
 
-def _scores(docs: DataFrame, n: int, pieces: list[Counts], total: int, vocabulary: int, mass: float) -> DataFrame:
+def _scores(docs: DataFrame, n: int, pieces: list[Counts], reads: float, vocabulary: int, mass: float) -> DataFrame:
     """Sums of log10 P of rows, packed for the rows' buckets. ``pieces`` are the unigram filter; bigrams are counted,
     put into their segment and read there."""
     context = docs.sparkSession.sparkContext
@@ -302,8 +312,9 @@ def _scores(docs: DataFrame, n: int, pieces: list[Counts], total: int, vocabular
                 first = kind & _FIRST > 0
                 distinct, place = np.unique(key, return_inverse=True)
                 both = counted.read(distinct.astype(np.uint64))[place]
-                p = (middle(level.astype(np.int64)) + 0.5) / (total + 0.5 * (vocabulary + 1))
-                seen = np.minimum(1.0, both / np.maximum(middle(left.astype(np.int64)), 1.0))
+                p = (middle(level.astype(np.int64)) + 0.5) / (reads + 0.5 * (vocabulary + 1))
+                # A word that reads as unseen has no words after it, whatever the filter says of the pair.
+                seen = np.minimum(1.0, (left > 0) * both / np.maximum(middle(left.astype(np.int64)), 1.0))
                 logs = np.log10(np.minimum(np.where(first, p, (1 - mass) * p + mass * seen), 1.0))
                 start = np.flatnonzero(np.concatenate([[True], rid[1:] != rid[:-1]]))
                 none = np.zeros(len(start), np.uint32)
@@ -319,7 +330,7 @@ def _scores(docs: DataFrame, n: int, pieces: list[Counts], total: int, vocabular
 
 
 def _pair_filter(rows: list[pa.Scalar]) -> Counts:
-    """A bucket's segment: training bigrams seen twice or more, at all their levels."""
+    """A bucket's segment: training bigrams at all their levels."""
     keys, counts = [], []
     for records in rows:
         key, _, _, _, kind = packed.columns_of(records, *_PAIRS)
@@ -327,9 +338,8 @@ def _pair_filter(rows: list[pa.Scalar]) -> Counts:
         keys.append(once.astype(np.uint64))
         counts.append(times)
     found, count = _merge(keys, counts)
-    found, count = found[count > 1], count[count > 1]
     bits = bits_for(count)
-    return Counts(segment(found, count, bits, 2), 1, bits)
+    return Counts(segment(found, count, bits), 1, bits)
 
 
 def _pieces(singles: DataFrame, n: int, most: int) -> list[Counts]:
@@ -365,10 +375,10 @@ def score_documents(docs: DataFrame, *, filter_bits: int = 1 << 30, mass: float
     n = packed.buckets(docs.sparkSession)
     rows = with_row_ids(docs)
     sums = kept(_sums(rows, n), "sums")
-    totals = sums.filter("kind = 1").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
-    total, vocabulary = totals.n or 0, totals.v or 0
+    totals = sums.filter("kind = 1").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("reads").alias("reads")).first()
+    total, vocabulary, reads = totals.n or 0, totals.v or 0, totals.reads or 0.0
     pieces = _pieces(sums.filter("kind = 1").select("bucket", "records"), n, filter_bits)
-    scores = _scores(rows, n, pieces, total, vocabulary, mass)
+    scores = _scores(rows, n, pieces, reads, vocabulary, mass)
     both = sums.filter("kind = 0").select("bucket", "records").union(scores)
     spread = F.log10(F.lit(total + 0.5 * (vocabulary + 1)))
     return rows.select("doc_id", "held_out", "rid").join(_added(both, n), "rid").select(

@@ -33,7 +33,7 @@ def test_filter_never_reads_less_and_seldom_more():
     keys = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
     counts = rng.geometric(0.05, len(keys))
     n, bits = 4, 1 << 17
-    data = np.concatenate([b.segment(keys[b.bucket_of(keys, n) == k], counts[b.bucket_of(keys, n) == k], bits, 1) for k in range(n)])
+    data = np.concatenate([b.segment(keys[b.bucket_of(keys, n) == k], counts[b.bucket_of(keys, n) == k], bits) for k in range(n)])
     read = b.Counts(data, n, bits).read(keys)
     low, level = 2 ** (np.frexp(counts.astype(float))[1] - 1), np.frexp(counts.astype(float))[1]
     assert (read >= low).all()
@@ -42,15 +42,39 @@ def test_filter_never_reads_less_and_seldom_more():
     assert (b.Counts(data, n, bits).read(other) > 0).mean() < 0.1
 
 
+def middle(c):
+    """The middle of the range between powers of two that a count lies in."""
+    return 0.75 * 2 ** c.bit_length() - 0.5 if c else 0
+
+
+def model(token_lists, held):
+    """Probability of a word after another (None: at the beginning), by the definition, from exact levels."""
+    train = [ws for ws, h in zip(token_lists, held) if not h]
+    single = collections.Counter(w for ws in train for w in ws)
+    pairs = collections.Counter(p for ws in train for p in zip(ws, ws[1:]))
+    reads = sum(map(middle, single.values()))
+
+    def p(u, w, mass=0.25):
+        one = (middle(single[w]) + 0.5) / (reads + 0.5 * (len(single) + 1))
+        return one if u is None else (1 - mass) * one + mass * min(1, middle(pairs[u, w]) / max(1, middle(single[u])))
+
+    return p, single
+
+
+def log10(p, ws):
+    return sum(math.log10(p(u, w)) for u, w in zip([None, *ws], ws))
+
+
 def test_score_is_interpolated_from_quantised_counts(spark):
     one, two, three = [i for i in range(99) if zlib.crc32(str(i).encode()) % 5 != 1][:3]
     docs = spark.createDataFrame([(one, "a b a b a b"), (two, "a c"), (three, "a b")], "doc_id long, text string")
     got = {r.doc_id: r.score for r in b.score_documents(docs, mass=0.25).collect()}
+    # Counts by hand: a 5, b 4, c 1, end 3; a b 4, b a 2, b end 2, a c 1, c end 1.
     quantised = {0: 0, 1: 1, 2: 2.5, 3: 2.5, 4: 5.5, 5: 5.5}
-    n, v = 13, 4
     single = {"a": 5, "b": 4, "c": 1, "end": 3}
-    p = {w: (quantised[c] + 0.5) / (n + 0.5 * (v + 1)) for w, c in single.items()}
-    pairs = {("a", "b"): 4, ("b", "a"): 2, ("b", "end"): 2}
+    spread = sum(quantised[c] for c in single.values()) + 0.5 * (4 + 1)
+    p = {w: (quantised[c] + 0.5) / spread for w, c in single.items()}
+    pairs = {("a", "b"): 4, ("b", "a"): 2, ("b", "end"): 2, ("a", "c"): 1, ("c", "end"): 1}
 
     def log(words):
         out = math.log10(p[words[0]])
@@ -62,10 +86,31 @@ def test_score_is_interpolated_from_quantised_counts(spark):
     assert math.isclose(got[two], log(["a", "c", "end"]), rel_tol=1e-9)
 
 
-def test_rarest_levels_are_left_out_of_a_small_filter(spark):
-    docs = corpus.documents(spark)
-    few = b.score_documents(docs, filter_bits=1 << 12).collect()
-    assert len(few) == docs.count() and all(math.isfinite(r.score) for r in few)
+def test_scores_are_those_of_plain_counts_but_for_false_readings(spark):
+    docs = corpus.documents(spark, seed=3, n=200, repeat=False)
+    rows = [(r.doc_id, ["".join(w) for w in corpus.words(r.text)] + ["\0end"]) for r in docs.collect()]
+    p, _ = model([ws for _, ws in rows], [zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows])
+    got = {r.doc_id: (r.score, r.n_tokens) for r in b.score_documents(docs).collect()}
+    off = {i: (got[i][0] - log10(p, ws)) / got[i][1] for i, ws in rows}
+    # A reading is too high with probability FALSE and never too low, but as the context of a bigram.
+    tokens = sum(len(ws) for _, ws in rows)
+    assert abs(sum(off[i] * len(ws) for i, ws in rows)) / tokens < 0.01
+    assert sum(abs(v) < 1e-9 for v in off.values()) >= 10
+    assert sum(abs(off[i]) < 0.05 for i, ws in rows if len(ws) > 50) >= 0.95 * sum(len(ws) > 50 for _, ws in rows)
+
+
+def test_probabilities_sum_to_about_one(spark):
+    docs = corpus.documents(spark, seed=4, n=100, repeat=False)
+    p, single = model([["".join(w) for w in corpus.words(r.text)] + ["\0end"] for r in docs.collect()], [False] * docs.count())
+    assert math.isclose(sum(p(None, w) for w in single) + p(None, "never seen"), 1)
+    sums = [sum(p(u, w) for w in single) + p(u, "never seen") for u in single if u != "\0end"]
+    assert 0.75 <= min(sums) and max(sums) <= 1.25 and abs(sum(sums) / len(sums) - 1) < 0.05
+
+
+def test_held_out_texts_gain_from_pairs_of_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sums = b.score_documents(docs).filter("held_out").selectExpr("sum(score) / sum(n_tokens)", "sum(base_score) / sum(n_tokens)").first()
+    assert sums[0] > sums[1] + 0.1
 
 
 def test_empty_and_held_out_only(spark):
@@ -89,7 +134,7 @@ def test_reads_stay_near_the_counts_whatever_the_load(spark):
         keys = rng.integers(0, 1 << 63, size, dtype=np.uint64)
         counts = rng.geometric(0.3, size)
         bits = b.bits_for(counts)
-        filled = b.Counts(b.segment(keys, counts, bits, 1), 1, bits)
+        filled = b.Counts(b.segment(keys, counts, bits), 1, bits)
         level = np.frexp(counts.astype(float))[1]
         assert (filled.levels(keys) >= level).all() and (filled.levels(keys) > level).mean() <= 0.01
         assert (filled.levels(rng.integers(0, 1 << 63, size, dtype=np.uint64)) > 0).mean() <= 0.01
