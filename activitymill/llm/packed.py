@@ -23,8 +23,8 @@ def buckets(spark: SparkSession) -> int:
 
 
 def deal(df: DataFrame, n: int) -> DataFrame:
-    """Bring each bucket's rows together."""
-    return df.repartition(n, "bucket")
+    """Bring each bucket's rows together, one bucket to a partition: by a hash, some would hold several and some none."""
+    return df.repartitionById(n, "bucket")
 
 
 def to_bucket(keys: np.ndarray, n: int) -> np.ndarray:
