@@ -163,7 +163,7 @@ def _sums(docs: DataFrame, n: int) -> DataFrame:
     training counts c, the tokens and the known ones (kind 0); and a row with the bucket's segment of the filter (kind 1)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = packed.Sender(n, sort=2)
+        out = packed.Sender(n, sort=2, squeeze=True)
         for batch in batches:
             rids = batch.column("rid").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             trains = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
@@ -181,7 +181,7 @@ def _sums(docs: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             for bucket, records in zip(batch.column("bucket").to_pylist(), batch.column("records")):
                 by_bucket.setdefault(bucket, []).append(records)
-        out = packed.Sender(n, sort=0)
+        out = packed.Sender(n, sort=0, squeeze=True)
         for bucket in sorted(by_bucket):
             rows = by_bucket.pop(bucket)
             vocabulary, count = _trained(rows)
@@ -271,7 +271,7 @@ def _scores(docs: DataFrame, n: int, pieces: list[Counts], reads: float, vocabul
         one, other = shared[i], shared[j]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = packed.Sender(n, sort=1)
+            out = packed.Sender(n, sort=1, squeeze=True)
             for batch in batches:
                 rids = batch.column("rid").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
                 trains = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
@@ -303,7 +303,7 @@ def _scores(docs: DataFrame, n: int, pieces: list[Counts], reads: float, vocabul
         for batch in batches:
             for bucket, records in zip(batch.column("bucket").to_pylist(), batch.column("records")):
                 by_bucket.setdefault(bucket, []).append(records)
-        out = packed.Sender(n, sort=0)
+        out = packed.Sender(n, sort=0, squeeze=True)
         for bucket in sorted(by_bucket):
             rows = by_bucket.pop(bucket)
             counted = _pair_filter(rows)
