@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activitymill.contract import MARTS, PUSH, TABLES
-from activitymill.functions.time import utc_wall_clock
-from activitymill.operators import checks, dims, facts, marts, profiles, skew
+from activitymill.functions.time import day_key, utc_wall_clock
+from activitymill.operators import checks, dims, facts, marts, profiles, repeats, skew
 from activitymill.plans import daily
 from activitymill.plans.shared import shared_folder
 from activitymill.sources import connector, landing, sample, tables
@@ -113,6 +113,7 @@ def _worse_tables(events: DataFrame) -> dict[str, DataFrame]:
 # --- files and published tables -----------------------------------------------------------------------------
 
 _made: dict[tuple[str, str, str], str] = {}
+_ledgers: dict[str, list] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[str], object]) -> str:
@@ -191,6 +192,32 @@ def _landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(hours.select("day", "hour", "status"))
 
 
+def _ledger_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours as a second run meets them: those from 20 o'clock on are late, those at 7 o'clock have come again."""
+    raw, hour = sample.raw_events(spark, sf_dir), F.substring("created_at", 12, 2).cast("int")
+    found: dict[str, list] = {}
+
+    def hours_of(folder: str) -> list:
+        manifest = landing.landing_manifest(spark, folder, FIRST_DAY, LAST_DAY, min_bytes=1)
+        return manifest.filter("status = 'ok'").collect()  # 24 rows a day
+
+    def keep(to: str) -> None:
+        ledger = daily.hour_ledger(spark, f"{to}/ledger")
+        sample.land(raw.filter(hour < 20).withColumn("id", F.when(hour == 7, F.concat(F.lit("x"), "id")).otherwise(F.col("id"))),
+                    f"{to}/first")
+        ledger.update(hours_of(f"{to}/first"))
+        found[to] = ledger.update(hours_of(_landing(spark, sf_dir)))
+
+    root = _once(spark, sf_dir, "ledger", keep)
+    ledger = daily.hour_ledger(spark, f"{root}/ledger")
+    _ledgers.update(found)
+    after = _ledgers[root]
+    counts = ledger.rows(after).groupBy("landed_day", "landed_hour").agg(F.count("*").alias("kept_rows"))
+    status = spark.createDataFrame([(day_key(h.day), h.hour, h.status) for h in after],
+                                   "landed_day INT, landed_hour INT, status STRING")
+    return status.join(counts, ["landed_day", "landed_hour"], "left").fillna(0, ["kept_rows"])
+
+
 def _hours_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(landing.hours_to_fetch(spark, _landing(spark, sf_dir), FIRST_DAY, "2024-01-31", min_bytes=0))
 
@@ -288,6 +315,22 @@ def _heavy_keys(events: DataFrame) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+def _repeated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events ending in 77 landed a day later too, those ending in 177 twice; the second half of the month is new and
+    finds them by the stored filters of the first."""
+    landed = _events(spark, sf_dir).select("event_id", F.col("date_key").alias("landed_day"), F.to_date("created_ts").alias("d"))
+    late = landed.filter(F.col("event_id").endswith("77")).withColumn(
+        "landed_day", F.date_format(F.date_add("d", 1), "yyyyMMdd").cast("int"))
+    events = landed.unionByName(late).unionByName(late.filter(F.col("event_id").endswith("177"))).drop("d")
+    old = events.filter("landed_day < 20240116")
+
+    def write(to: str) -> None:
+        tables.write_table(repeats.key_filters(old, "event_id", ["landed_day"]), to, ["landed_day"])
+
+    filters = spark.read.parquet(_once(spark, sf_dir, "filters", write))
+    return repeats.repeated_keys(events.filter("landed_day >= 20240116"), old, filters, "event_id")
+
+
 # --- registry -------------------------------------------------------------------------------------------------
 
 
@@ -340,6 +383,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "heavy_keys": _on_events(_heavy_keys),
         "reconcile_content": _content,
         "reconcile_content_swapped": lambda spark, sf_dir: _content(spark, sf_dir, swapped=True),
+        "repeated_events": _repeated_events,
         "preview": _on_events(lambda e: profiles.preview(e)),
         "preview_check": _on_events(lambda e: profiles.preview_check(e, "event_id")),
         "contract_report": _on_events(lambda e: profiles.contract_report(e, TABLES["fact_events"])),
@@ -358,6 +402,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "line_health": _line_health,
         "landing_manifest": _landing_manifest,
         "hours_to_fetch": _hours_to_fetch,
+        "ledger_hours": _ledger_hours,
         "table_replaced": _table_replaced,
         "day_replaced": _day_replaced,
         "table_from_query": _table_from_query,
@@ -540,6 +585,12 @@ def oracle_sql() -> dict[str, str]:
             f"GROUP BY {key} HAVING count(*) >= 0.005 * (SELECT count(*) FROM gappy_fact)"
             for key in ("actor_id", "repo_id", "org_id")
         ),
+        "repeated_events":
+            "SELECT event_id AS unique_field, count(*) AS n_records FROM ("
+            "SELECT event_id, CAST(created_ts AS DATE) AS d FROM fact_events UNION ALL "
+            "SELECT event_id, CAST(created_ts AS DATE) + 1 FROM fact_events WHERE event_id LIKE '%77' UNION ALL "
+            "SELECT event_id, CAST(created_ts AS DATE) + 1 FROM fact_events WHERE event_id LIKE '%177') "
+            "GROUP BY event_id HAVING count(*) > 1 AND max(d) >= DATE '2024-01-16'",
         "ndjson_scan":
             "SELECT CASE WHEN ok THEN event_id END AS id, CASE WHEN ok THEN event_type END AS type, "
             "CASE WHEN ok THEN strftime(created_ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at, "
@@ -559,6 +610,11 @@ def oracle_sql() -> dict[str, str]:
             "concat(strftime(h, '%Y-%m-%d'), '-', hour(h), '.json.gz') AS file_name "
             "FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR) AS t(h) "
             "WHERE h NOT IN (SELECT date_trunc('hour', ts) FROM events)",
+        "ledger_hours":
+            "SELECT CAST(strftime(created_ts, '%Y%m%d') AS INTEGER) AS landed_day, "
+            "CAST(hour(created_ts) AS INTEGER) AS landed_hour, "
+            "CASE WHEN hour(created_ts) >= 20 THEN 'new' WHEN hour(created_ts) = 7 THEN 'changed' ELSE 'same' END AS status, "
+            "count(*) FILTER (event_type <> 'ForkEvent' OR event_id LIKE '%0') AS kept_rows FROM raw GROUP BY ALL",
         "table_replaced": tables_sql["fact_events"],
         "exported_orc": tables_sql["fact_events"],
         "preview_check":

@@ -41,9 +41,10 @@ from activitymill.contract import (
     BAD_LINE, ISSUES, MARTS, MIN_HOUR_BYTES, PULL_REQUEST, PUSH, TABLES, TARGET_TYPES, columns,
 )
 from activitymill.functions.time import day_key, parse_day
-from activitymill.operators import checks, dims, facts, marts, profiles
+from activitymill.operators import checks, dims, facts, marts, profiles, repeats
 from activitymill.plans.shared import shared_folder
 from activitymill.sources.landing import landing_manifest, scan_events
+from activitymill.sources.ledger import Ledger
 from activitymill.sources.state import State, listed, read_state, removed, write_state
 from activitymill.sources.tables import balanced, create_view, write_table
 from activitymill.sources.views import create_views, folder, nothing
@@ -73,6 +74,8 @@ BY_DAY = {
     },
     "seen_types": "event_type STRING, action STRING, date_key INT, landed_day INT, event_count BIGINT",
 }
+# Stored per landed day by the runs that ask for it.
+FILTERS = {"event_filters": f"landed_day INT, {repeats.FILTER}"}
 MERGED = {
     **{name: TABLES[name] for name in ("dim_actor", "dim_repo", "dim_org", "dim_time")},
     **{
@@ -100,6 +103,7 @@ class RunReport:
     first_day: str
     last_day: str
     hours: dict[str, int] = field(default_factory=dict)  # status to number of hours
+    parsed_hours: list[tuple[str, int]] = field(default_factory=list)  # day and hour
     bad_lines: int = 0
     checks: list[Row] = field(default_factory=list)
     counts: dict[str, tuple[int, int]] = field(default_factory=dict)  # what was parsed, and what was written
@@ -123,7 +127,7 @@ class Warehouse:
 
     def by_day(self, table: str, days: Mapping[str, str]) -> DataFrame:
         """A table that is stored per landed day, as of the runs that hold the days."""
-        schema = BY_DAY[table]
+        schema = (BY_DAY | FILTERS)[table]
         if not days:
             return self.spark.createDataFrame([], schema)
         read = self.spark.read.schema(f"{schema}, run STRING").option("basePath", self.path(table))
@@ -135,6 +139,11 @@ class Warehouse:
         ])
         return read.parquet(*[self.run_path(table, run) for run in runs]).filter(held).drop("run")
 
+    def days_with(self, table: str, days: Mapping[str, str]) -> dict[str, str]:
+        """Those of the days for which their run has stored the table."""
+        parts = {run: listed(self.spark, self.run_path(table, run)) for run in set(days.values())}
+        return {day: run for day, run in days.items() if f"landed_day={day}" in parts[run]}
+
     def merged(self, table: str, run: str | None) -> DataFrame:
         """A table over all days, as of a run."""
         if run is None:
@@ -262,20 +271,25 @@ def export(
     at_once(partial(put, name) for name in tables)
 
 
-def stage(spark: SparkSession, paths: list[str], to: str) -> DataFrame:
+def stage(spark: SparkSession, paths: list[str], to: str, by: tuple[str, ...] = ("landed_day",)) -> DataFrame:
     """Parse landed hours once; keep the wanted types, flat, and any line that does not fit the contract."""
     scanned = scan_events(spark, paths, with_source=True)
     kept = F.col("type").isin(*TARGET_TYPES) | F.col(BAD_LINE).isNotNull()
-    flat = facts.flatten(scanned.filter(kept), F.col("payload.commits").alias("commits"), BAD_LINE, "landed_day")
-    write_table(flat, to, ["landed_day"])
+    flat = facts.flatten(scanned.filter(kept), F.col("payload.commits").alias("commits"), BAD_LINE, *by)
+    write_table(flat, to, by)
     return spark.read.schema(STAGED).parquet(to)
 
 
+def hour_ledger(spark: SparkSession, root: str) -> Ledger:
+    """The ledger of hours below a folder, whose rows are those that ``stage`` makes."""
+    return Ledger(spark, root, STAGED, lambda paths, to: stage(spark, paths, to, ("landed_day", "landed_hour")))
+
+
 def landed(
     house: Warehouse, landing_dir: str, first_day: str, last_day: str, min_hour_bytes: int, allow_missing_hours: bool,
     allow_fewer_hours: bool, report: RunReport,
-) -> tuple[list[str], dict[str, int]]:
-    """Paths of the hours to load and how many each day has; raises if hours are missing that may not be."""
+) -> tuple[list[Row], dict[str, int]]:
+    """The hours to load and how many each day has; raises if hours are missing that may not be."""
     hours = landing_manifest(  # 24 rows a day
         house.spark, landing_dir, first_day, last_day, min_hour_bytes
     ).collect()
@@ -300,7 +314,7 @@ def landed(
         problems.append(f"fewer hours than are stored: {fewer}")
     if problems:
         raise LandingError(f"{first_day} to {last_day}: {report.hours}, {'; '.join(problems)}")
-    return [h.path for h in good], loaded
+    return good, loaded
 
 
 def reconciled(staged: DataFrame, house: Warehouse, days: Mapping[str, str]) -> dict[str, tuple[int, int]]:
@@ -326,6 +340,20 @@ def reconciled(staged: DataFrame, house: Warehouse, days: Mapping[str, str]) ->
     }
 
 
+def repeated_events(house: Warehouse, new: Mapping[str, str], others: Mapping[str, str]) -> DataFrame:
+    """Events of the new days that are stored more than once, on these or the other days, with how often."""
+    filtered = house.days_with("event_filters", others)
+    events, old = house.by_day("fact_events", new), house.by_day("fact_events", filtered)
+    known_ids = repeats.known_rows(events, old, house.by_day("event_filters", filtered), "event_id").select("event_id")
+    unfiltered = house.by_day("fact_events", {d: r for d, r in others.items() if d not in filtered})
+    found = events.select("event_id").unionByName(known_ids).unionByName(unfiltered.select("event_id"))
+    repeated = checks.duplicate_keys(found, "event_id")
+    if len(filtered) == len(others):
+        return repeated
+    # What is only repeated among the other days is no fault of these.
+    return repeated.join(events.select(F.col("event_id").alias("unique_field")), "unique_field", "left_semi")
+
+
 def run_days(
     spark: SparkSession,
     first_day: str,
@@ -339,28 +367,42 @@ def run_days(
     max_bad_share: float = 0.25,
     marts_as: str = "view",
     database: str | None = None,
+    unique_events: bool = False,
+    ledger: str | None = None,
+    verify_hours: bool = False,
 ) -> RunReport:
     """Load the landed hours of the days, check them, and publish. Raises if a check fails.
 
     Of the kept events and bad lines of a day, at most ``max_bad_share`` may be bad lines; these are published in the
     table ``bad_lines``. With ``marts_as="view"`` the marts are registered in the session and worked out when read;
     with ``"table"`` they are stored too. With a ``database``, all published tables and marts become views of it that
-    outlast the session.
+    outlast the session. ``unique_events`` adds the check that no event of these days is stored twice, on these days
+    or on others, by whose filters it looks (``operators.repeats``); events of stored days without one are read.
+
+    With ``ledger``, a folder, parsed hours are kept there (``sources.ledger``), and only hours that are new or changed
+    since are parsed; ``verify_hours`` compares all hours by content, also those of the size and time they had.
     """
     first, last = parse_day(first_day), parse_day(last_day or first_day)
     house, work = Warehouse(spark, warehouse), shared_folder(spark)
     report = RunReport(first.isoformat(), last.isoformat())
-    paths, hours = landed(
+    good, hours = landed(
         house, landing_dir, report.first_day, report.last_day, min_hour_bytes, allow_missing_hours, allow_fewer_hours,
         report,
     )
     before, run = house.state(), uuid.uuid4().hex
     try:
-        staged = stage(spark, paths, f"{work}/staged")
-        after = _written(house, staged, before, run, hours, report, max_bad_share, marts_as)
+        if ledger:
+            kept = hour_ledger(spark, ledger)
+            taken = kept.update(good, verify=verify_hours)
+            report.parsed_hours = [(str(day_key(h.day)), h.hour) for h in taken if h.status != "same"]
+            staged = kept.rows(taken).drop("landed_hour")
+        else:
+            report.parsed_hours = [(str(day_key(h.day)), h.hour) for h in good]
+            staged = stage(spark, [h.path for h in good], f"{work}/staged")
+        after = _written(house, staged, before, run, hours, report, max_bad_share, marts_as, unique_events)
         write_state(spark, house.root.rstrip("/"), after)
     except BaseException:
-        for name in (*BY_DAY, *MERGED, *MARTS):
+        for name in (*BY_DAY, *FILTERS, *MERGED, *MARTS):
             removed(spark, house.run_path(name, run))
         raise
     finally:
@@ -376,7 +418,7 @@ def run_days(
 
 def _written(
     house: Warehouse, staged: DataFrame, before: State, run: str, hours: Mapping[str, int], report: RunReport,
-    max_bad_share: float, marts_as: str,
+    max_bad_share: float, marts_as: str, unique_events: bool,
 ) -> State:
     """Write everything that the run adds, check it, and return the state that would publish it."""
     bad = staged.filter(F.col(BAD_LINE).isNotNull())
@@ -425,6 +467,9 @@ def _written(
         "bad_lines": sum(r.bad for r in per_day if r.bad > max_bad_share * r.lines),
         **{f"reconcile_{name}": abs(a - b) for name, (a, b) in report.counts.items()},
     }
+    if unique_events:
+        put("event_filters", repeats.key_filters(house.by_day("fact_events", new), "event_id", day), day)
+        extra["unique_fact_events_event_id"] = repeated_events(house, new, others).count()
     failed = [r for r in report.checks if r.should_error]
     failed += [Row(check_name=name, failures=n) for name, n in extra.items() if n]
     if failed:
@@ -441,13 +486,13 @@ def _swept(house: Warehouse, before: State, after: State) -> None:
     held = {(run, day) for state in (before, after) for day, run in state.days.items()}
     merged = {before.merged, after.merged}
     stored = {before.marts, after.marts}
-    for name in (*BY_DAY, *MERGED, *MARTS):
+    for name in (*BY_DAY, *FILTERS, *MERGED, *MARTS):
         for folder in listed(spark, house.path(name)):
             run = folder.removeprefix("run=")
-            wanted = run in (runs if name in BY_DAY else merged if name in MERGED else stored)
+            wanted = run in (runs if name in BY_DAY | FILTERS else merged if name in MERGED else stored)
             if not wanted:
                 removed(spark, f"{house.path(name)}/{folder}")
-            elif name in BY_DAY:
+            elif name in BY_DAY | FILTERS:
                 for part in listed(spark, f"{house.path(name)}/{folder}"):
                     if part.startswith("landed_day=") and (run, part.removeprefix("landed_day=")) not in held:
                         removed(spark, f"{house.path(name)}/{folder}/{part}")

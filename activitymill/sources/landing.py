@@ -32,15 +32,30 @@ def landed_day(path: Column) -> Column:
     return date_key(_day_in(path))
 
 
+def landed_hour(path: Column) -> Column:
+    """Hour in the name of an hour; null for a file of another name."""
+    return F.regexp_extract(path, _IN_PATH, 2).try_cast("int")
+
+
+def hour_path() -> Column:
+    """Plain path of the hour that a file being read belongs to."""
+    return _plain(F.regexp_extract(F.col("_metadata.file_path"), _TO_HOUR, 1))
+
+
 def _day_in(path: Column) -> Column:
     return F.regexp_extract(path, _IN_PATH, 1).try_cast("date")
 
 
+def _plain(uri: Column) -> Column:
+    """The hidden column holds the path as a URI."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def scan_events(spark: SparkSession, paths: str | Sequence[str], with_source: bool = False) -> DataFrame:
     """Raw records under the contract: undeclared fields are dropped, a line that does not parse is all null.
 
-    ``with_source`` adds ``bad_line``, the text of any line that does not fit, and ``landed_day``, the day in the
-    file name.
+    ``with_source`` adds ``bad_line``, the text of any line that does not fit, and ``landed_day`` and ``landed_hour``,
+    the day and the hour in the file name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not with_source:
@@ -54,13 +69,14 @@ def scan_events(spark: SparkSession, paths: str | Sequence[str], with_source: bo
     # whatever else is asked; the text is made for bad lines only, and is never empty.
     record = [c for c in read.columns if c != BAD_LINE]
     bad_line = F.when(F.col(BAD_LINE).isNotNull() & (F.to_json(F.struct(*record)) != ""), F.col(BAD_LINE))
+    path = F.col("_metadata.file_path")
     return read.select(
-        *record, bad_line.alias(BAD_LINE), landed_day(F.col("_metadata.file_path")).alias("landed_day")
+        *record, bad_line.alias(BAD_LINE), landed_day(path).alias("landed_day"), landed_hour(path).alias("landed_hour")
     )
 
 
 def hour_files(spark: SparkSession, landing_dir: str, first_day: str, last_day: str | None = None) -> DataFrame:
-    """Files of the days' hours: day, hour, path and size. Only names and sizes are read, never content."""
+    """Files of the days' hours: day, hour, path, size and time. Only names and sizes are read, never content."""
     first, last = parse_day(first_day), parse_day(last_day or first_day)
     path = F.col("_metadata.file_path")
     # The months of these days, or the one day, so that a run does not list the files of years.
@@ -75,7 +91,7 @@ def hour_files(spark: SparkSession, landing_dir: str, first_day: str, last_day:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "day DATE, hour INT, path STRING, size BIGINT")
+        return spark.createDataFrame([], "day DATE, hour INT, path STRING, size BIGINT, modified TIMESTAMP")
     # Filters on the hidden file columns drop other days' files before any task is made for them.
     day = _day_in(path)
     return listed.filter(path.rlike(_IN_PATH) & day.between(F.lit(first), F.lit(last))).select(
@@ -83,18 +99,18 @@ def hour_files(spark: SparkSession, landing_dir: str, first_day: str, last_day:
         F.regexp_extract(path, _IN_PATH, 2).cast("int").alias("hour"),
         F.regexp_extract(path, _TO_HOUR, 1).alias("path"),
         F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 
 def landed_hours(spark: SparkSession, landing_dir: str, first_day: str, last_day: str | None = None) -> DataFrame:
-    """Hours present in the folder: day, hour, path, bytes, and at how many paths the hour is (one, normally)."""
-    # The hidden column holds the path as a URI.
-    plain_path = F.url_decode(F.replace(F.max("path"), F.lit("+"), F.lit("%2B")))
+    """Hours present in the folder: day, hour, path, bytes, time of the last change, and at how many paths the hour
+    is (one, normally)."""
     return (
         hour_files(spark, landing_dir, first_day, last_day)
         .groupBy("day", "hour")
         .agg(
-            plain_path.alias("path"), F.sum("size").alias("bytes"),
+            _plain(F.max("path")).alias("path"), F.sum("size").alias("bytes"), F.max("modified").alias("modified"),
             F.when(F.min("path") == F.max("path"), 1).otherwise(2).alias("paths"),
         )
     )
@@ -126,7 +142,7 @@ def landing_manifest(
     return (
         expected_hours(spark, first_day, last_day)
         .join(landed_hours(spark, landing_dir, first_day, last_day), ["day", "hour"], "left")
-        .select("day", "hour", "path", "bytes", status.alias("status"))
+        .select("day", "hour", "path", "bytes", "modified", status.alias("status"))
     )
 
 

@@ -23,6 +23,9 @@ def main() -> None:
     parser.add_argument("--max-bad-share", type=float, default=0.25, help="share of bad lines at which to stop")
     parser.add_argument("--marts-as", choices=["view", "table"], default="view", help="store the marts too")
     parser.add_argument("--database", help="register all tables and marts as lasting views of this database")
+    parser.add_argument("--ledger", metavar="FOLDER", help="keep parsed hours there, and parse only new or changed ones")
+    parser.add_argument("--verify-hours", action="store_true", help="compare all hours with the ledger by content")
+    parser.add_argument("--unique-events", action="store_true", help="stop if an event is stored twice, on any days")
     parser.add_argument("--export", metavar="FORMAT", help="also write all tables through this connector")
     parser.add_argument("--export-to", metavar="FOLDER", help="folder for the export, a path per table")
     args = parser.parse_args()
@@ -36,11 +39,11 @@ def main() -> None:
         spark, args.first_day, args.last_day,
         landing_dir=args.landing, warehouse=args.warehouse, allow_missing_hours=args.allow_missing_hours,
         allow_fewer_hours=args.allow_fewer_hours, max_bad_share=args.max_bad_share, marts_as=args.marts_as,
-        database=args.database,
+        database=args.database, ledger=args.ledger, verify_hours=args.verify_hours, unique_events=args.unique_events,
     )
     if args.export:
         export(Warehouse(spark, args.warehouse), args.export, lambda name: {"path": f"{args.export_to}/{name}"})
-    print(f"{run.first_day} to {run.last_day}: hours {run.hours}, bad lines {run.bad_lines}")
+    print(f"{run.first_day} to {run.last_day}: hours {run.hours}, parsed {len(run.parsed_hours)}, bad lines {run.bad_lines}")
     for check in run.checks:
         print(f"{check.check_name}: {check.failures}")
 
