@@ -8,9 +8,8 @@ A hit is judged by document, benchmark item and stretch of the document: offsets
 one stretch count together, so that added or dropped words do no harm. Their windows have to cover at least ``cover`` of
 the item's, and the slots have to be consistent over all of them, which is that each value of the item always stands for
 the same value in the document; offsets that contradict others, or the order of words, do not count with them. Items of fewer than ``size``
-tokens are one window of their own length. Where placeholders leave fewer than ``least`` tokens of ``least`` words or
-more, the item is searched for by its exact words, all of them; items of fewer words say too little and are not searched
-for. An item's first word is a name or not by what stands before it in the document, so items have a second template in
+tokens are one window of their own length. Where there are fewer than ``least`` tokens, the item is searched for by its
+exact words, all of them, however few: a template of so few tokens says too little. An item's first word is a name or not by what stands before it in the document, so items have a second template in
 which it does not begin a sentence.
 
 Documents are read once. A bitmap of fixed size with the windows of all items is broadcast to leave out windows that no
@@ -203,12 +202,14 @@ def item_windows(benchmark: DataFrame, size: int, least: int, cover: float) -> D
                 plain, amid = template(piece), template(piece, amid=True)
                 exact = by_words(plain)
                 of_words, of_plain, of_amid = (np.diff(t.offsets) for t in (exact, plain, amid))
-                cut = (np.minimum(of_plain, of_amid) < least) & (of_words >= least)
+                cut = np.minimum(of_plain, of_amid) < least
                 other = np.array([
                     not np.array_equal(plain.tokens[i:j], amid.tokens[k:m]) for i, j, k, m in
                     zip(plain.offsets, plain.offsets[1:], amid.offsets, amid.offsets[1:])
                 ], bool)
-                ways = [(_WORDS, exact, least, np.where(cut, of_words, 0), 1.0)]
+                ways = [(_WORDS, exact, least, np.where(cut & (of_words >= least), of_words, 0), 1.0)]
+                for n in range(1, least):
+                    ways.append((_WORDS, exact, n, np.where(of_words == n, of_words, 0), 1.0))
                 for n in range(least, size + 1):
                     for variant, t, counts in ((_PLAIN, plain, of_plain), (_AMID, amid, np.where(other, of_amid, 0))):
                         own = np.where((counts == n) if n < size else (counts >= size), counts, 0)
@@ -337,7 +338,7 @@ def hits(
     """Documents that hold an item: doc_id, item_id, matched and all windows of the item, their share, and the number
     of different slot values. ``rid`` names the document's row."""
     items = item_windows(benchmark, size, least, cover)
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most size - least + 2 rows
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most size + 1 rows
     rows = docs.select("doc_id", "text", _row_id().alias("rid"))
     found = _document_windows(rows, _bitmap(items), sizes).dropDuplicates(["rid", "at", "window"])
     met = found.join(items, "window")

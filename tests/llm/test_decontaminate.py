@@ -1,3 +1,5 @@
+import random
+
 import pyarrow as pa
 
 from activitymill.llm import decontaminate as d
@@ -51,7 +53,61 @@ def test_half_an_item_is_enough_and_less_is_not(spark):
 def test_short_items(spark):
     items = ["one two three four five", "tiny thing here now", None, "", "one two three four five six seven"]
     assert found(spark, ["a one two three four five b", "tiny thing here now", "one two three four five six seven"], items) == [
-        (0, 0), (2, 0), (2, 4)]
+        (0, 0), (1, 1), (2, 0), (2, 4)]
+    tiny = ["Two words", "12 km", "...", "Ann Lee Gray"]
+    assert found(spark, ["x two words y", "two x words", "at 12 KM", "at 13 km", "two", "met Ann Lee Gray.", "Ann Lee Brown"], tiny) == [
+        (0, 0), (2, 1), (5, 3)]
+
+
+def test_hits_equal_comparing_every_item_with_every_place(spark):
+    """Lower-case words, numbers and names that each are one token, and one stretch of an item in each document."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("bdfhklnprt", k=6)) for _ in range(400)]
+
+    def token():
+        kind = rng.choice("wwwwnp")
+        return words[rng.randrange(400)] if kind == "w" else str(rng.randrange(1, 9)) if kind == "n" else rng.choice(NAMES)
+
+    def spaced(tokens):  # names that follow each other are one, so a word stands between
+        out = [words[0]]
+        for t in tokens:
+            out += [words[1]] if t in NAMES and out[-1] in NAMES else []
+            out.append(t)
+        return out
+
+    NAMES = ["Bodo", "Carla", "Dirk", "Edda"]
+    items = [spaced([token() for _ in range(k % 24)]) for k in range(60)]
+    docs = []
+    for k in range(240):
+        item = items[k % 60]
+        low = rng.choice([0, 0, rng.randrange(len(item))])
+        held = item[low:rng.choice([len(item), len(item), rng.randrange(low, len(item)) + 1])]
+        to = dict(zip(map(str, range(1, 9)), rng.sample([str(n) for n in range(1, 30)], 8))) | dict(zip(NAMES, rng.sample(NAMES, 4)))
+        change = k // 60  # as it is, other values throughout, other values now and then, as it is
+        held = [to.get(t, t) if change == 1 or change == 2 and rng.random() < 0.5 else t for t in held]
+        docs.append(spaced([token() for _ in range(rng.randrange(20))] + [words[2]] + held + [words[3]] + [token() for _ in range(20)]))
+
+    def kind(t):
+        return "n" if t.isdigit() else "p" if t in NAMES else t
+
+    def held_at(doc, item, shift, n):
+        """Windows of the item at an offset, if its values stand for the same values in all of them."""
+        places = [p for p in range(len(item) - n + 1) if 0 <= p + shift <= len(doc) - n
+                  and all(kind(item[p + i]) == kind(doc[p + shift + i]) for i in range(n))]
+        stands = {(item[i], doc[i + shift]) for p in places for i in range(p, p + n) if kind(item[i]) in "np"}
+        return len(places) if len({a for a, _ in stands}) == len(stands) else 0
+
+    def holds(doc, item):
+        if len(item) < 5:
+            return any(doc[i:i + len(item)] == item for i in range(len(doc)))
+        n = min(8, len(item))
+        needed = 0.5 * (len(item) - n + 1)
+        return any(held_at(doc, item, shift, n) >= needed for shift in range(-len(item), len(doc)))
+
+    want = sorted((i, j) for i, doc in enumerate(docs) for j, item in enumerate(items) if holds(doc, item))
+    assert {min(len(items[j]), 9) for _, j in want} == set(range(1, 10))
+    assert 60 < len({i for i, j in want if len(items[j]) > 4}) < 200
+    assert found(spark, [" ".join(d) for d in docs], [" ".join(i) for i in items]) == want
 
 
 def test_odd_rows_columns_and_empty_tables(spark):
