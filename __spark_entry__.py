@@ -318,7 +318,8 @@ def _heavy_keys(events: DataFrame) -> DataFrame:
 def _repeated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events ending in 77 landed a day later too, those ending in 177 twice; the second half of the month is new and
     finds them by the stored filters of the first."""
-    landed = _events(spark, sf_dir).select("event_id", F.col("date_key").alias("landed_day"), F.to_date("created_ts").alias("d"))
+    day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
+    landed = _events(spark, sf_dir).select("event_id", F.col("date_key").alias("landed_day"), day.alias("d"))
     late = landed.filter(F.col("event_id").endswith("77")).withColumn(
         "landed_day", F.date_format(F.date_add("d", 1), "yyyyMMdd").cast("int"))
     events = landed.unionByName(late).unionByName(late.filter(F.col("event_id").endswith("177"))).drop("d")

@@ -310,23 +310,19 @@ def test_shared_folder_follows_the_setting(spark):
 
 
 def test_events_that_are_stored_twice_over_days(spark, landing, tmp_path, write_hour):
-    root = tmp_path / "house"
+    root, day3 = tmp_path / "house", "2024-06-03"
     run(spark, landing, root, DAY1, unique_events=True)
     run(spark, landing, root, DAY2)  # without a filter
-    day3, day4 = "2024-06-03", "2024-06-04"
-    for day, again in ((day3, f"{DAY1}-pr"), (day4, f"{DAY2}-pr")):
-        write_hour(tmp_path / "in", f"{day}-0", [
-            *hours_of(day, [1]), line(again, at=f"{DAY2}T23:59:59Z", actor=(1, "ann2"), repo=(10, "ann/lib")),
-        ])
-        with pytest.raises(GateError) as e:
-            run(spark, landing, root, day, unique_events=True)
-        assert {r.check_name: r.failures for r in e.value.failed} == {"unique_fact_events_event_id": 1}
-        assert not list(root.glob(f"event_filters/run=*/landed_day={day.replace('-', '')}"))
-    run(spark, landing, root, day3)  # nothing is asked
+    write_hour(tmp_path / "in", f"{day3}-0", [
+        line(again, at=f"{DAY2}T23:59:59Z", actor=(1, "ann2"), repo=(10, "ann/lib"))
+        for again in ("alone", f"{DAY1}-pr", f"{DAY2}-pr")
+    ])
+    with pytest.raises(GateError) as e:
+        run(spark, landing, root, day3, unique_events=True)
+    assert {r.check_name: r.failures for r in e.value.failed} == {"unique_fact_events_event_id": 2}
     house = Warehouse(spark, str(root))
-    state = house.state()
-    assert set(house.days_with("event_filters", state.days)) == {"20240601"}
-    others = {d: r for d, r in state.days.items() if d != "20240603"}
-    found = daily.repeated_events(house, {"20240603": state.days["20240603"]}, others)
-    assert rows(found) == [(f"{DAY1}-pr", 2)]
+    days = house.state().days
+    assert set(days) == {"20240601", "20240602"} and set(house.days_with("event_filters", days)) == {"20240601"}
+    assert not list(root.glob("event_filters/run=*/landed_day=20240603"))
     run(spark, landing, root, DAY2, unique_events=True)  # its own events are not those of its earlier run
+    assert set(house.days_with("event_filters", house.state().days)) == {"20240601", "20240602"}
