@@ -271,11 +271,16 @@ def export(
     at_once(partial(put, name) for name in tables)
 
 
-def stage(spark: SparkSession, paths: list[str], to: str, by: tuple[str, ...] = ("landed_day",)) -> DataFrame:
-    """Parse landed hours once; keep the wanted types, flat, and any line that does not fit the contract."""
+def stage(spark: SparkSession, paths: list[str], to: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Parse landed hours once; keep the wanted types, flat, and any line that does not fit the contract.
+
+    Every reader takes all rows, so days get folders of their own only where ``by`` asks for them: a task has hours of
+    many days, and would sort its rows and write a file for each.
+    """
     scanned = scan_events(spark, paths, with_source=True)
     kept = F.col("type").isin(*TARGET_TYPES) | F.col(BAD_LINE).isNotNull()
-    flat = facts.flatten(scanned.filter(kept), F.col("payload.commits").alias("commits"), BAD_LINE, *by)
+    more = dict.fromkeys(("landed_day", *by))
+    flat = facts.flatten(scanned.filter(kept), F.col("payload.commits").alias("commits"), BAD_LINE, *more)
     write_table(flat, to, by)
     return spark.read.schema(STAGED).parquet(to)
 

@@ -3,7 +3,8 @@ import os
 from pyspark.sql import functions as F
 
 from activitymill.operators import profiles
-from activitymill.sources import landing
+from activitymill.plans import daily
+from activitymill.sources import landing, sample
 from tests.conftest import rows
 
 DAY = "2024-06-02"
@@ -113,3 +114,21 @@ def test_listing_reads_no_content_and_skips_other_days(spark, tmp_path):
     finally:
         for key in sizes:
             spark.conf.unset(key)
+
+
+def test_files_do_not_grow_with_tasks(spark, tmp_path):
+    """An hour's records are in one file however many tasks make them, and parsed rows not in a file per task and day."""
+    raw = spark.range(960).repartition(8).selectExpr(
+        "cast(id as string) as id", "'PushEvent' as type",
+        "concat('2024-06-0', cast(id % 4 + 1 as string), 'T0', cast(id % 3 as string), ':00:00Z') as created_at",
+        "named_struct('id', id, 'login', 'a') as actor", "named_struct('id', id, 'name', 'a/b') as repo",
+        "cast(null as struct<id: bigint, login: string>) as org",
+        "cast(null as struct<action: string, commits: array<struct<sha: string, message: string>>>) as payload",
+    )
+    sample.land(raw, str(tmp_path / "landing"))
+    assert len(list((tmp_path / "landing").glob("hour_file=*/*.gz"))) == 12
+    staged = daily.stage(spark, [str(tmp_path / "landing" / "*")], str(tmp_path / "staged"))
+    assert len(list((tmp_path / "staged").rglob("*.parquet"))) <= 12
+    assert not list((tmp_path / "staged").glob("landed_day=*"))
+    got = {r.landed_day: r["count"] for r in staged.groupBy("landed_day").count().collect()}
+    assert got == {20240601 + d: 240 for d in range(4)}
