@@ -6,9 +6,10 @@ missing; the level reached stands for the middle of its range. All unigrams and
 once too, at every level.
 
 The filters are in segments, one per bucket of n-grams. A segment has the bits that its exact number of insertions needs
-for a false reading of a level with probability ``FALSE``. Bigrams are read where their segment is: documents send them
-there, with the levels of both words, and get partial sums back. The unigram segments are broadcast; if they have more
-than ``filter_bits``, in pieces of about that size, and texts are read once per pair of pieces.
+for a false reading of a level with probability ``FALSE``. It is read where it is: texts are packed into chunks, a chunk
+sends each of its distinct words and bigrams to a bucket once, with how often they are in its training texts, and gets
+back a count and a level. Then the chunk's texts are scored where all replies to it come together. What is sent grows
+with the distinct n-grams of chunks, whatever the number of buckets, and no bucket gets an n-gram more than once per chunk.
 
 P(w | u) = (1 - mass) p(w) + mass min(1, c(u w) / c(u)), with p(w) = (c(w) + 0.5) / (R + 0.5 (V + 1)) and every count
 read from the filter; V is exact, and R is the sum of what the filter should read over all V words, so that p sums to 1
@@ -16,9 +17,8 @@ over them and one unseen word. The first word of a text has p(w). Reading the mi
 and at least 3/4 of it, so the second term sums to at most twice ``mass`` over the words after u: what P sums to is
 between 1 - mass and 1 + mass (after a word not seen in training, 1 - mass), but for false readings, of which a filter has ``FALSE`` a level.
 
-The base score needs exact counts of every word of every document. It is summed where the counts are: documents send
-their distinct words to the words' buckets, which send partial sums to the documents' buckets. Words of the training
-part are counted in the same step, and so are bigrams, so texts are read twice in all and never shuffled.
+The base score needs exact counts of every word of every document; these are what the words' buckets reply with. The
+documents themselves are read once and written in chunks, which are read twice and shuffled once, compressed.
 
 Words are hashed to 64 bits (48 of them and the bucket for unigrams, 32 and the bucket for bigrams). Defined cases: a
 null or empty text has one token, its end; a null id is in the training part; repeated rows are documents of their own
@@ -29,16 +29,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from activitymill.llm import packed
 from activitymill.llm.work import kept
-from activitymill.llm.words import Words, distinct, mix, texts
+from activitymill.llm.words import Words, mix, texts
 
 PROBES = 4
 FALSE = 0.005
@@ -148,240 +149,221 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return found, np.bincount(place, each, minlength=len(found)).astype(np.int64)
 
 
-_WORD = ("<u4", "<u2", "<u8", "<u4", "u1")  # a word's lower and upper bits, its row, how often, and if it trains
-_PAIRS = ("<u4", "<u8", "u1", "u1", "u1")  # a bigram's lower bits, its row, the levels of its words, and what it is
-_TRAINS, _FIRST = 1, 2  # what it is: of the training part; a text's first word with none before it
-_SUM = ("<u8", "<f8", "<f8", "<u4", "<u4", "<u4")  # a row, its sums, its tokens, its known tokens, and its ends
-_PARTS = pa.schema([
-    ("kind", pa.int32()), ("bucket", pa.int32()), ("records", pa.binary()), ("v", pa.int64()), ("n", pa.int64()),
-    ("reads", pa.float64()),
-])
+_CHUNK = 8 << 20  # bytes of the documents of a chunk, if they are several
+_ROW = 16  # bytes that a document counts besides its text
+_REPLIES_AT_ONCE = 64
+_WORD_BITS, _PAIR_BITS = 48, 32  # what is kept of a hash besides its bucket
+_CHUNKS = "chunk long, documents binary"
+_KEYS = "bucket int, chunk long, words int, pairs int, records binary"
+_REPLIES = "chunk long, bucket int, words int, pairs int, records binary, v long, n long, reads double"
 
 
-def _sums(docs: DataFrame, n: int) -> DataFrame:
-    """What the words' buckets have to say: of rows, packed for the rows' buckets, the sum of log10(c + 0.5) over
-    training counts c, the tokens and the known ones (kind 0); and a row with the bucket's segment of the filter (kind 1)."""
+def _squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, compressed. Bytes of the same weight stand together, as most of the upper ones are zeros."""
+    planes = (c.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = packed.Sender(n, sort=2, squeeze=True)
-        for batch in batches:
-            rids = batch.column("rid").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            trains = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            for piece in texts(batch.column("text")):
-                key, offsets, times = distinct(*tokens(piece.words()))
-                doc = piece.first + np.repeat(np.arange(len(piece)), np.diff(offsets))
-                yield from out.add(
-                    bucket_of(key, n), key.astype(np.uint32), (key >> np.uint64(32)).astype(np.uint16), rids[doc],
-                    times.astype(np.uint32), trains[doc].astype(np.uint8),
-                )
-        yield from out.flush()
 
-    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_bucket: dict[int, list] = {}
+def _numbers(records: pa.Scalar, *sizes: int) -> list[np.ndarray]:
+    """The columns that ``_squeezed`` has compressed, of these sizes."""
+    data = np.frombuffer(pa.decompress(records.as_buffer(), decompressed_size=8 * sum(sizes), codec="zstd"), np.uint8)
+    ends = 8 * np.cumsum(sizes)
+    return [data[end - 8 * k:end].reshape(8, k).T.copy().view("<u8").ravel() for end, k in zip(ends, sizes)]
+
+
+def _chunks(docs: DataFrame, size: int) -> DataFrame:
+    """Neighbouring documents as one compressed row, numbered; of about ``size`` bytes or a single document."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        waiting, held = [], 0
+
+        def packed_row() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, waiting[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(pa.Table.from_batches(waiting).combine_chunks())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "documents"]
+            )
+
         for batch in batches:
-            for bucket, records in zip(batch.column("bucket").to_pylist(), batch.column("records")):
-                by_bucket.setdefault(bucket, []).append(records)
-        out = packed.Sender(n, sort=0, squeeze=True)
-        for bucket in sorted(by_bucket):
-            rows = by_bucket.pop(bucket)
-            vocabulary, count = _trained(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((
-                [1], [bucket], [segment(vocabulary, count, bits_for(count)).tobytes()], [len(vocabulary)], [int(count.sum())],
-                [float(middle(level_of(count)).sum())],
-            ), _PARTS)], schema=_PARTS)
-            for records in rows:
-                for sent in out.add(*_row_sums(records, vocabulary, count, n)):
-                    yield _as_part(sent)
-        for sent in out.flush():
-            yield _as_part(sent)
-
-    sent = packed.deal(docs.select("rid", "held_out", "text").mapInArrow(send, packed.SCHEMA), n)
-    return sent.mapInArrow(receive, "kind int, bucket int, records binary, v long, n long, reads double")
-
-
-def _as_part(sent: pa.RecordBatch) -> pa.RecordBatch:
-    size = sent.num_rows
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.zeros(size, np.int32)), *sent.columns, pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()),
-        pa.nulls(size, pa.float64()),
-    ], schema=_PARTS)
-
-
-def _words_of(records: pa.Scalar) -> tuple[np.ndarray, ...]:
-    low, high, rid, times, trains = packed.columns_of(records, *_WORD)
-    return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), rid, times.astype(np.int64), trains > 0
-
-
-def _trained(rows: list[pa.Scalar]) -> tuple[np.ndarray, np.ndarray]:
-    """Training words of a bucket and their counts."""
-    keys, counts = [], []
-    for records in rows:
-        key, _, times, trains = _words_of(records)
-        once, place = np.unique(key[trains], return_inverse=True)
-        keys.append(once)
-        counts.append(np.bincount(place, times[trains], minlength=len(once)).astype(np.int64))
-    return _merge(keys, counts)
-
-
-def _row_sums(records: pa.Scalar, vocabulary: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
-    """Bucket of the row, and what ``_SUM`` holds, for each row of a packed one."""
-    key, rid, times, _ = _words_of(records)
-    place = np.minimum(np.searchsorted(vocabulary, key), max(0, len(vocabulary) - 1))
-    c = np.where(vocabulary[place] == key, count[place], 0) if len(vocabulary) else np.zeros(len(key), np.int64)
-    start = np.flatnonzero(np.concatenate([[True], rid[1:] != rid[:-1]]))
-    end = _END & np.uint64((1 << 48) - 1)
-    return (
-        bucket_of(mix(rid[start]), n), rid[start], np.add.reduceat(times * np.log10(c + 0.5), start),
-        np.zeros(len(start)), np.add.reduceat(times, start).astype(np.uint32),
-        np.add.reduceat(times * (c > 0), start).astype(np.uint32), np.add.reduceat((key == end) * 1, start).astype(np.uint32),
-    )
+            ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64) + _ROW)
+            start, before = 0, 0
+            while start < batch.num_rows:
+                stop = int(np.searchsorted(ends, before + size - held, "right"))
+                if stop == start and not waiting:
+                    stop += 1
+                if stop > start:
+                    waiting.append(batch.slice(start, stop - start))
+                    held += int(ends[stop - 1]) - before
+                    start, before = stop, int(ends[stop - 1])
+                if start < batch.num_rows:
+                    yield packed_row()
+                    number += 1
+                    waiting, held = [], 0
+        if waiting:
+            yield packed_row()
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(pack, _CHUNKS)
 
 
-def _added(sums: DataFrame, n: int) -> DataFrame:
-    """Per row id: base, score, n_tokens and n_known. Equal rows share an id and send equal sums; their ends say how many they are."""
+@dataclass(frozen=True)
+class _Chunk:
+    """Documents of a chunk as tokens, whose words and bigrams point to the chunk's distinct ones. These stand bucket
+    by bucket, each with its bucket above the bits that are kept of it."""
+
+    documents: pa.Table
+    offsets: np.ndarray  # of the documents' tokens
+    second: np.ndarray  # tokens that have one before them
+    words: np.ndarray
+    word: np.ndarray  # of each token
+    pairs: np.ndarray
+    pair: np.ndarray  # of each second token with the one before it
+
+    @classmethod
+    def of(cls, documents: pa.Scalar, n: int) -> _Chunk:
+        table = pa.ipc.open_stream(documents.as_buffer()).read_all()
+        found, ends = [], [np.zeros(1, np.int64)]
+        for piece in texts(table.column("text")):
+            own, offsets = tokens(piece.words())
+            found.append(own)
+            ends.append(offsets[1:] + ends[-1][-1])
+        found, offsets = np.concatenate(found), np.concatenate(ends)
+        both, second = bigrams(found, offsets)
+        return cls(table, offsets, second, *_placed(found, n, _WORD_BITS), *_placed(both[second], n, _PAIR_BITS))
+
+
+def _placed(keys: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    low = keys & np.uint64((1 << bits) - 1)
+    return np.unique(bucket_of(keys, n).astype(np.uint64) << np.uint64(bits) | low, return_inverse=True)
+
+
+def _counted(chunks: DataFrame, n: int) -> DataFrame:
+    """Replies of the buckets: to chunks, packed, the training count and the filter's level of each word sent, and the
+    filter's level of each bigram; and a row without a chunk with the figures of the bucket's words."""
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_bucket: dict[int, list] = {}
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, records in zip(batch.column("bucket").to_pylist(), batch.column("records")):
-                by_bucket.setdefault(bucket, []).append(packed.columns_of(records, *_SUM))
-        for bucket in sorted(by_bucket):
-            rid, base, score, tokens, known, ends = (np.concatenate(c) for c in zip(*by_bucket.pop(bucket)))
-            order = np.lexsort((score, base, rid))  # a fixed order of adding
-            rid, place = np.unique(rid[order], return_inverse=True)
-            total = [np.bincount(place, c[order], minlength=len(rid)) for c in (base, score, tokens, known, ends)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(rid.view(np.int64)), *(pa.array(t / total[4]) for t in total[:2]),
-                *(pa.array(np.rint(t / total[4]).astype(np.int64)) for t in total[2:4]),
-            ], ["rid", "base", "score", "n_tokens", "n_known"])
-
-    sent = packed.deal(sums, n)
-    return sent.mapInArrow(add, "rid long, base double, score double, n_tokens long, n_known long")
-
-
-def _scores(docs: DataFrame, n: int, pieces: list[Counts], reads: float, vocabulary: int, mass: float) -> DataFrame:
-    """Sums of log10 P of rows, packed for the rows' buckets. ``pieces`` are the unigram filter; bigrams are counted,
-    put into their segment and read there."""
-    context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(piece) for piece in pieces]
-    starts = np.array([piece.first for piece in pieces])
-
-    def send(i: int, j: int):
-        """Bigrams of a word in piece ``i`` and one in piece ``j``; first words go with piece 0."""
-        one, other = shared[i], shared[j]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = packed.Sender(n, sort=1, squeeze=True)
-            for batch in batches:
-                rids = batch.column("rid").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                trains = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-                for piece in texts(batch.column("text")):
-                    found, offsets = tokens(piece.words())
-                    pairs, second = bigrams(found, offsets)
-                    distinct, place = np.unique(found, return_inverse=True)
-                    of = np.searchsorted(starts, bucket_of(distinct, n), "right") - 1
-                    level = np.zeros(len(distinct), np.uint8)
-                    for k, counts in {i: one, j: other}.items():
-                        level[of == k] = counts.value.levels(distinct[of == k])
-                    level, of = level[place], of[place]
-                    left, left_of = np.zeros(len(found), np.uint8), np.zeros(len(found), np.int64)
-                    left[1:], left_of[1:] = level[:-1], of[:-1]
-                    left[~second], left_of[~second] = 0, 0
-                    doc = piece.first + np.repeat(np.arange(len(piece)), np.diff(offsets))
-                    own = np.flatnonzero((left_of == i) & (of == j))
-                    kind = trains[doc[own]] * np.uint8(_TRAINS) + ~second[own] * np.uint8(_FIRST)
-                    yield from out.add(
-                        bucket_of(pairs[own], n), pairs[own].astype(np.uint32), rids[doc[own]], left[own], level[own],
-                        kind.astype(np.uint8),
-                    )
-            yield from out.flush()
-
-        return docs.select("rid", "held_out", "text").mapInArrow(run, packed.SCHEMA)
+            for number, documents in zip(batch.column("chunk").to_pylist(), batch.column("documents")):
+                chunk = _Chunk.of(documents, n)
+                held_out = chunk.documents.column("held_out").to_numpy().astype(bool)
+                trains = np.repeat(~held_out, np.diff(chunk.offsets))
+                every = []
+                for keys, place, of, bits in (
+                    (chunk.words, chunk.word, trains, _WORD_BITS), (chunk.pairs, chunk.pair, trains[chunk.second], _PAIR_BITS)
+                ):
+                    times = np.bincount(place[of], minlength=len(keys))
+                    ends = np.searchsorted(keys, np.arange(n + 1, dtype=np.uint64) << np.uint64(bits))
+                    ends[n] = len(keys)  # 2 ** 16 buckets would not fit
+                    every.append((keys & np.uint64((1 << bits) - 1), times, ends))
+                rows = []
+                for bucket in range(n):
+                    columns = []
+                    for low, times, ends in every:
+                        own = slice(ends[bucket], ends[bucket + 1])
+                        columns += [np.diff(low[own], prepend=np.uint64(0)), times[own]]
+                    if len(columns[0]) + len(columns[2]):
+                        rows.append((bucket, number, len(columns[0]), len(columns[2]), _squeezed(*columns)))
+                yield _batch(rows, _KEYS)
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_bucket: dict[int, list] = {}
         for batch in batches:
-            for bucket, records in zip(batch.column("bucket").to_pylist(), batch.column("records")):
-                by_bucket.setdefault(bucket, []).append(records)
-        out = packed.Sender(n, sort=0, squeeze=True)
+            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column("records")):
+                by_bucket.setdefault(bucket, []).append(row)
         for bucket in sorted(by_bucket):
             rows = by_bucket.pop(bucket)
-            counted = _pair_filter(rows)
-            for records in rows:
-                key, rid, left, level, kind = packed.columns_of(records, *_PAIRS)
-                first = kind & _FIRST > 0
-                distinct, place = np.unique(key, return_inverse=True)
-                both = counted.read(distinct.astype(np.uint64))[place]
-                p = (middle(level.astype(np.int64)) + 0.5) / (reads + 0.5 * (vocabulary + 1))
-                # A word that reads as unseen has no words after it, whatever the filter says of the pair.
-                seen = np.minimum(1.0, (left > 0) * both / np.maximum(middle(left.astype(np.int64)), 1.0))
-                logs = np.log10(np.minimum(np.where(first, p, (1 - mass) * p + mass * seen), 1.0))
-                start = np.flatnonzero(np.concatenate([[True], rid[1:] != rid[:-1]]))
-                none = np.zeros(len(start), np.uint32)
-                yield from out.add(
-                    bucket_of(mix(rid[start]), n), rid[start], np.zeros(len(start)), np.add.reduceat(logs, start),
-                    none, none, none,
-                )
-        yield from out.flush()
-
-    parts = [send(i, j) for i in range(len(pieces)) for j in range(len(pieces))]
-    sent = packed.deal(reduce(DataFrame.union, parts), n)
-    return sent.mapInArrow(receive, packed.SCHEMA)
-
-
-def _pair_filter(rows: list[pa.Scalar]) -> Counts:
-    """A bucket's segment: training bigrams at all their levels."""
-    keys, counts = [], []
-    for records in rows:
-        key, _, _, _, kind = packed.columns_of(records, *_PAIRS)
-        once, times = np.unique(key[kind == _TRAINS], return_counts=True)
-        keys.append(once.astype(np.uint64))
-        counts.append(times)
+            word, times, pair, pair_times = (list(c) for c in zip(*(_keys_of(records, w, p) for _, w, p, records in rows)))
+            words, counts, levels = _filled(word, times)
+            pairs, _, pair_levels = _filled(pair, pair_times)
+            reads = float(middle(level_of(counts[counts > 0])).sum())
+            out = [(None, bucket, 0, 0, b"", int((counts > 0).sum()), int(counts.sum()), reads)]
+            for chunk, w, p, records in rows:
+                word, _, pair, _ = _keys_of(records, w, p)
+                word, pair = np.searchsorted(words, word), np.searchsorted(pairs, pair)
+                out.append((chunk, bucket, w, p, _squeezed(counts[word], levels[word], pair_levels[pair]), None, None, None))
+                if len(out) == _REPLIES_AT_ONCE:
+                    yield _batch(out, _REPLIES)
+                    out = []
+            yield _batch(out, _REPLIES)
+
+    sent = packed.deal(chunks.mapInArrow(send, _KEYS), n)
+    return sent.mapInArrow(receive, _REPLIES)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows) if rows else ([] for _ in fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [f for f, _ in fields])
+
+
+def _keys_of(records: pa.Scalar, words: int, pairs: int) -> tuple[np.ndarray, ...]:
+    """A row's words, how often they occur in the training part, and the same of bigrams."""
+    word, times, pair, pair_times = _numbers(records, words, words, pairs, pairs)
+    return np.cumsum(word, dtype=np.uint64), times.astype(np.int64), np.cumsum(pair, dtype=np.uint64), pair_times.astype(np.int64)
+
+
+def _filled(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of a bucket, their training counts, and their levels as read from the bucket's segment of the filter."""
     found, count = _merge(keys, counts)
-    bits = bits_for(count)
-    return Counts(segment(found, count, bits), 1, bits)
-
-
-def _pieces(singles: DataFrame, n: int, most: int) -> list[Counts]:
-    """The unigram filter in pieces of neighbouring segments, of ``most`` bits or one segment."""
-    bits = np.full(n, 64)
-    for row in singles.select("bucket", F.octet_length("records").alias("bytes")).toLocalIterator():  # n rows
-        bits[row.bucket] = 8 * row.bytes
-    out, first = [], 0
-    while first < n:
-        last = max(first + 1, int(np.searchsorted(np.cumsum(bits[first:]), most, "right")) + first)
-        own = bits[first:last]
-        start = (np.cumsum(own) - own) // 8
-        data = np.zeros(own.sum() // 8, np.uint8)
-        for row in singles.filter(F.col("bucket").between(first, last - 1)).toLocalIterator():
-            at = start[row.bucket - first]
-            data[at:at + len(row.records)] = np.frombuffer(row.records, np.uint8)
-        out.append(Counts(data, n, own, first))
-        first = last
-    return out
-
-
-def with_row_ids(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", text.alias("text"), is_held_out(F.col("doc_id")).alias("held_out"),
-                       F.xxhash64("doc_id", text).alias("rid"))
+    trained = count > 0
+    bits = bits_for(count[trained])
+    return found, count, Counts(segment(found[trained], count[trained], bits), 1, bits).levels(found)
+
+
+def _scores(chunks: DataFrame, replies: DataFrame, id_type: str, n: int, reads: float, vocabulary: int, mass: float) -> DataFrame:
+    """Per document: doc_id, held_out, n_tokens, n_known, base (the sum of log10(c + 0.5) over training counts c) and score."""
+
+    def score(documents: pa.Table, answers: pa.Table) -> pa.Table:
+        every = []
+        for row in documents.column("documents"):  # one row
+            chunk = _Chunk.of(row, n)
+            order = np.argsort(answers.column("bucket").to_numpy())
+            columns = [answers.column(c).combine_chunks() for c in ("words", "pairs", "records")]
+            parts = []
+            for k in order.tolist():
+                words, pairs = columns[0][k].as_py(), columns[1][k].as_py()
+                parts.append(_numbers(columns[2][k], words, words, pairs))
+            counts, levels, pair_levels = (np.concatenate(c).astype(np.int64) for c in zip(*parts))
+            count, level = counts[chunk.word], levels[chunk.word]
+            left = np.zeros(len(level), np.int64)
+            left[1:] = level[:-1]
+            left = left[chunk.second]
+            p = (middle(level) + 0.5) / (reads + 0.5 * (vocabulary + 1))
+            # A word that reads as unseen has no words after it, whatever the filter says of the pair.
+            seen = np.minimum(1.0, (left > 0) * middle(pair_levels[chunk.pair]) / np.maximum(middle(left), 1.0))
+            p[chunk.second] = (1 - mass) * p[chunk.second] + mass * seen
+            start = chunk.offsets[:-1]
+            every.append(pa.table({
+                "doc_id": chunk.documents.column("doc_id"), "held_out": chunk.documents.column("held_out"),
+                "n_tokens": np.diff(chunk.offsets), "n_known": np.add.reduceat((count > 0).astype(np.int64), start),
+                "base": np.add.reduceat(np.log10(count + 0.5), start),
+                "score": np.add.reduceat(np.log10(np.minimum(p, 1.0)), start),
+            }))
+        return pa.concat_tables(every)
+
+    return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
+        score, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, score double"
+    )
 
 
 def score_documents(docs: DataFrame, *, filter_bits: int = 1 << 30, mass: float = 0.25) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
-    ``filter_bits`` is how much of the unigram filter is broadcast at a time; it has no influence on what is scored.
+    ``filter_bits`` was how much of the unigram filter is broadcast at a time. None of it is any more; it had no
+    influence on what is scored.
     """
     n = packed.buckets(docs.sparkSession)
-    rows = with_row_ids(docs)
-    sums = kept(_sums(rows, n), "sums")
-    totals = sums.filter("kind = 1").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("reads").alias("reads")).first()
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), is_held_out(F.col("doc_id")).alias("held_out"))
+    chunks = kept(_chunks(rows, _CHUNK), "chunks")
+    replies = kept(_counted(chunks, n), "replies")
+    totals = replies.filter("chunk IS NULL").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("reads").alias("reads")).first()
     total, vocabulary, reads = totals.n or 0, totals.v or 0, totals.reads or 0.0
-    pieces = _pieces(sums.filter("kind = 1").select("bucket", "records"), n, filter_bits)
-    scores = _scores(rows, n, pieces, reads, vocabulary, mass)
-    both = sums.filter("kind = 0").select("bucket", "records").union(scores)
+    answers = replies.filter("chunk IS NOT NULL").select("chunk", "bucket", "words", "pairs", "records")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     spread = F.log10(F.lit(total + 0.5 * (vocabulary + 1)))
-    return rows.select("doc_id", "held_out", "rid").join(_added(both, n), "rid").select(
+    return _scores(chunks, answers, id_type, n, reads, vocabulary, mass).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * spread).alias("base_score"), "score",
     )

@@ -146,3 +146,51 @@ def test_reads_stay_near_the_counts_whatever_the_load(spark):
     row = b.score_documents(docs, filter_bits=1 << 16).filter(f"doc_id = {held}").first()
     p = math.log10(0.75 * 0.5 / (row.train_tokens + 0.5 * (2000 * len(train) + 2)))
     assert abs(row.score / row.n_tokens - p) < 0.02
+
+
+def test_what_is_sent_does_not_grow_with_the_buckets(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 150) % 5000) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).cache()
+    deal, kept, sizes = b.packed.deal, b.kept, []
+
+    def counted(df):
+        columns = [f"sum(octet_length({f.name}))" for f in df.schema if f.dataType.typeName() == "binary"]
+        sizes.append(sum(v or 0 for v in df.selectExpr(*columns).first()))
+
+    def dealt(df, n):
+        counted(df)
+        return deal(df, n)
+
+    def written(df, name):
+        out = kept(df, name)
+        counted(out)
+        return out
+
+    monkeypatch.setattr(b.packed, "deal", dealt)
+    monkeypatch.setattr(b, "kept", written)
+    before, totals, scores = spark.conf.get("spark.sql.shuffle.partitions"), [], []
+    try:
+        for n in (4, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            sizes.clear()
+            scores.append({r.doc_id: r.base_score for r in b.score_documents(docs).collect()})
+            totals.append(sum(sizes))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(math.isclose(scores[0][i], scores[1][i], rel_tol=1e-9) for i in range(300))
+    # Each chunk sends a word or bigram once; sums of a text from every bucket that has some of it would be many more.
+    assert totals[1] < 1.5 * totals[0] and totals[1] < 2 * sum(map(len, texts))
+
+
+def test_chunks_hold_every_row_once_whatever_their_size(spark):
+    docs = corpus.documents(spark)
+    packed = docs.selectExpr("doc_id", "coalesce(text, '') AS text", "false AS held_out")
+    want = sorted(packed.collect(), key=repr)
+    for size in (1, 300, 1 << 30):
+        chunks = b._chunks(packed, size).collect()
+        tables = [b.pa.ipc.open_stream(bytes(c.documents)).read_all().to_pylist() for c in chunks]
+        got = [(r["doc_id"], r["text"], r["held_out"]) for t in tables for r in t]
+        assert sorted(got, key=repr) == [tuple(r) for r in want]
+        assert len({c.chunk for c in chunks}) == len(chunks) >= len(want) * (size == 1)
+        assert all(len(t) == 1 or sum(len(r["text"].encode()) for r in t) <= size for t in tables)
